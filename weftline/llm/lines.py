@@ -15,20 +15,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.llm.shared import SPACES, documents, join_small, lower_ascii, materialize, shuffle_parts, stored, text_or_empty
+from weftline.llm.shared import SPACES, documents, fold_ascii, join_small, materialize, shuffle_parts, stored, text_or_empty
 
 
 def line_hashes(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
     """_id, pos, h (64 bits), g (32 more bits) of every line whose key has ``min_chars`` code points."""
 
-    def hashed(line: Column, pos: Column) -> Column:
-        # A-Z are lowered after the test of length, which they do not change.
-        k = F.btrim(line, F.lit(SPACES))
-        low = lower_ascii(k)
-        return F.when(F.length(k) >= min_chars, F.struct(pos.alias("pos"), F.xxhash64(low).alias("h"), F.crc32(low.cast("binary")).alias("g")))
-
-    at = F.explode(F.filter(F.transform(F.split(text_or_empty(text), "\n"), hashed), lambda x: x.isNotNull())).alias("x")
-    return docs.select(F.col(key).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_t"), at).select("_id", "_t", "x.pos", "x.h", "x.g")
+    at = docs.select(F.col(key).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_t"), F.posexplode(F.split(text_or_empty(text), "\n")).alias("pos", "_line"))
+    at = at.withColumn("_line", F.btrim("_line", F.lit(SPACES))).filter(F.length("_line") >= min_chars).withColumn("_line", fold_ascii(F.col("_line")))
+    return at.select("_id", "_t", "pos", F.xxhash64("_line").alias("h"), F.hash("_line").alias("g"))
 
 
 def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.llm.shared import SPACES, documents, join_small, materialize, stored, text_or_empty, words
+from weftline.llm.shared import SPACES, documents, join_small, let, materialize, one_space, stored, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -26,16 +26,17 @@ def _pairs(a: str, by: int) -> Column:
     return F.zip_with(F.slice(a, F.lit(1), size), F.slice(a, F.lit(by + 1), size), lambda x, y: F.xxhash64(x, y))
 
 
-def with_repeat_words(d: DataFrame, words_column: str) -> DataFrame:
-    """Add n_repeat_words: words covered by 8-word windows that occur twice or more in the text.
+def with_repeat_words(d: DataFrame) -> DataFrame:
+    """Add n_repeat_words, from hashes of words in ``_1``: words covered by 8-word windows that occur twice or more in the text.
 
     Windows are compared by 64-bit hashes built by doubling: 1, 2, 4, 8 words.  Only a text in
     which a window repeats is sorted; then each repeated window adds the words up to the next one.
     Each step is a column of its own, so that nothing is computed again inside a lambda.
     """
-    d = d.withColumn("_1", F.transform(words_column, lambda x: F.xxhash64(x))).drop(words_column)
-    for have, by in ((1, 1), (2, 2), (4, 4)):
+    for have, by in ((1, 1), (2, 2)):
         d = d.withColumn(f"_{2 * have}", _pairs(f"_{have}", by)).drop(f"_{have}")
+    # Where no 4-word window repeats, no 8-word window does.
+    d = d.withColumn("_8", F.when(F.size(F.array_distinct("_4")) < F.size("_4"), _pairs("_4", 4))).drop("_4")
     tagged = F.sort_array(F.transform("_8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     d = d.withColumn("_s", F.when(F.size(F.array_distinct("_8")) < F.size("_8"), tagged)).drop("_8")
 
@@ -52,15 +53,19 @@ def with_repeat_words(d: DataFrame, words_column: str) -> DataFrame:
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """Per document: key, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     d = docs.select(F.col(key), F.col(host).alias("host"), text_or_empty(text).alias("_t"))
-    lines = F.filter(F.split("_t", "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
+    d = d.withColumn("_plain", one_space(F.col("_t")))
+    without = F.col("_t")
+    for x in SYMBOLS:
+        without = F.replace(without, F.lit(x), F.lit(""))
+    lines = F.filter(F.split("_t", "\n"), lambda x: (x != "") & (F.btrim(x, F.lit(SPACES)) != ""))
     d = d.select(
         key, "host",
-        (F.length("_t") - F.regexp_count("_t", F.lit("[ \\t-\\r]"))).cast("long").alias("word_chars"),
-        F.regexp_count("_t", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
-        lines.alias("_l"), words(F.col("_t")).alias("_w"),
+        F.length(F.replace("_plain", F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
+        (F.length("_t") - F.length(without)).cast("long").alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        F.transform(F.filter(F.split("_plain", " "), lambda w: w != ""), lambda w: F.xxhash64(w)).alias("_1"),
     )
-    d = d.select(key, "host", F.size("_w").cast("long").alias("n_words"), "word_chars", "n_symbols", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"), "_w")
-    return with_repeat_words(d, "_w")
+    return with_repeat_words(d.withColumn("n_words", F.size("_1").cast("long")))
 
 
 def host_verdicts(rows: DataFrame, reject_rate: float = 0.5, z: float = 2.0) -> DataFrame:

@@ -78,9 +78,21 @@ def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` computed once, however often ``then`` uses it, and never copied to a row."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
+def one_space(c: Column) -> Column:
+    """U+0009 to U+000D as spaces, so that a text can be split at a plain space."""
+    for x in SPACES[1:]:
+        c = F.replace(c, F.lit(x), F.lit(" "))
+    return c
+
+
 def words(c: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; an empty array where there is none."""
-    return F.filter(F.split(c, "[ \\t-\\r]+"), lambda w: w != "")
+    return F.filter(F.split(one_space(c), " "), lambda w: w != "")
 
 
 def lower_ascii(c: Column) -> Column:
@@ -88,5 +100,15 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def fold_ascii(c: Column) -> Column:
+    """A string that is equal for two texts if and only if they are equal with A-Z lowered; faster than ``lower_ascii``.
+
+    The UTF-8 bytes are read as Latin-1 and lowered: A-Z become a-z, lead bytes C2-DE become
+    E2-FE and nothing else changes.  The number of continuation bytes that follow still tells
+    which lead byte it was, so no other two texts meet.
+    """
+    return F.lower(F.decode(c.cast("binary"), "ISO-8859-1"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -7,8 +7,11 @@ import importlib
 #: Query name and the module that has it.
 QUERIES = {
     "op1_host_rules": "quality",
+    "op2_lattice": "lm",
+    "op4_pair_index": "encoding",
     "op5_jump_hash": "sharding",
     "op7_host_reputation": "urls",
+    "op9_dp_packing": "packing",
     "op10_line_dedup": "lines",
 }
 

@@ -8,8 +8,10 @@ import importlib
 QUERIES = {
     "op1_host_rules": "quality",
     "op2_lattice": "lm",
+    "op3_partenum": "ngram_join",
     "op4_pair_index": "encoding",
     "op5_jump_hash": "sharding",
+    "op6_spotsigs": "spotsigs",
     "op7_host_reputation": "urls",
     "op9_dp_packing": "packing",
     "op10_line_dedup": "lines",

@@ -8,7 +8,8 @@ numbers only where a line goes.
 
 Defined results: null or empty text is one empty line; rows that share a doc_id are one
 document when documents are counted, and each loses its own lines; a null doc_id is the
-smallest; an empty table gives no rows; other columns stay as they are.
+smallest; an empty table gives no rows; other columns stay as they are, but for columns that have the names
+of the results.
 """
 
 from __future__ import annotations
@@ -48,23 +49,23 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_ch
     """``docs`` with ``kept_text`` (null if nothing went), ``n_lines`` and ``n_dropped``."""
     drops, size = stored(keep_bitmaps(docs, key, text, min_chars, min_docs), "bitmaps")
     null = "_none"
-    d = docs.withColumn(null, F.col(key).isNull()).withColumn("_id", F.coalesce(F.col(key), F.lit(0))).withColumn("_t", F.xxhash64(text_or_empty(text)))
+    d = docs.select(F.struct("*").alias("_row"), F.col(key).isNull().alias(null), F.coalesce(F.col(key), F.lit(0)).alias("_id"), text_or_empty(text).alias("_text"))
+    d = d.withColumn("_t", F.xxhash64("_text"))
     drops = drops.withColumn(null, F.col("_id").isNull()).withColumn("_id", F.coalesce("_id", F.lit(0)))
-    d = join_small(d, drops, size, ["_id", null, "_t"], "left").drop("_id", null, "_t")
-    d = d.withColumn("_l", F.split(text_or_empty(text), "\n"))
+    d = join_small(d, drops, size, ["_id", null, "_t"], "left").drop("_id", null, "_t").withColumn("_l", F.split("_text", "\n"))
 
     def stays(_: Column, i: Column) -> Column:
         mine = F.filter("drops", lambda m: m["w"] == F.shiftright(i, 6))
         bit = F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(F.lit(63)))
         return F.coalesce(F.get(mine, F.lit(0))["bits"].bitwiseAND(bit) == 0, F.lit(True))
 
-    kept = F.filter("_l", stays)
-    d = d.withColumn("_k", F.when(F.col("drops").isNotNull(), kept))
-    return d.withColumns({
+    d = d.withColumn("_k", F.when(F.col("drops").isNotNull(), F.filter("_l", stays)))
+    new = {
         "n_lines": F.size("_l").cast("long"),
         "n_dropped": F.when(F.col("_k").isNull(), 0).otherwise(F.size("_l") - F.size("_k")).cast("long"),
         "kept_text": F.when(F.col("_k").isNotNull(), F.array_join("_k", "\n")),
-    }).drop("_l", "_k", "drops")
+    }
+    return d.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in new], *[v.alias(k) for k, v in new.items()])
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:

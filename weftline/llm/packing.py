@@ -147,7 +147,7 @@ def in_powers(length: int, window: int) -> list[int]:
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 4096, vocabulary_path: str | None = None, digest: bool = False) -> DataFrame:
     """One row per piece of a document: key, start, length, doc_tokens, sequence_id, offset, and ids (with ``digest`` ids_crc32)."""
     kind = dict(docs.dtypes)[key]
-    last = "ids_crc32 long" if digest else "ids array<long>"
+    last = "ids_crc32 long" if digest else "ids array<int>"
 
     def run(batches):
         import pyarrow as pa
@@ -172,7 +172,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             doc, seq = np.searchsorted(ends, lo, "right"), np.searchsorted(edges, lo, "right")
             offset = lo - np.concatenate([[0], edges])[seq]
             slices = [ids[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
-            value = pa.array([zlib.crc32(x.tobytes()) for x in slices], pa.int64()) if digest else pa.array([x.astype(np.int64) for x in slices], pa.list_(pa.int64()))
+            value = pa.array([zlib.crc32(x.tobytes()) for x in slices], pa.int64()) if digest else pa.array([x.astype(np.int32) for x in slices], pa.list_(pa.int32()))
             out = pa.RecordBatch.from_arrays(
                 [pa.array([keys[d] for d in doc.tolist()], key_type), pa.array(lo - begin[doc]), pa.array(hi - lo), pa.array((ends - begin)[doc]), pa.array(sequence + seq), pa.array(offset), value],
                 [key, "start", "length", "doc_tokens", "sequence_id", "offset", last.split()[0]],

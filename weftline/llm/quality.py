@@ -59,7 +59,7 @@ def features(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
         without = F.replace(without, F.lit(x), F.lit(""))
     lines = F.filter(F.split("_t", "\n"), lambda x: (x != "") & (F.btrim(x, F.lit(SPACES)) != ""))
     d = d.select(
-        key, "host",
+        key, "host", F.xxhash64("_t").alias("tag"),
         F.length(F.replace("_plain", F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
         (F.length("_t") - F.length(without)).cast("long").alias("n_symbols"),
         let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
@@ -97,7 +97,15 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host
     rows, verdicts = (x.withColumn(null_safe, F.coalesce(F.concat(F.lit("h"), F.col("host")), F.lit("-"))) for x in (rows, verdicts))
     joined = join_small(rows, verdicts.drop("host"), size, [null_safe, "_salt"], "left")
     kept = ~F.col("base_failed") & F.coalesce("host_ok", F.lit(True))
-    return joined.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "host", "shrunk_rate")
+    return joined.select(key, "tag", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "host", "shrunk_rate")
+
+
+def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **rules) -> DataFrame:
+    """The documents that the rules keep, all columns as they are."""
+    bad = quality_rules(docs, key, text, host, **rules).filter(~F.col("kept")).select(F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("_id"), F.col("tag").alias("_tag")).distinct()
+    bad, size = stored(bad, "rejected")
+    d = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_tag"))
+    return join_small(d, bad, size, ["_id", "_tag"], "left_anti").select("_row.*")
 
 
 def op1_host_rules(spark, sf_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ QUERIES = {
     "op5_jump_hash": "sharding",
     "op6_spotsigs": "spotsigs",
     "op7_host_reputation": "urls",
+    "op8_bucket_pointers": "substrings",
     "op9_dp_packing": "packing",
     "op10_line_dedup": "lines",
 }

@@ -1,6 +1,6 @@
 """Document fingerprints by SpotSigs (native).
 
-An anchor is a common word; its spot signature is the chain of the next ``CHAIN`` content
+An anchor is a common word, or one of marks alone; its spot signature is the chain of the next ``CHAIN`` content
 words, other common words between them skipped.  Only the last of several anchors in a row
 begins a chain, and the text's start counts as an anchor.  A text's fingerprint is its set of
 signatures, sorted; a text with few chains has those of all its content words too, one without any
@@ -30,9 +30,10 @@ ANCHORS = (
     "aber als am auch auf aus bei das dem den der die ein eine einem einen einer es für hat ich im ist mit nach nicht noch oder sich sie sind so und von war wie wir zu zum zur "
     "al como con cuando del desde donde el ella entre era esta este ha hay las lo los más me mi muy no nos o para pero por se si sin sobre son su sus también una uno y ya"
 ).split()
+MARKS = ".,;:!?\"'()|*#%$&<>-_=+/"
 CHAIN = 2
 #: A text with fewer chains has those of all its content words besides.
-FEW = 8
+FEW = 2
 #: Documents meant for a cell, and the most cells (bounds the table of first ids: 65536 rows).
 CELL_ROWS, MAX_CELLS = 2_000, 65_536
 
@@ -42,7 +43,7 @@ def signatures(text: Column) -> Column:
     # A word's hash; odd if it is an anchor.
     tagged = F.transform(
         F.filter(F.split(one_space(lower_ascii(text)), " "), lambda w: w != ""),
-        lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.when(F.btrim(w, F.lit(".,;:!?\"'()")).isin(*sorted(set(ANCHORS))), 1).otherwise(0).cast("long")),
+        lambda w: F.xxhash64(w).bitwiseAND(F.lit(-2)).bitwiseOR(F.when(F.btrim(w, F.lit(MARKS)).isin("", *sorted(set(ANCHORS))), 1).otherwise(0).cast("long")),
     )
 
     def content(h: Column) -> Column:

@@ -8,7 +8,7 @@ window costs its padding (none at a power of two).  The cheapest cuts are found
     best[j] = penalty[j] + window - at[j] + min(best[i] + at[i] for at[j] - window <= at[i] < at[j])
 
 whose minimum slides with j, so that a monotone queue gives each transition in constant time;
-lengths of a power of two are tried besides.  A stream is solved in segments of
+windows of a half and a quarter of the length are tried besides, which need no padding either.  A stream is solved in segments of
 ``SEGMENT_TOKENS``; all but a segment's last two windows are settled, the rest moves on, so
 memory does not grow with the partition.  A window left so short that cutting it into powers
 of two costs less than padding it is cut that way.
@@ -26,6 +26,7 @@ import os
 import zlib
 from collections import deque
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -40,6 +41,14 @@ SEGMENT_TOKENS = 262_144
 SENTENCE_END = frozenset(".!?…。！？")
 
 
+class Numbers(dict):
+    """Numbers words as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class WordIds:
     """Ids of words as flat arrays; the library encodes each new word once."""
 
@@ -54,36 +63,31 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {"": 0}
+        self.at = Numbers({"": 0})
         self.flat, self.begin, self.size, self.stop = np.array([END_ID], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, bool)
 
     def learn(self, new: list[str]) -> None:
-        got = [e.ids for e in self.library.encode_batch(new, add_special_tokens=False)]
+        """Ids of words that were numbered since the last call."""
+        got = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
         size = np.fromiter(map(len, got), np.int64, len(got))
         begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.stop = np.concatenate([self.stop, np.fromiter((w[-1] in SENTENCE_END for w in new), bool, len(new))])
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts, each followed by its end; where each text ends; where sentences end."""
         if len(self.at) > MEMO_WORDS:
             self.clear()
         split = [self.words(t) if t else [] for t in texts]
-        new: set[str] = set()
-        for s in split:
-            new.update(s)
-        new -= self.at.keys()
-        if new:
-            self.learn(sorted(new))
         count = np.fromiter(map(len, split), np.int64, len(split)) + 1
-        get = self.at.__getitem__
         last = np.cumsum(count) - 1
         index = np.zeros(int(count.sum()), np.int64)
         mask = np.ones(len(index), bool)
         mask[last] = False
-        index[mask] = np.fromiter((get(w) for s in split for w in s), np.int64, len(index) - len(split))
+        index[mask] = np.fromiter(map(self.at.__getitem__, chain.from_iterable(split)), np.int64, len(index) - len(split))
+        if len(self.at) > len(self.size):
+            self.learn(list(islice(self.at, len(self.size), None)))
         size = self.size[index]
         after = np.cumsum(size)
         ids = self.flat[np.arange(after[-1]) + np.repeat(self.begin[index] - after + size, size)]
@@ -97,35 +101,34 @@ def word_ids(path: str) -> WordIds:
 
 def cuts(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int) -> list[int]:
     """Ends of the windows that cover ``total`` tokens at least cost; the last is ``total``."""
-    penalty = {int(p): SENTENCE_PENALTY for p in sentence_ends}
     at = np.union1d(np.union1d(doc_ends, sentence_ends), np.array([0, total]))
     at = at[at <= total]
     step = min(LONG_SENTENCE, window)
     gaps = np.diff(at)
     if (long := np.flatnonzero(gaps > step)).size:
-        extra = np.concatenate([np.arange(at[k] + step, at[k + 1], step) for k in long])
-        penalty |= dict.fromkeys(extra.tolist(), INSIDE_PENALTY)
-        at = np.union1d(at, extra)
-    for p in doc_ends.tolist():
-        penalty[p] = 0
+        at = np.union1d(at, np.concatenate([np.arange(at[k] + step, at[k + 1], step) for k in long]))
+    penalty = np.where(np.isin(at, doc_ends), 0, np.where(np.isin(at, sentence_ends), SENTENCE_PENALTY, INSIDE_PENALTY)).tolist()
     places = at.tolist()
     n = len(places)
-    powers = [1 << k for k in range(9, window.bit_length()) if 1 << k < window]
+    # Windows of half and a quarter of the full length end without padding too.
+    halves = []
+    for w in (window // 2, window // 4):
+        k = np.searchsorted(at, at - w)
+        halves.append(np.where(at[np.minimum(k, n - 1)] == at - w, k, -1).tolist() if w & (w - 1) == 0 else [-1] * n)
     best, back = [0.0] * n, [0] * n
-    where = {p: i for i, p in enumerate(places)}
     queue: deque[int] = deque([0])
     key = [0.0] * n  # best[i] + at[i], rising along the queue
-    for j in range(1, n):
-        p = places[j]
-        while places[queue[0]] < p - window:
+    for j, p, extra, h, q in zip(range(1, n), places[1:], penalty[1:], halves[0][1:], halves[1][1:], strict=True):
+        low = p - window
+        while places[queue[0]] < low:
             queue.popleft()
         i = queue[0]
-        cost = key[i] + window - p
-        for w in powers:
-            k = where.get(p - w)
-            if k is not None and best[k] < cost:
-                cost, i = best[k], k
-        cost += penalty.get(p, 0)
+        cost = key[i] - low
+        if h >= 0 and best[h] < cost:
+            cost, i = best[h], h
+        if q >= 0 and best[q] < cost:
+            cost, i = best[q], q
+        cost += extra
         best[j], back[j] = cost, i
         key[j] = v = cost + p
         while queue and key[queue[-1]] >= v:

@@ -1 +1 @@
-
+"""The lineage repository: registries, analysis batches, impact, reports."""

@@ -1 +1 @@
-
+"""Tables, their columns, and definitions."""

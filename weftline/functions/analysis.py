@@ -7,6 +7,7 @@ to the tables that it reads, so no worker holds a whole catalog.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftline.dialect.lineage import Catalog, analyze, discover_sources
@@ -14,15 +15,28 @@ from weftline.dialect.tokens import LexError, fingerprint, tokenize
 
 IDENTITY = ["object_project", "object_dataset", "object_name", "object_type"]
 COLUMNS_TYPE = "array<struct<project_id:string,dataset_id:string,table_name:string,column_name:string,field_path:string,ordinal_position:int>>"
-RESULT = T._parse_datatype_string(
-    "status string, sources array<struct<scope_id:int,kind:string,name:string,alias:string,role:string,join:string>>, scopes array<struct<scope_id:int,kind:string,parent:int>>, "
-    "outputs array<struct<scope_id:int,ordinal:int,name:string,status:string,lineage_status:string,expression:string,dependencies:array<string>>>, "
-    "paths array<struct<output:string,ordinal:int,table:string,column_name:string,field_path:string,lineage_status:string>>, "
-    "references array<struct<scope_id:int,clause:string,name:string,status:string,line:int,column:int>>, "
-    "usages array<struct<scope_id:int,usage_type:string,reference_name:string,table:string,column_name:string,field_path:string,line:int,column:int,line_text:string>>, "
-    "diagnostics array<struct<severity:string,code:string,line:int,column:int,message:string>>, impacts array<string>"
-)
-TOKENS = T.ArrayType(T._parse_datatype_string("seq int, line int, column int, token string, normalized string, kind string, depth int"))
+
+
+def _struct(names: str) -> T.StructType:
+    """Fields of a structure; a name is a string's, with a colon an int's, with brackets an array of strings'."""
+    kinds = {":": T.IntegerType(), "]": T.ArrayType(T.StringType())}
+    return T.StructType([T.StructField(n.rstrip(":[]"), kinds.get(n[-1], T.StringType())) for n in names.split()])
+
+
+# The columns of the result tables.
+RESULT = T.StructType([T.StructField("status", T.StringType())] + [
+    T.StructField(part, T.ArrayType(_struct(names)))
+    for part, names in {
+        "sources": "scope_id: kind name alias role join",
+        "scopes": "scope_id: kind parent:",
+        "outputs": "scope_id: ordinal: name status lineage_status expression dependencies[]",
+        "paths": "output ordinal: table column_name field_path lineage_status",
+        "references": "scope_id: clause name status line: column:",
+        "usages": "scope_id: usage_type reference_name table column_name field_path line: column: line_text",
+        "diagnostics": "severity code line: column: message",
+    }.items()
+] + [T.StructField("impacts", T.ArrayType(T.StringType()))])
+TOKENS = T.ArrayType(_struct("seq: line: column: token normalized kind depth:"))
 
 
 def _rows(value, kind: T.DataType):
@@ -36,8 +50,6 @@ def _rows(value, kind: T.DataType):
 
 def analyze_definitions(definitions: DataFrame, sql: str = "definition_text", columns: str | None = "columns", variables: str | None = None, target: dict | None = None) -> DataFrame:
     """``definitions`` with ``result``: everything the analyzer tells about each statement (null text: PARTIAL_FAILURE)."""
-    import pandas as pd
-
     @F.pandas_udf(RESULT)
     def run(text: pd.Series, cols: pd.Series, names: pd.Series) -> pd.DataFrame:
         out = []
@@ -53,8 +65,6 @@ def analyze_definitions(definitions: DataFrame, sql: str = "definition_text", co
 
 def fingerprint_column(sql: str):
     """Fingerprint of a text column; null stays null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(text: pd.Series) -> pd.Series:
         return text.map(lambda t: None if t is None else fingerprint(t))
@@ -64,8 +74,6 @@ def fingerprint_column(sql: str):
 
 def tokens_column(sql: str):
     """Tokens of a text column; null where brackets do not match."""
-    import pandas as pd
-
     @F.pandas_udf(TOKENS)
     def run(text: pd.Series) -> pd.Series:
         def one(t):
@@ -81,8 +89,6 @@ def tokens_column(sql: str):
 
 def sources_column(sql: str):
     """Lower-case names of the physical tables that each statement reads."""
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def run(text: pd.Series) -> pd.Series:
         return text.map(lambda t: discover_sources(t) if t is not None else [])

@@ -24,7 +24,7 @@ def shard_matches(names: DataFrame, metadata: DataFrame) -> DataFrame:
     """(name, table): of each pattern with a star the latest table that it matches.  Patterns are few and joined by their fixed prefix's dataset."""
     p = names.filter(F.col("name").contains("*")).withColumn("_like", F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace("name", r"\.", r"\\."), r"\*", ".*"), F.lit("$")))
     tables = lookup_names(metadata).select("lookup", "table_name").distinct()
-    hit = p.join(tables, F.col("lookup").rlike(F.col("_like")) & (F.substring_index("lookup", ".", 1) == F.substring_index("name", ".", 1)))
+    hit = p.join(tables, F.rlike("lookup", F.col("_like")) & (F.substring_index("lookup", ".", 1) == F.substring_index("name", ".", 1)))
     w = Window.partitionBy("name").orderBy(F.desc("table_name"))
     return hit.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("name", "table_name")
 

@@ -12,7 +12,7 @@ change; else it makes one too, so no pair is lost.
 The signatures go packed, a few bytes each, to the group that their hash names.  A group sorts
 them; sets that share one are candidates.  Up to ``SMALL`` sets give all their pairs, larger
 buckets a star and their members.  Candidates pass exact bounds (sizes, then the distance of
-histograms of the sets, which is never more than that of the sets), then the texts are
+the sets' parity sketches, which is never more than that of the sets), then the texts are
 compared.  Links give components; larger buckets whose members are then in different
 components are compared pairwise across them, block against block.  So no link is lost and no
 group of copies is expanded into all pairs.
@@ -37,7 +37,8 @@ from weftline.llm.shared import documents, join_small, materialize, shuffle_part
 SMALL = 8
 #: Bytes of a signature beside the group that it goes to.  Equal bytes of different signatures only cost a comparison.
 SIGNATURE_BYTES = 5
-BINS = 64
+#: Bits of a set's parity sketch.
+BITS = 2048
 BLOCK = 512
 _C = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -119,8 +120,13 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.nda
     return who, sig
 
 
-def histogram(s: np.ndarray) -> bytes:
-    return np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+def parities(s: np.ndarray) -> bytes:
+    """Whether an odd number of the set's hashes falls into each of BITS bins: a shingle that two sets do not share changes one bit at most."""
+    return np.packbits(np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
+def _bits(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def _two_hashes(s: np.ndarray) -> tuple[int, int]:
@@ -133,7 +139,7 @@ _OUT = "kind int, a long, b long, n long, h1 long, h2 long, bins binary"
 
 
 def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int) -> DataFrame:
-    """Rows for the groups: documents (id, size, hashes, histogram), links to a task's earlier copy, packed signatures."""
+    """Rows for the groups: documents (id, size, hashes, sketch), links to a task's earlier copy, packed signatures."""
 
     def run(batches):
         import pyarrow as pa
@@ -163,7 +169,7 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                     node = prefix + np.arange(m)
                     two = [_two_hashes(s) for s in sets]
                     p = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % groups
-                    yield rows(m, kind=pa.array(np.full(m, DOCUMENT, np.int32)), p=pa.array(p.astype(np.int32)), node=pa.array(node), id=ids[q].cast(pa.int64()), n=pa.array([len(s) for s in sets], pa.int64()), h1=pa.array([x[0] for x in two], pa.int64()), h2=pa.array([x[1] for x in two], pa.int64()), bins=pa.array([histogram(s) for s in sets], pa.binary()))
+                    yield rows(m, kind=pa.array(np.full(m, DOCUMENT, np.int32)), p=pa.array(p.astype(np.int32)), node=pa.array(node), id=ids[q].cast(pa.int64()), n=pa.array([len(s) for s in sets], pa.int64()), h1=pa.array([x[0] for x in two], pa.int64()), h2=pa.array([x[1] for x in two], pa.int64()), bins=pa.array([parities(s) for s in sets], pa.binary()))
                     copies = []
                     for k, x in enumerate(two):
                         if len(sets[k]):
@@ -247,7 +253,7 @@ def _pairs_of_group(table):
 
 
 def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs whose sizes and histograms do not rule them out; ``proven`` where the sets' hashes are equal."""
+    """Pairs whose sizes and sketches do not rule them out; ``proven`` where the sets' hashes are equal."""
 
     def run(batches):
         import pyarrow as pa
@@ -256,8 +262,8 @@ def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
             if not x.num_rows:
                 continue
             na, nb = x.column("na").to_numpy(), x.column("nb").to_numpy()
-            ba, bb = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("ba", "bb"))
-            near = np.abs(ba - bb).sum(1) * (den + num) <= (na + nb) * (den - num)
+            differ = np.bitwise_count(_bits(x.column("ba")) ^ _bits(x.column("bb"))).sum(1, dtype=np.int64)
+            near = differ * (den + num) <= (na + nb) * (den - num)
             proven = x.column("same").to_numpy(zero_copy_only=False)
             keep = pa.array(near | proven)
             yield pa.RecordBatch.from_arrays([x.column(c).filter(keep) for c in ("ia", "ib", "same")], ["a", "b", "proven"])
@@ -272,9 +278,11 @@ def _with_documents(pairs: DataFrame, d: DataFrame) -> DataFrame:
     return pairs.withColumn("same", (F.col("ha") == F.col("hb")) & (F.col("ga") == F.col("gb")) & (F.col("na") == F.col("nb")))
 
 
-def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """The pairs (a < b) whose texts are similar."""
+def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a < b) whose texts are similar, and all pairs that were looked at; ``known`` are left out."""
     possible = possible.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "proven").groupBy("a", "b").agg(F.bool_or("proven").alias("proven"))
+    if known is not None:
+        possible = possible.join(known.select("a", "b"), ["a", "b"], "left_anti")
     possible = materialize(possible, "possible")
     open_ = possible.filter("NOT proven").select("a", "b")
     ids, size = stored(open_.select(F.explode(F.array("a", "b")).alias("_i")).distinct(), "compared")
@@ -297,7 +305,7 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int)
             yield pa.RecordBatch.from_arrays([x.column("a").filter(keep), x.column("b").filter(keep)], ["a", "b"])
 
     found = pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
-    return materialize(found.union(possible.filter("proven").select("a", "b")), "links")
+    return materialize(found.union(possible.filter("proven").select("a", "b")), "links"), possible
 
 
 def _across(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -313,14 +321,14 @@ def _across(members: DataFrame, num: int, den: int) -> DataFrame:
         mine = table.column("_mine").to_numpy()
         p, q = table.column("_p")[0].as_py(), table.column("_q")[0].as_py()
         ids, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
-        bins = np.frombuffer(b"".join(table.column("bins").to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)
+        bits = _bits(table.column("bins"))
         left, right = np.flatnonzero(mine == p), np.flatnonzero(mine == q)
         out = []
         for i in left.tolist():
             r = right[right > i] if p == q else right
             r = r[label[r] != label[i]]
             r = r[np.minimum(n[r], n[i]) * den >= np.maximum(n[r], n[i]) * num]
-            r = r[np.abs(bins[r] - bins[i]).sum(1) * (den + num) <= (n[r] + n[i]) * (den - num)]
+            r = r[np.bitwise_count(bits[r] ^ bits[i]).sum(1, dtype=np.int64) * (den + num) <= (n[r] + n[i]) * (den - num)]
             out += [(int(ids[i]), int(ids[j])) for j in r if ids[i] != ids[j]]
         return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "proven": pa.array([False] * len(out), pa.bool_())})
 
@@ -337,14 +345,15 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     pairs = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    links = _links(docs, _possible(_with_documents(pairs, d), num, den), width, num, den).union(copies)
+    links, known = _links(docs, _possible(_with_documents(pairs, d), num, den), width, num, den)
+    links = links.union(copies)
     members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     labels = materialize(components(links), "labels")
     if members.limit(1).count():
         m = members.distinct().join(d.filter("id IS NOT NULL").select("node", "id", "n", "bins"), "node").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
         m = materialize(m.select("bucket", "node", "id", "n", "bins", "label"), "members")
         mixed = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-        more = _links(docs, _across(m.join(mixed, "bucket", "left_semi"), num, den), width, num, den)
+        more, _ = _links(docs, _across(m.join(mixed, "bucket", "left_semi"), num, den), width, num, den, known)
         if more.limit(1).count():
             labels = materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
     out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")

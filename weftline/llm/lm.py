@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame, functions as F
 from weftline.llm.bytewise import in_pieces, word_hashes
 from weftline.llm.shared import documents, materialize
 
-#: The table of words is sent to all tasks up to this many (24 bytes each: 96 MB).
-BROADCAST_WORDS = 4_000_000
+#: The table of words is sent to all tasks up to this many (24 bytes each: 120 MB).
+BROADCAST_WORDS = 5_000_000
 #: Words that a task counts before it passes them on.
 COUNT_WORDS = 400_000
 SMOOTH = 0.1
@@ -141,8 +141,8 @@ def _add(a: float, b: float, exp, log) -> float:
     return a + log(1.0 + exp(b - a))
 
 
-def word_values(words: DataFrame, model, total: float) -> DataFrame:
-    """h (hash of the word), c, base and lm: log10 probabilities of the word under the base and the lattice model."""
+def word_values(words: DataFrame, model) -> DataFrame:
+    """h (hash of the word), c (its count in training texts), lm (log10 probability of the word by its lattice)."""
     shared = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -155,9 +155,9 @@ def word_values(words: DataFrame, model, total: float) -> DataFrame:
                 continue
             h, _ = word_hashes([x.encode() for x in w])
             lm = np.fromiter((lattice(x, pieces, single, longest) for x in w), float, len(w)) / LOG10
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c), pa.array(np.log10((c + 0.1) / total)), pa.array(lm)], ["h", "c", "base", "lm"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c), pa.array(lm)], ["h", "c", "lm"])
 
-    return words.select("word", "c").mapInArrow(run, "h long, c long, base double, lm double")
+    return words.select("word", "c").mapInArrow(run, "h long, c long, lm double")
 
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out_fold: int = 0, vocabulary_path: str | None = None, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
@@ -170,28 +170,28 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     train = (s["n"] or 0) + n_docs
     total = train + 0.1 * (s["v"] + (n_docs > 0) + 1)
     model = piece_scores(words, n_docs, path)
-    values = word_values(words, model, total)
+    values = word_values(words, model)
     end = (1 if n_docs else 0, math.log10((n_docs + 0.1) / total), model[2] / LOG10)
     if s["all"] <= broadcast_words:
-        out = _by_broadcast(docs, key, values, end)
+        out = _by_broadcast(docs, key, values, total, end)
     else:
-        out = _by_join(docs, key, materialize(values, "values"), end)
+        out = _by_join(docs, key, materialize(values.withColumn("base", F.log10((F.col("c") + 0.1) / total)), "values"), end)
     return out.select(key, "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _by_broadcast(docs: DataFrame, key: str, values: DataFrame, end: tuple) -> DataFrame:
+def _by_broadcast(docs: DataFrame, key: str, values: DataFrame, total: float, end: tuple) -> DataFrame:
     table = values.toArrow().combine_chunks()
     h = table.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    sent = docs.sparkSession.sparkContext.broadcast((h[order], *(table.column(x).to_numpy()[order] for x in ("base", "lm")), np.packbits(table.column("c").to_numpy()[order] > 0)))
-    del table
+    sent = docs.sparkSession.sparkContext.broadcast((h[order], *(table.column(x).to_numpy()[order] for x in ("c", "lm"))))
+    del table, h, order
     kind = dict(docs.dtypes)[key]
 
     def run(batches):
         import pyarrow as pa
 
-        h, base, lm, bits = sent.value
-        known = np.unpackbits(bits, count=len(h))
+        h, c, lm = sent.value
+        base, known = np.log10((c + 0.1) / total), c > 0
         for b in batches:
             texts = [t.encode() for t in b.column(1).to_pylist()]
             for part in in_pieces(texts):

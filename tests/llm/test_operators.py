@@ -255,3 +255,11 @@ def test_line_dedup(docs, messy, empty):
     assert sum(v[1] for v in want.values()) > 0
     assert lines.dedup_lines(messy).count() == len(DOCS) + 3
     assert lines.dedup_lines(empty).count() == 0
+
+
+def test_bucket_pointers_same_stretch_twice(spark):
+    """A stretch that one document has twice, of which only a part is in a smaller one: both lose that part."""
+    a, b = "".join(chr(97 + k % 26) for k in range(0, 7 * 70, 7)), "ZYXWVUTSRQPONMLKJIHGFEDCBA9876543210"
+    docs = {1: a[:60] + "!?", 2: a[4:70] + b + "#" * 3 + a[4:70] + b, 3: a[:60] + "%" + a[10:70]}
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, cases.sha(bytes(r.kept))) for r in substrings.dedup_substrings(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert got == cases.substrings(docs)

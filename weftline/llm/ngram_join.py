@@ -14,8 +14,9 @@ them; sets that share one are candidates.  Up to ``SMALL`` sets give all their p
 buckets a star and their members.  Candidates pass exact bounds (sizes, then the distance of
 the sets' parity sketches, which is never more than that of the sets), then the texts are
 compared.  Links give components; larger buckets whose members are then in different
-components are compared pairwise across them, block against block.  So no link is lost and no
-group of copies is expanded into all pairs.
+components try pairs that would join them, and what is still apart after ``FOREST_ROUNDS`` is compared
+pairwise across components, block against block.  So no link is lost and no group of copies is
+expanded into all pairs.
 
 Equal sets count as linked by their 128-bit hashes.  Signatures and hashes only propose.
 
@@ -40,6 +41,8 @@ SIGNATURE_BYTES = 5
 #: Bits of a set's parity sketch.
 BITS = 2048
 BLOCK = 512
+#: Rounds in which larger buckets try only spanning pairs, before the last tries all that are left.
+FOREST_ROUNDS = 2
 _C = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -285,31 +288,47 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
         possible = possible.join(known.select("a", "b"), ["a", "b"], "left_anti")
     possible = materialize(possible, "possible")
     open_ = possible.filter("NOT proven").select("a", "b")
-    ids, size = stored(open_.select(F.explode(F.array("a", "b")).alias("_i")).distinct(), "compared")
-    texts = join_small(docs.toDF("_i", "_t").filter("_i IS NOT NULL"), ids, size, ["_i"], "left_semi")
-    pairs = open_.join(texts.select(F.col("_i").alias("b"), F.col("_t").alias("tb")), "b").join(texts.select(F.col("_i").alias("a"), F.col("_t").alias("ta")), "a")
-
-    def run(batches):
+    # Documents that are compared share a leader; a block holds the documents of one or two tiles, so that
+    # a text is sent once to each block that needs it and not once for each of its pairs.
+    ends = open_.select("a", "b").union(open_.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
+    ends = ends.select(F.col("a").alias("_i"), F.least("a", "m").alias("leader"))
+    size = ends.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    tiles = materialize(ends.join(size, "leader").select("_i", F.xxhash64("leader", F.pmod(F.xxhash64("_i"), F.col("k"))).alias("tile")), "tiles")
+    x = open_.join(tiles.withColumnRenamed("_i", "a").withColumnRenamed("tile", "p"), "a").join(tiles.withColumnRenamed("_i", "b").withColumnRenamed("tile", "q"), "b")
+    x = materialize(x.select("a", "b", F.xxhash64(F.least("p", "q"), F.greatest("p", "q")).alias("block")), "blocks")
+    needed, size = stored(x.select("block", F.explode(F.array("a", "b")).alias("_i")).distinct(), "compared")
+    texts = join_small(docs.toDF("_i", "_t").filter("_i IS NOT NULL"), needed, size, ["_i"], "inner")
+
+    def run(pairs, texts):
         import pyarrow as pa
 
-        for x in batches:
-            ta, tb = ([t.encode() if t else b"" for t in x.column(c).to_pylist()] for c in ("ta", "tb"))
-            out = []
-            for part in in_pieces([p + q for p, q in zip(ta, tb, strict=True)]):
-                for p, q in zip(shingle_sets(ta[part], width), shingle_sets(tb[part], width), strict=True):
-                    both = np.concatenate([p, q])
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    out.append(shared > 0 and den * shared >= num * (len(p) + len(q) - shared))
-            keep = pa.array(out, pa.bool_())
-            yield pa.RecordBatch.from_arrays([x.column("a").filter(keep), x.column("b").filter(keep)], ["a", "b"])
-
-    found = pairs.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+        ids, own = texts.column("_i").to_pylist(), [t.encode() if t else b"" for t in texts.column("_t").to_pylist()]
+        sets: dict[int, list[np.ndarray]] = {}
+        for part in in_pieces(own):
+            for i, q in zip(ids[part], shingle_sets(own[part], width), strict=True):
+                sets.setdefault(i, []).append(q)
+        out = []
+        for i, j in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            out.append(any(_similar(p, q, num, den) for p in sets[i] for q in sets[j]))
+        keep = pa.array(out, pa.bool_())
+        return pa.table({c: pairs.column(c).filter(keep) for c in "ab"})
+
+    found = x.groupBy("block").cogroup(texts.select("block", "_i", "_t").groupBy("block")).applyInArrow(run, "a long, b long")
     return materialize(found.union(possible.filter("proven").select("a", "b")), "links"), possible
 
 
-def _across(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Possible pairs between members of a bucket with different labels; a bucket is taken block against block."""
+def _similar(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
+    both = np.concatenate([p, q])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared > 0 and den * shared >= num * (len(p) + len(q) - shared)
+
+
+def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+    """Possible pairs between members of a bucket with different labels; a bucket is taken block against block.
+
+    With ``forest`` only as many as would join the labels of a block if all of them were links.
+    """
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
     x = members.join(size, "bucket").withColumn("_k", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_k")).cast("int"))
     x = x.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
@@ -324,12 +343,28 @@ def _across(members: DataFrame, num: int, den: int) -> DataFrame:
         bits = _bits(table.column("bins"))
         left, right = np.flatnonzero(mine == p), np.flatnonzero(mine == q)
         out = []
+        root = {x: x for x in label.tolist()}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
         for i in left.tolist():
             r = right[right > i] if p == q else right
             r = r[label[r] != label[i]]
             r = r[np.minimum(n[r], n[i]) * den >= np.maximum(n[r], n[i]) * num]
             r = r[np.bitwise_count(bits[r] ^ bits[i]).sum(1, dtype=np.int64) * (den + num) <= (n[r] + n[i]) * (den - num)]
-            out += [(int(ids[i]), int(ids[j])) for j in r if ids[i] != ids[j]]
+            for j in r.tolist():
+                if ids[i] == ids[j]:
+                    continue
+                if forest:
+                    u, v = find(int(label[i])), find(int(label[j]))
+                    if u == v:
+                        continue
+                    root[u] = v
+                out.append((int(ids[i]), int(ids[j])))
         return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "proven": pa.array([False] * len(out), pa.bool_())})
 
     return x.select("bucket", "_p", "_q", "_mine", "id", "label", "n", "bins").groupBy("bucket", "_p", "_q").applyInArrow(run, "a long, b long, proven boolean")
@@ -350,12 +385,16 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     labels = materialize(components(links), "labels")
     if members.limit(1).count():
-        m = members.distinct().join(d.filter("id IS NOT NULL").select("node", "id", "n", "bins"), "node").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
-        m = materialize(m.select("bucket", "node", "id", "n", "bins", "label"), "members")
-        mixed = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-        more, _ = _links(docs, _across(m.join(mixed, "bucket", "left_semi"), num, den), width, num, den, known)
-        if more.limit(1).count():
-            labels = materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
+        members = materialize(members.distinct().join(d.filter("id IS NOT NULL").select("node", "id", "n", "bins"), "node"), "members")
+        # Each round but the last tries what would join the labels; the last leaves no pair untried.
+        for forest in (*[True] * FOREST_ROUNDS, False):
+            m = members.select("bucket", "id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
+            mixed = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
+            m = members.join(mixed, "bucket", "left_semi").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
+            more, tried = _links(docs, _across(m.select("bucket", "node", "id", "n", "bins", "label"), num, den, forest), width, num, den, known)
+            known = known.union(tried)
+            if more.limit(1).count():
+                labels = materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
     out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").cast(dict(docs.dtypes)[key]).alias("component_id"))
 

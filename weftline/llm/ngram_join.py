@@ -42,7 +42,7 @@ SIGNATURE_BYTES = 5
 BITS = 2048
 BLOCK = 512
 #: Rounds in which larger buckets try only spanning pairs, before the last tries all that are left.
-FOREST_ROUNDS = 2
+FOREST_ROUNDS = 1
 _C = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 

@@ -351,20 +351,24 @@ def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
                 x = root[x]
             return x
 
-        for i in left.tolist():
-            r = right[right > i] if p == q else right
-            r = r[label[r] != label[i]]
-            r = r[np.minimum(n[r], n[i]) * den >= np.maximum(n[r], n[i]) * num]
-            r = r[np.bitwise_count(bits[r] ^ bits[i]).sum(1, dtype=np.int64) * (den + num) <= (n[r] + n[i]) * (den - num)]
-            for j in r.tolist():
-                if ids[i] == ids[j]:
-                    continue
+        # Some rows against all others at a time, within about a megabyte of sketches.
+        rows = max(1, 4096 // max(1, len(right)))
+        for at in range(0, len(left), rows):
+            i = left[at : at + rows]
+            total = n[i][:, None] + n[right][None, :]
+            near = np.bitwise_count(bits[i][:, None, :] ^ bits[right][None, :, :]).sum(2, dtype=np.int64) * (den + num) <= total * (den - num)
+            near &= np.minimum(n[i][:, None], n[right][None, :]) * den >= np.maximum(n[i][:, None], n[right][None, :]) * num
+            near &= (label[i][:, None] != label[right][None, :]) & (ids[i][:, None] != ids[right][None, :])
+            if p == q:
+                near &= right[None, :] > i[:, None]
+            for x, y in zip(*np.nonzero(near), strict=True):
+                j, k = int(i[x]), int(right[y])
                 if forest:
-                    u, v = find(int(label[i])), find(int(label[j]))
+                    u, v = find(int(label[j])), find(int(label[k]))
                     if u == v:
                         continue
                     root[u] = v
-                out.append((int(ids[i]), int(ids[j])))
+                out.append((int(ids[j]), int(ids[k])))
         return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "proven": pa.array([False] * len(out), pa.bool_())})
 
     return x.select("bucket", "_p", "_q", "_mine", "id", "label", "n", "bins").groupBy("bucket", "_p", "_q").applyInArrow(run, "a long, b long, proven boolean")

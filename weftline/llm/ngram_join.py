@@ -374,6 +374,13 @@ def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     return x.select("bucket", "_p", "_q", "_mine", "id", "label", "n", "bins").groupBy("bucket", "_p", "_q").applyInArrow(run, "a long, b long, proven boolean")
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    for x in "ab":
+        pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"_{x}")), x, "left")
+    return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "proven")
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links of similarity num / den)."""
     docs = docs.select(F.col(key), F.col(text))
@@ -384,8 +391,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     pairs = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    links, known = _links(docs, _possible(_with_documents(pairs, d), num, den), width, num, den)
-    links = links.union(copies)
+    found = materialize(_possible(_with_documents(pairs, d), num, den).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "proven").groupBy("a", "b").agg(F.bool_or("proven").alias("proven")), "candidates")
+    # First each document with the least of its partners; then only pairs that these links leave apart.
+    least = found.filter("NOT proven").groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.lit(False).alias("proven"))
+    links, known = _links(docs, least.union(found.filter("proven").select("a", "b", "proven")), width, num, den)
+    links = materialize(links.union(copies), "links")
+    rest = _apart(found, materialize(components(links), "labels"))
+    more, tried = _links(docs, rest, width, num, den, known)
+    links, known = links.union(more), known.union(tried)
     members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     labels = materialize(components(links), "labels")
     if members.limit(1).count():

@@ -31,18 +31,29 @@ from itertools import chain, islice
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.encoding import MEMO_WORDS, PIECE_CHARS, vocabulary, word_vocabulary
+from weftline.llm.encoding import PIECE_CHARS, word_vocabulary
 from weftline.llm.shared import documents
 
 END_ID = 2
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 64
 LONG_SENTENCE = 256
 SEGMENT_TOKENS = 262_144
+#: Blank-free chunks that a Python worker remembers; it starts anew beyond.
+MEMO_CHUNKS = 800_000
 SENTENCE_END = frozenset(".!?…。！？")
 
 
+def chunks(text: str) -> list[str]:
+    """Parts of a text between Unicode white space, which U+001C to U+001F are not; tokens never cross it."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        import regex
+
+        return [x for x in regex.split(r"\p{White_Space}+", text) if x]
+    return text.split()
+
+
 class Numbers(dict):
-    """Numbers words as they are first asked for."""
+    """Numbers chunks as they are first asked for."""
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self)
@@ -50,13 +61,12 @@ class Numbers(dict):
 
 
 class WordIds:
-    """Ids of words as flat arrays; the library encodes each new word once."""
+    """Ids of blank-free chunks as flat arrays; the library encodes each new chunk once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.words = vocabulary(path).words
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -67,7 +77,7 @@ class WordIds:
         self.flat, self.begin, self.size, self.stop = np.array([END_ID], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, bool)
 
     def learn(self, new: list[str]) -> None:
-        """Ids of words that were numbered since the last call."""
+        """Ids of chunks that were numbered since the last call."""
         got = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
         size = np.fromiter(map(len, got), np.int64, len(got))
         begin = len(self.flat) + np.cumsum(size) - size
@@ -77,9 +87,9 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts, each followed by its end; where each text ends; where sentences end."""
-        if len(self.at) > MEMO_WORDS:
+        if len(self.at) > MEMO_CHUNKS:
             self.clear()
-        split = [self.words(t) if t else [] for t in texts]
+        split = [chunks(t) if t else [] for t in texts]
         count = np.fromiter(map(len, split), np.int64, len(split)) + 1
         last = np.cumsum(count) - 1
         index = np.zeros(int(count.sum()), np.int64)

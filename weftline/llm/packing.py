@@ -27,6 +27,7 @@ import zlib
 from collections import deque
 from functools import lru_cache
 from itertools import chain, islice
+from unicodedata import is_normalized
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -52,6 +53,16 @@ def chunks(text: str) -> list[str]:
     return text.split()
 
 
+def simple(chunk: str) -> tuple[str, ...]:
+    """A chunk as its lower-case word of letters and the stop or comma after it, or as it is."""
+    word, mark = (chunk[:-1], chunk[-1:]) if chunk[-1] in ".," else (chunk, "")
+    low = word.lower()
+    # Letters that come apart when normalised or lowered would join the mark.
+    if not word.isalpha() or not low.isalpha() or "\u03a3" in word or not is_normalized("NFC", word):
+        return (chunk,)
+    return (low, mark) if mark else (low,)
+
+
 class Numbers(dict):
     """Numbers chunks as they are first asked for."""
 
@@ -78,7 +89,11 @@ class WordIds:
 
     def learn(self, new: list[str]) -> None:
         """Ids of chunks that were numbered since the last call."""
-        got = [e.ids for e in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        # A word of letters and one mark after it are tokens apart: such chunks share the word's ids.
+        plain = [simple(c) for c in new]
+        one = list(dict.fromkeys(chain.from_iterable(plain)))
+        ids = dict(zip(one, (e.ids for e in self.library.encode_batch_fast(one, add_special_tokens=False)), strict=True))
+        got = [ids[x[0]] if len(x) == 1 else ids[x[0]] + ids[x[1]] for x in plain]
         size = np.fromiter(map(len, got), np.int64, len(got))
         begin = len(self.flat) + np.cumsum(size) - size
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])

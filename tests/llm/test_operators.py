@@ -104,6 +104,18 @@ def test_partenum_large_buckets(spark):
     assert got == cases.linked(docs)
 
 
+def test_partenum_row_without_id_first(spark):
+    """A row without id comes before equal and near texts in the same task, and more equal texts are in other tasks."""
+    w = [f"y{k}" for k in range(60)]
+    text, near = " ".join(w), " ".join([*w, "tail"])
+    docs = {1: text, 2: text, 3: near, 4: text, 5: text, 6: near, 7: "another text of its own here"}
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    first = frame([(None, text), (None, near), *[(k, docs[k]) for k in (1, 2, 3, 7)]])
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_groups(first.union(frame([(k, docs[k]) for k in (4, 5, 6)]))).collect()}
+    assert got.pop(None)[1] is None
+    assert got == cases.linked(docs)
+
+
 def test_bpe(docs, messy, empty):
     t = tokenizer()
     got = {r.doc_id: r for r in encoding.encode(docs).collect()}

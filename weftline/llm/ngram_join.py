@@ -173,11 +173,14 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                     two = [_two_hashes(s) for s in sets]
                     p = ((node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % groups
                     yield rows(m, kind=pa.array(np.full(m, DOCUMENT, np.int32)), p=pa.array(p.astype(np.int32)), node=pa.array(node), id=ids[q].cast(pa.int64()), n=pa.array([len(s) for s in sets], pa.int64()), h1=pa.array([x[0] for x in two], pa.int64()), h2=pa.array([x[1] for x in two], pa.int64()), bins=pa.array([parities(s) for s in sets], pa.binary()))
-                    copies = []
+                    copies, named = [], ids[q].is_valid().to_pylist()
                     for k, x in enumerate(two):
                         if len(sets[k]):
-                            first = seen.setdefault(x, int(node[k]))
-                            if first != node[k]:
+                            # A row without an id links nothing, so it stands for no other row and needs no signature.
+                            first = seen.setdefault(x, int(node[k])) if named[k] else None
+                            if first is None:
+                                sets[k] = sets[k][:0]
+                            elif first != node[k]:
                                 copies.append((first, int(node[k]), int(p[k])))
                                 sets[k] = sets[k][:0]
                     if copies:

@@ -40,3 +40,14 @@ def test_gate(spark):
     meta = spark.createDataFrame([], META)
     s = daily.run(views(spark, V="SELECT 1 AS one"), meta, exclude=["^d$"])
     assert s.registry.count() == 0 and s.impact.count() == 0
+
+
+def test_sharded_sources(spark):
+    """Patterns of one to three parts read the columns of their latest shard in each dataset, not those of older ones."""
+    tables = {("d", "e_1"): "ab", ("d", "e_2"): "ac", ("d", "e_10"): "b", ("d", "other"): "a", ("d2", "e_9"): "z"}
+    meta = spark.createDataFrame([("p", d, t, c, c, k) for (d, t), cs in tables.items() for k, c in enumerate(cs)], META)
+    s = daily.run(views(spark, TWO="SELECT a AS x FROM `d.e_*` WHERE c = 1", THREE="SELECT c FROM `p.d.e_*`", ONE="SELECT z FROM `e_9*`", BOTH="SELECT w.b, o.a FROM `d.e_1*` w JOIN d.other o ON o.a = w.b", OLD="SELECT b FROM `d.e_2*`", NONE="SELECT a FROM `d.f_*`"), meta)
+    assert edges(s) == {("two", "x", "e_*", "a"), ("three", "c", "e_*", "c"), ("one", "z", "e_9*", "z"), ("both", "b", "e_1*", "b"), ("both", "a", "other", "a")}
+    assert {(r.object_name, r.source_object, r.source_column) for r in s.usages.filter("usage_type = 'WHERE'").collect()} == {("two", "e_*", "c")}
+    assert ("p.d.e_*", "p.d.two", 1) in {(r.origin, r.impacted, r.impact_rank) for r in s.impact.collect()}
+    assert {r.object_name for r in s.unanalyzed.collect()} == {"old", "none"}

@@ -195,7 +195,7 @@ def exact_or_shard_match(spark, sf_dir):
     m = spark.createDataFrame([("p", "tpch", t, "c", "c", 1) for t in ("e_1", "e_2", "customer", "f_3")], "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int")
     names = spark.createDataFrame([("tpch.e_*",), ("tpch.customer",)], "name string")
     exact = names.join(batch.lookup_names(m).select(F.col("lookup").alias("name"), "table_name"), "name")
-    return batch.shard_matches(names, m).unionByName(exact.select("name", "table_name"))
+    return batch.shard_matches(names, m).select("name", "table_name").unionByName(exact.select("name", "table_name"))
 
 
 @query(values("definitions, completed, with_errors, failed", [(12, 10, 1, 1)]))

@@ -21,12 +21,19 @@ def lookup_names(metadata: DataFrame) -> DataFrame:
 
 
 def shard_matches(names: DataFrame, metadata: DataFrame) -> DataFrame:
-    """(name, table): of each pattern with a star the latest table that it matches.  Patterns are few and joined by their fixed prefix's dataset."""
-    p = names.filter(F.col("name").contains("*")).withColumn("_like", F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace("name", r"\.", r"\\."), r"\*", ".*"), F.lit("$")))
-    tables = lookup_names(metadata).select("lookup", "table_name").distinct()
-    hit = p.join(tables, F.rlike("lookup", F.col("_like")) & (F.substring_index("lookup", ".", 1) == F.substring_index("name", ".", 1)))
-    w = Window.partitionBy("name").orderBy(F.desc("table_name"))
-    return hit.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("name", "table_name")
+    """(name, project, dataset, table): of each pattern with a star the latest table that it matches in each dataset.
+
+    A pattern of one to three parts meets the names that begin with what it has before the star, which is one
+    equi-join on the prefixes of the lengths that occur.
+    """
+    like = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace("name", r"\.", r"\\."), r"\*", ".*"), F.lit("$"))
+    p = names.select("name").filter(F.col("name").contains("*")).distinct().withColumn("_like", like).withColumn("_prefix", F.substring_index("name", "*", 1))
+    lengths = p.select(F.length("_prefix").alias("_n")).distinct()
+    table = ["project_id", "dataset_id", "table_name"]
+    tables = lookup_names(metadata.select(*table).distinct()).crossJoin(F.broadcast(lengths)).withColumn("_prefix", F.expr("left(lookup, _n)"))
+    hit = p.join(tables, "_prefix").filter(F.rlike("lookup", F.col("_like")))
+    w = Window.partitionBy("name", "project_id", "dataset_id").orderBy(F.desc("table_name"))
+    return hit.select("name", *table).distinct().withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("name", *table)
 
 
 def with_columns(definitions: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -34,7 +41,11 @@ def with_columns(definitions: DataFrame, metadata: DataFrame) -> DataFrame:
     d = definitions.withColumn("referenced", sources_column("definition_text"))
     named = d.select(*OBJECT, F.explode("referenced").alias("lookup"))
     fields = ["project_id", "dataset_id", "table_name", "column_name", "field_path", "ordinal_position"]
-    hits = named.join(lookup_names(metadata), "lookup").select(*OBJECT, F.struct("ordinal_position", *[c for c in fields if c != "ordinal_position"]).alias("c")).distinct()
+    exact = named.join(lookup_names(metadata), "lookup").select(*OBJECT, *fields)
+    shards = shard_matches(named.select(F.col("lookup").alias("name")), metadata).withColumnRenamed("name", "lookup")
+    # A shard's columns go under the last part of the pattern, as the definition names it.
+    sharded = named.join(shards, "lookup").join(metadata.select(*fields), ["project_id", "dataset_id", "table_name"]).withColumn("table_name", F.substring_index("lookup", ".", -1)).select(*OBJECT, *fields)
+    hits = exact.unionByName(sharded).select(*OBJECT, F.struct("ordinal_position", *[c for c in fields if c != "ordinal_position"]).alias("c")).distinct()
     cols = hits.groupBy(*OBJECT).agg(F.array_sort(F.collect_list("c")).alias("c"))
     cols = cols.withColumn("columns", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in fields]))).drop("c")
     return d.join(cols, OBJECT, "left").withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))

@@ -116,6 +116,16 @@ def test_partenum_row_without_id_first(spark):
     assert got == cases.linked(docs)
 
 
+def test_partenum_many_signatures_in_a_group(spark):
+    """Two equal sets in two tasks with more than 65,535 signatures of each in one group."""
+    text = " ".join(f"z{k}" for k in range(90_000))
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string").repartition(2, "doc_id")
+    packed = ngram_join._signature_rows(docs.union(docs), 1, 5, 75, 100)
+    assert max(len(r.sigs) for r in packed.filter("sigs IS NOT NULL").select("sigs").collect()) > 65_535 * ngram_join.SIGNATURE_BYTES
+    rows = packed.groupBy("p").applyInArrow(ngram_join._pairs_of_group, ngram_join._OUT).filter(f"kind = {ngram_join.PAIR}")
+    assert rows.count() > 0
+
+
 def test_bpe(docs, messy, empty):
     t = tokenizer()
     got = {r.doc_id: r for r in encoding.encode(docs).collect()}

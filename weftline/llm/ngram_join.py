@@ -192,7 +192,7 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                         to, who, sig = to[order], who[order], (sig // np.uint64(groups))[order]
                         raw = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES])
                         new = np.flatnonzero(np.concatenate([[True], (np.diff(to) != 0) | (np.diff(who) != 0)]))
-                        count = np.diff(np.concatenate([new, [len(to)]])).astype(np.uint16)
+                        count = np.diff(np.concatenate([new, [len(to)]])).astype(np.uint32)
                         cut = np.flatnonzero(np.concatenate([[True], np.diff(to) != 0]))
                         ends = np.concatenate([cut[1:], [len(to)]])
                         at = np.searchsorted(new, np.concatenate([cut, [len(to)]]))
@@ -224,7 +224,7 @@ def _pairs_of_group(table):
             wide = np.zeros((len(s) // SIGNATURE_BYTES, 8), np.uint8)
             wide[:, :SIGNATURE_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, SIGNATURE_BYTES)
             sig.append(wide.view(np.uint64).ravel())
-            node.append(np.repeat(np.frombuffer(loc, np.uint16).astype(np.int64) + prefix, np.frombuffer(cnt, np.uint16)))
+            node.append(np.repeat(np.frombuffer(loc, np.uint16).astype(np.int64) + prefix, np.frombuffer(cnt, np.uint32)))
         sig, node = np.concatenate(sig), np.concatenate(node)
         order = np.argsort(sig, kind="stable")
         sig, node = sig[order], node[order]

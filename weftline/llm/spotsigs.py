@@ -5,8 +5,8 @@ words, other common words between them skipped.  Only the last of several anchor
 begins a chain, and the text's start counts as an anchor.  A text's fingerprint is its set of
 signatures, sorted; a text with few chains has those of all its content words too, one without any
 the hashes of its words instead.  Two
-fingerprints are compared by Jaccard similarity; sets are kept apart by their length: if the
-shorter is empty, or the lengths alone rule out ``min_likeness``, nothing is intersected.
+fingerprints are compared by Jaccard similarity: if the shorter is empty, or the lengths alone
+rule out ``min_likeness`` (0 in the query, which rules out nothing), nothing is intersected.
 
 The next document is found without a sort of everything in one task: ids are cut into cells of
 equal width (at most ``MAX_CELLS``), a cell is one window, and the first document of a cell is

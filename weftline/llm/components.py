@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.shared import materialize
+from weftline.llm.shared import forget, materialize
+
+
+#: A node's pairs are dealt to so many tasks.
+SALTS = 8
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
-    """(v, u, m): each pair with the least of v and its partners.  Partial sums first, then a join that AQE may split."""
+    """(v, u, m): each pair with the least of v and its partners.  Partial sums first, then a join that deals a star's pairs to several tasks."""
     least = pairs.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-    return pairs.join(least.hint("merge"), "v")
+    least = least.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return pairs.withColumn("_s", F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int")).join(least.hint("merge"), ["v", "_s"]).drop("_s")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -36,5 +41,6 @@ def components(edges: DataFrame) -> DataFrame:
         s = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if before == (s["n"], s["h"]):
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = (s["n"], s["h"])
+        before, last = (s["n"], s["h"]), e
         e = materialize(_small_star(_large_star(e)), "edges")
+        forget(last)

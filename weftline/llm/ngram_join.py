@@ -2,21 +2,23 @@
 
 A document's set are the hashes of its distinct word shingles.  Sets whose sizes differ by no
 more than the similarity allows fall into the same or neighbouring bands of sizes.  In a band
-two similar sets differ in few shingles, so the domain of shingles is parted at two levels by
-a hash: ``n1`` parts of ``n2`` cells each.  A signature is what a set has in a subset of
-``n2 - k2`` cells of a part, with every subset enumerated; with n2 = 2 and k2 = 1, each cell.
-There are more cells than similar sets can differ in, so they agree on one.  An empty cell
-makes no signature if the cells that the set does fill are still more than any partner can
-change; else it makes one too, so no pair is lost.
-
-The signatures go packed, a few bytes each, to the group that their hash names.  A group sorts
-them; sets that share one are candidates.  Up to ``SMALL`` sets give all their pairs, larger
+two similar sets differ in at most k shingles.  The domain of shingles is parted at two levels by
+a hash: ``n1`` parts of ``CELLS`` cells each.  A signature is what a set has in ``CELLS - DIFFER``
+cells of one part, for every such subset of every part.  n1 is so large that similar sets agree in
+several signatures: one differing shingle spoils two of a part's three subsets, a second one the rest.
+So each set may leave out as many as similar sets agree in beside one.  It leaves out its
+last by an order that only content decides (shingles that are not common first, then all, then a
+hash): of the signatures that two sets agree in, both keep the first.  Passages that very many
+documents hold therefore make no buckets of their own where the documents have enough beside them.
+
+The signatures go packed to the group that their hash names.  A group sorts them; sets
+that have one in common are candidates.  Up to ``SMALL`` sets give all their pairs, larger
 buckets a star and their members.  Candidates pass exact bounds (sizes, then the distance of
 the sets' parity sketches, which is never more than that of the sets), then the texts are
 compared.  Links give components; larger buckets whose members are then in different
 components try pairs that would join them, and what is still apart after ``FOREST_ROUNDS`` is compared
-pairwise across components, block against block.  So no link is lost and no group of copies is
-expanded into all pairs.
+across components: all members outside of the bucket's largest component against all of the bucket.
+So no link is lost and no group of copies is expanded into all pairs.
 
 Equal sets count as linked by their 128-bit hashes.  Signatures and hashes only propose.
 
@@ -32,33 +34,43 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.bytewise import in_pieces, mix, word_hashes
 from weftline.llm.components import components
-from weftline.llm.shared import documents, join_small, materialize, shuffle_parts, stored
+from weftline.llm.shared import documents, forget, join_small, materialize, shuffle_parts, stored
 
+#: Cells of a part, and how many of them a subset leaves out.
+CELLS, DIFFER = 3, 1
 #: Sets in a bucket that give all their pairs; larger buckets give stars first.
 SMALL = 8
 #: Bytes of a signature beside the group that it goes to.  Equal bytes of different signatures only cost a comparison.
 SIGNATURE_BYTES = 5
-#: Bits of a set's parity sketch.
-BITS = 2048
-BLOCK = 512
+#: Documents, and their shingles, whose texts are compared in one task.
+BLOCK, BLOCK_SHINGLES = 512, 400_000
+#: Members of a bucket, and bytes of their sketches, in one tile of ``_across``.
+TILE, TILE_BYTES = 2048, 4 << 20
 #: Rounds in which larger buckets try only spanning pairs, before the last tries all that are left.
 FOREST_ROUNDS = 1
+#: Shingles are counted by this many bits of their hash; a task tells of those that it has this often; so many make one common.
+COUNT_BITS, COUNT_LOCAL, COMMON = 24, 4, 32
 _C = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text."""
+def _shingles(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of ``width`` words, also across texts; where each text's words begin; hashes of the words."""
     h, n = word_hashes(texts)
-    edge = np.concatenate([[0], np.cumsum(n)])
     full = max(len(h) - width + 1, 0)
     s = np.zeros(full, np.uint64)
     for k in range(width):
         s += h[k : k + full] * (_C[k] | np.uint64(1))
-    s = mix(s)
+    return mix(s), np.concatenate([[0], np.cumsum(n)]), h
+
+
+def shingle_sets(texts: list[bytes], width: int = 5) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text."""
+    s, edge, h = _shingles(texts, width)
     out = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         if b - a >= width:
-            out.append(np.unique(s[a : b - width + 1]))
+            x = np.sort(s[a : b - width + 1])
+            out.append(x[np.concatenate([[True], x[1:] != x[:-1]])])
         elif b > a:
             out.append(mix((h[a:b] * (_C[32 : 32 + b - a] | np.uint64(1))).sum(keepdims=True, dtype=np.uint64) + _C[b - a]))
         else:
@@ -81,8 +93,8 @@ class Bands:
         self.low, self.high = np.array(low), np.array(high)
         # Sets of sizes s and t that are similar differ in at most (s + t) * (den - num) / (den + num) shingles.
         most = 2 * self.high * (den - num) // (den + num)
-        spare = np.maximum(3, -(-most // 10))
-        self.cells = 2 * (-(-(most + 1 + spare) // 2))
+        # (DIFFER + 1) * n1 is more than the most; the rest is what signatures may be left out for.
+        self.parts = -(-(most + 1 + -(-3 * most // 10)) // (DIFFER + 1))
 
     def band(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.high, size)
@@ -92,44 +104,124 @@ class Bands:
         other = np.minimum(self.high[band], size * self.den // self.num)
         return (size + other) * (self.den - self.num) // (self.den + self.num)
 
+    def spoiled(self, size: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """The most signatures that so many differing shingles spoil: two for the first in a part, one for a second."""
+        k, n1 = self.change(size, band), self.parts[band]
+        return np.minimum(2 * np.minimum(k, n1) + np.maximum(k - n1, 0), CELLS * n1)
 
-def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature) of all signatures, by set."""
+
+def signatures(sets: list[np.ndarray], bands: Bands, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, signature) of the signatures that the sets keep, by band and set."""
     size = np.fromiter(map(len, sets), np.int64, len(sets))
     have = np.flatnonzero(size)
     if not len(have):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    items = np.concatenate(sets)
+    items, size = np.concatenate(sets), size[have]
     value = mix(items ^ np.uint64(0xA5A5A5A5DEADBEEF))
+    rare = items if common is None else _rare(items, common)
     who, sig = [], []
-    own = bands.band(size[have])
+    own = bands.band(size)
     for band in (own, own + 1):
-        cells = bands.cells[band]
-        base = np.cumsum(cells) - cells
-        seed = mix(band.astype(np.uint64) + np.uint64(77))
-        place = mix(items ^ np.repeat(seed, size[have])) >> np.uint64(32)
-        cell = ((place * np.repeat(cells, size[have]).astype(np.uint64)) >> np.uint64(32)).astype(np.int64) + np.repeat(base, size[have])
-        total = int(cells.sum())
-        held, sums = np.bincount(cell, minlength=total), np.zeros(total, np.uint64)
+        n1 = bands.parts[band]
+        base = CELLS * (np.cumsum(n1) - n1)
+        place = mix(items ^ np.repeat(mix(band.astype(np.uint64) + np.uint64(77)), size)) >> np.uint64(32)
+        cell = ((place * np.repeat((CELLS * n1).astype(np.uint64), size)) >> np.uint64(32)).astype(np.int64) + np.repeat(base, size)
+        total = int(CELLS * n1.sum())
+        sums = np.zeros(total, np.uint64)
         np.add.at(sums, cell, value)
-        filled = np.add.reduceat(held > 0, base, dtype=np.int64)
-        safe = filled > bands.change(size[have], band)
-        emit = np.flatnonzero((held > 0) | np.repeat(~safe, cells))
-        of = np.repeat(np.arange(len(have)), cells)[emit]
-        name = (band[of].astype(np.uint64) << np.uint64(32)) + (emit - base[of]).astype(np.uint64)
-        who.append(have[of])
-        sig.append(mix(sums[emit] + mix(name)))
-    who, sig = np.concatenate(who), np.concatenate(sig)
-    return who, sig
+        held = np.bincount(cell, minlength=total).reshape(-1, CELLS)
+        few = held if common is None else np.bincount(cell[rare], minlength=total).reshape(-1, CELLS)
+        # What is in a part without one of its cells.
+        held, few = (np.minimum(x.sum(1, keepdims=True) - x, 63).ravel().astype(np.uint64) for x in (held, few))
+        sums = sums.reshape(-1, CELLS)
+        sums = (sums.sum(1, keepdims=True) - sums).ravel()
+        of = np.repeat(np.arange(len(have)), CELLS * n1)
+        name = (band[of].astype(np.uint64) << np.uint64(32)) + (np.arange(total) - base[of]).astype(np.uint64)
+        s = mix(sums + mix(name))
+        rank = (few << np.uint64(58)) | (held << np.uint64(52)) | (s >> np.uint64(12))
+        kept = np.zeros(total, bool)
+        most = CELLS * n1 - bands.spoiled(size, band) - 1  # how many may be left out
+        # Sets with as many signatures are ranked together.
+        for n in np.unique(n1):
+            at = np.flatnonzero(n1 == n)
+            rows = base[at][:, None] + np.arange(CELLS * n)
+            r = rank[rows]
+            least = np.sort(r, axis=1)[np.arange(len(at)), most[at]]
+            kept[rows] = r >= least[:, None]
+        kept = np.flatnonzero(kept)
+        who.append(have[of[kept]])
+        sig.append(s[kept])
+    return np.concatenate(who), np.concatenate(sig)
+
+
+def _rare(items: np.ndarray, common: np.ndarray) -> np.ndarray:
+    b = items >> np.uint64(64 - COUNT_BITS)
+    return (common[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 0
+
+
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """A bit for each of 2 ** COUNT_BITS hash values of shingles: whether many documents have one with it.
+
+    It has a fixed size, covers all documents and only orders signatures: no result depends on it.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        count, seen = np.zeros(1 << COUNT_BITS, np.uint32), 0
+        for b in batches:
+            texts = [t.encode() if t else b"" for t in b.column(0).to_pylist()]
+            for part in in_pieces(texts):
+                s = _shingles(texts[part], width)[0] >> np.uint64(64 - COUNT_BITS)
+                np.add.at(count, s.astype(np.int64), np.uint32(1))
+                seen += len(s)
+        at = np.flatnonzero(count >= max(COUNT_LOCAL, 4 * seen // len(count) + COUNT_LOCAL))
+        for k in range(0, len(at), 100_000):
+            x = at[k : k + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(count[x].astype(np.int64))], ["b", "c"])
+
+    total = materialize(docs.mapInArrow(run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")), "counts")
+    mean = (total.agg(F.sum("c")).first()[0] or 0) / (1 << COUNT_BITS)
+    place = (F.col("b") + 1).cast("long")
+    rows = total.filter(F.col("c") >= max(COMMON, 4 * mean)).groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros(1 << (COUNT_BITS - 3), np.uint8)
+    for r in rows.collect():  # at most 2 ** COUNT_BITS bits in all
+        out[4096 * (r.k - 1) : 4096 * r.k] = np.frombuffer(r.bits, np.uint8)
+    forget(total)
+    return out
 
 
 def parities(s: np.ndarray) -> bytes:
-    """Whether an odd number of the set's hashes falls into each of BITS bins: a shingle that two sets do not share changes one bit at most."""
-    return np.packbits(np.bincount((s >> np.uint64(53)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
+    """Whether an odd number of the set's hashes falls into each of 2 to 4 bins a shingle: one that two sets do not have in common changes one bit at most."""
+    bits = 64
+    while bits < 2 * len(s):
+        bits *= 2
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _folded(column, width: int) -> np.ndarray:
+    """Sketches as rows of 64-bit words, folded to ``width`` bytes (all of them are powers of two)."""
+    raw = column if isinstance(column, list) else column.to_pylist()
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    out = np.zeros((len(raw), width // 8), np.uint64)
+    for n in np.unique(size):
+        at = np.flatnonzero(size == n)
+        x = np.frombuffer(b"".join([raw[k] for k in at.tolist()]), np.uint64).reshape(len(at), -1, width // 8)
+        out[at] = np.bitwise_xor.reduce(x, axis=1)
+    return out
 
 
-def _bits(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def _distances(a, b) -> np.ndarray:
+    """In how many bits two columns of sketches differ; the larger one is folded to the smaller."""
+    a, b = a.to_pylist(), b.to_pylist()
+    width = np.minimum(np.fromiter(map(len, a), np.int64, len(a)), np.fromiter(map(len, b), np.int64, len(b)))
+    out = np.zeros(len(a), np.int64)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        for rows in np.array_split(at, -(-len(at) * int(w) // (8 << 20))):
+            x, y = (_folded([c[k] for k in rows.tolist()], int(w)) for c in (a, b))
+            out[rows] = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+    return out
 
 
 def _two_hashes(s: np.ndarray) -> tuple[int, int]:
@@ -137,18 +229,19 @@ def _two_hashes(s: np.ndarray) -> tuple[int, int]:
 
 
 KINDS = DOCUMENT, SIGNATURES, COPY, PAIR, MEMBER = range(5)
-_MAP = "kind int, p int, node long, id long, n long, h1 long, h2 long, bins binary, sigs binary, locals binary, counts binary"
+_MAP = "kind int, p int, node long, id long, n long, h1 long, h2 long, bins binary, sigs binary, locals binary"
+_POSSIBLE = "a long, b long, na long, nb long, proven boolean"
 _OUT = "kind int, a long, b long, n long, h1 long, h2 long, bins binary"
 
 
-def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int) -> DataFrame:
+def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int, common=None) -> DataFrame:
     """Rows for the groups: documents (id, size, hashes, sketch), links to a task's earlier copy, packed signatures."""
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), *((x, pa.int64()) for x in ("node", "id", "n", "h1", "h2")), *((x, pa.binary()) for x in ("bins", "sigs", "locals", "counts"))])
+        schema = pa.schema([("kind", pa.int32()), ("p", pa.int32()), *((x, pa.int64()) for x in ("node", "id", "n", "h1", "h2")), *((x, pa.binary()) for x in ("bins", "sigs", "locals"))])
         prefix, seen = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32, {}
         bands = Bands(num, den, 1000)
 
@@ -159,11 +252,8 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
             ids, texts = b.column(0), b.column(1).to_pylist()
             texts = [t.encode() if t else b"" for t in texts]
             for part in in_pieces(texts):
-                if part.stop - part.start > 65_535:
-                    parts = [slice(k, min(k + 65_535, part.stop)) for k in range(part.start, part.stop, 65_535)]
-                else:
-                    parts = [part]
-                for q in parts:
+                # A document's number in its piece takes 16 bits.
+                for q in [slice(k, min(k + 65_535, part.stop)) for k in range(part.start, part.stop, 65_535)]:
                     sets = shingle_sets(texts[q], width)
                     m = len(sets)
                     largest = max(map(len, sets), default=0)
@@ -185,19 +275,15 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                                 sets[k] = sets[k][:0]
                     if copies:
                         yield rows(len(copies), kind=pa.array(np.full(len(copies), COPY, np.int32)), p=pa.array([c[2] for c in copies], pa.int32()), node=pa.array([c[0] for c in copies], pa.int64()), id=pa.array([c[1] for c in copies], pa.int64()))
-                    who, sig = signatures(sets, bands)
+                    who, sig = signatures(sets, bands, common.value if common is not None else None)
                     if len(sig):
                         to = (sig % np.uint64(groups)).astype(np.int64)
-                        order = np.lexsort((who, to))
-                        to, who, sig = to[order], who[order], (sig // np.uint64(groups))[order]
+                        order = np.argsort((to << 16) | who)
+                        to, local, sig = to[order], who[order].astype(np.uint16), (sig // np.uint64(groups))[order]
                         raw = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 8)[:, :SIGNATURE_BYTES])
-                        new = np.flatnonzero(np.concatenate([[True], (np.diff(to) != 0) | (np.diff(who) != 0)]))
-                        count = np.diff(np.concatenate([new, [len(to)]])).astype(np.uint32)
                         cut = np.flatnonzero(np.concatenate([[True], np.diff(to) != 0]))
                         ends = np.concatenate([cut[1:], [len(to)]])
-                        at = np.searchsorted(new, np.concatenate([cut, [len(to)]]))
-                        local = who[new].astype(np.uint16)
-                        yield rows(len(cut), kind=pa.array(np.full(len(cut), SIGNATURES, np.int32)), p=pa.array(to[cut].astype(np.int32)), node=pa.array(np.full(len(cut), prefix)), sigs=pa.array([raw[i:j].tobytes() for i, j in zip(cut, ends, strict=True)], pa.binary()), locals=pa.array([local[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()), counts=pa.array([count[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)], pa.binary()))
+                        yield rows(len(cut), kind=pa.array(np.full(len(cut), SIGNATURES, np.int32)), p=pa.array(to[cut].astype(np.int32)), node=pa.array(np.full(len(cut), prefix)), **{c: pa.array([x[i:j].tobytes() for i, j in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("sigs", raw), ("locals", local))})
                     prefix += 1 << 16
 
     return docs.mapInArrow(run, _MAP)
@@ -220,13 +306,13 @@ def _pairs_of_group(table):
     packed = table.filter(pc.equal(kind, SIGNATURES))
     if len(packed):
         sig, node = [], []
-        for prefix, s, loc, cnt in zip(*(packed.column(x).to_pylist() for x in ("node", "sigs", "locals", "counts")), strict=True):
+        for prefix, s, local in zip(*(packed.column(x).to_pylist() for x in ("node", "sigs", "locals")), strict=True):
             wide = np.zeros((len(s) // SIGNATURE_BYTES, 8), np.uint8)
             wide[:, :SIGNATURE_BYTES] = np.frombuffer(s, np.uint8).reshape(-1, SIGNATURE_BYTES)
             sig.append(wide.view(np.uint64).ravel())
-            node.append(np.repeat(np.frombuffer(loc, np.uint16).astype(np.int64) + prefix, np.frombuffer(cnt, np.uint32)))
+            node.append(np.frombuffer(local, np.uint16).astype(np.int64) + prefix)
         sig, node = np.concatenate(sig), np.concatenate(node)
-        order = np.argsort(sig, kind="stable")
+        order = np.argsort(sig)
         sig, node = sig[order], node[order]
         new = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         size = np.diff(np.concatenate([new, [len(sig)]]))
@@ -268,14 +354,12 @@ def _possible(pairs: DataFrame, num: int, den: int) -> DataFrame:
             if not x.num_rows:
                 continue
             na, nb = x.column("na").to_numpy(), x.column("nb").to_numpy()
-            differ = np.bitwise_count(_bits(x.column("ba")) ^ _bits(x.column("bb"))).sum(1, dtype=np.int64)
-            near = differ * (den + num) <= (na + nb) * (den - num)
-            proven = x.column("same").to_numpy(zero_copy_only=False)
-            keep = pa.array(near | proven)
-            yield pa.RecordBatch.from_arrays([x.column(c).filter(keep) for c in ("ia", "ib", "same")], ["a", "b", "proven"])
+            near = _distances(x.column("ba"), x.column("bb")) * (den + num) <= (na + nb) * (den - num)
+            keep = pa.array(near | x.column("same").to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([x.column(c).filter(keep) for c in ("ia", "ib", "na", "nb", "same")], ["a", "b", "na", "nb", "proven"])
 
     fits = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    return pairs.filter(fits & (F.col("ia") != F.col("ib"))).select("ia", "ib", "na", "nb", "ba", "bb", "same").mapInArrow(run, "a long, b long, proven boolean")
+    return pairs.filter(fits & (F.col("ia") != F.col("ib"))).select("ia", "ib", "na", "nb", "ba", "bb", "same").mapInArrow(run, _POSSIBLE)
 
 
 def _with_documents(pairs: DataFrame, d: DataFrame) -> DataFrame:
@@ -284,21 +368,29 @@ def _with_documents(pairs: DataFrame, d: DataFrame) -> DataFrame:
     return pairs.withColumn("same", (F.col("ha") == F.col("hb")) & (F.col("ga") == F.col("gb")) & (F.col("na") == F.col("nb")))
 
 
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair once, the lesser id first."""
+    turned = F.col("a") > F.col("b")
+    x = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(turned, F.col("nb")).otherwise(F.col("na")).alias("na"), F.when(turned, F.col("na")).otherwise(F.col("nb")).alias("nb"), "proven")
+    return x.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.bool_or("proven").alias("proven"))
+
+
 def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The pairs (a < b) whose texts are similar, and all pairs that were looked at; ``known`` are left out."""
-    possible = possible.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "proven").groupBy("a", "b").agg(F.bool_or("proven").alias("proven"))
+    possible = _once(possible)
     if known is not None:
         possible = possible.join(known.select("a", "b"), ["a", "b"], "left_anti")
     possible = materialize(possible, "possible")
-    open_ = possible.filter("NOT proven").select("a", "b")
-    # Documents that are compared share a leader; a block holds the documents of one or two tiles, so that
+    open_ = possible.filter("NOT proven")
+    # Documents that are compared have a leader in common; a block holds the documents of one or two tiles, so that
     # a text is sent once to each block that needs it and not once for each of its pairs.
-    ends = open_.select("a", "b").union(open_.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("m"))
-    ends = ends.select(F.col("a").alias("_i"), F.least("a", "m").alias("leader"))
-    size = ends.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    ends = open_.select("a", "b", "na").union(open_.select(F.col("b").alias("a"), F.col("a").alias("b"), "nb")).groupBy("a").agg(F.min("b").alias("m"), F.max("na").alias("n"))
+    ends = ends.select(F.col("a").alias("_i"), F.least("a", "m").alias("leader"), "n")
+    size = ends.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("k"))
     tiles = materialize(ends.join(size, "leader").select("_i", F.xxhash64("leader", F.pmod(F.xxhash64("_i"), F.col("k"))).alias("tile")), "tiles")
-    x = open_.join(tiles.withColumnRenamed("_i", "a").withColumnRenamed("tile", "p"), "a").join(tiles.withColumnRenamed("_i", "b").withColumnRenamed("tile", "q"), "b")
+    x = open_.select("a", "b").join(tiles.withColumnRenamed("_i", "a").withColumnRenamed("tile", "p"), "a").join(tiles.withColumnRenamed("_i", "b").withColumnRenamed("tile", "q"), "b")
     x = materialize(x.select("a", "b", F.xxhash64(F.least("p", "q"), F.greatest("p", "q")).alias("block")), "blocks")
+    forget(tiles)
     needed, size = stored(x.select("block", F.explode(F.array("a", "b")).alias("_i")).distinct(), "compared")
     texts = join_small(docs.toDF("_i", "_t").filter("_i IS NOT NULL"), needed, size, ["_i"], "inner")
 
@@ -317,7 +409,9 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
         return pa.table({c: pairs.column(c).filter(keep) for c in "ab"})
 
     found = x.groupBy("block").cogroup(texts.select("block", "_i", "_t").groupBy("block")).applyInArrow(run, "a long, b long")
-    return materialize(found.union(possible.filter("proven").select("a", "b")), "links"), possible
+    links = materialize(found.union(possible.filter("proven").select("a", "b")), "links")
+    forget(x, needed)
+    return links, possible
 
 
 def _similar(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
@@ -328,25 +422,31 @@ def _similar(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
 
 
 def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """Possible pairs between members of a bucket with different labels; a bucket is taken block against block.
+    """Possible pairs between members of a bucket with different labels, tile against tile.
 
-    With ``forest`` only as many as would join the labels of a block if all of them were links.
+    Two such members are not both of the bucket's largest label, so only tiles of the others meet all tiles.
+    With ``forest`` only as many pairs as would join the labels of two tiles if all of them were links.
     """
-    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"))
-    x = members.join(size, "bucket").withColumn("_k", F.ceil(F.col("m") / BLOCK).cast("int")).withColumn("_mine", F.pmod(F.xxhash64("node"), F.col("_k")).cast("int"))
-    x = x.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    per = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("m"))
+    size = members.groupBy("bucket").agg(F.greatest(F.count(F.lit(1)) / TILE, F.sum(F.length("bins")) / TILE_BYTES).alias("k"), F.count(F.lit(1)).alias("all"))
+    size = size.join(per.groupBy("bucket").agg(F.max_by("label", F.struct("m", "label")).alias("largest"), F.max("m").alias("most")), "bucket")
+    # Tiles of the largest label have numbers from 0 on, those of the others follow.
+    tiles = lambda rows: F.greatest(F.ceil(F.col("k") * rows / F.col("all")), F.lit(1)).cast("int")
+    size = size.select("bucket", "largest", tiles(F.col("most")).alias("_l"), tiles(F.col("all") - F.col("most")).alias("_o"))
+    outside, last = F.col("label") != F.col("largest"), F.col("_l") + F.col("_o") - 1
+    x = members.join(size, "bucket").withColumn("_mine", F.when(outside, F.col("_l") + F.pmod(F.xxhash64("node"), F.col("_o"))).otherwise(F.pmod(F.xxhash64("node"), F.col("_l"))).cast("int"))
+    x = x.withColumn("_other", F.explode(F.when(outside, F.sequence(F.lit(0), last)).otherwise(F.sequence(F.col("_l"), last))))
     x = x.withColumn("_p", F.least("_mine", "_other")).withColumn("_q", F.greatest("_mine", "_other"))
 
-    def run(table):
-        import pyarrow as pa
+    # Small buckets go together, so that a task's table has about TILE_BYTES.
+    x = materialize(x.select("bucket", "_p", "_q", "_mine", "id", "label", "n", "bins"), "tiled")
+    held = x.agg(F.sum(F.length("bins") + 48)).first()[0] or 0
+    x = x.withColumn("_g", F.pmod(F.xxhash64("bucket", "_p", "_q"), F.lit(1 + held // TILE_BYTES)))
 
-        mine = table.column("_mine").to_numpy()
-        p, q = table.column("_p")[0].as_py(), table.column("_q")[0].as_py()
-        ids, label, n = (table.column(c).to_numpy() for c in ("id", "label", "n"))
-        bits = _bits(table.column("bins"))
+    def compared(mine, p, q, ids, label, n, raw):
+        bits = _folded(raw, min(map(len, raw)))
         left, right = np.flatnonzero(mine == p), np.flatnonzero(mine == q)
-        out = []
-        root = {x: x for x in label.tolist()}
+        root = {x: x for x in label.tolist()} if forest else {}
 
         def find(x):
             while root[x] != x:
@@ -354,16 +454,18 @@ def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
                 x = root[x]
             return x
 
-        # Some rows against all others at a time, within about a megabyte of sketches.
-        rows = max(1, 4096 // max(1, len(right)))
+        # Some rows against all others at a time, within some megabytes of sketches.
+        rows = max(1, (1 << 20) // max(1, len(right) * bits.shape[1]))
         for at in range(0, len(left), rows):
             i = left[at : at + rows]
-            total = n[i][:, None] + n[right][None, :]
-            near = np.bitwise_count(bits[i][:, None, :] ^ bits[right][None, :, :]).sum(2, dtype=np.int64) * (den + num) <= total * (den - num)
+            near = (label[i][:, None] != label[right][None, :]) & (ids[i][:, None] != ids[right][None, :])
             near &= np.minimum(n[i][:, None], n[right][None, :]) * den >= np.maximum(n[i][:, None], n[right][None, :]) * num
-            near &= (label[i][:, None] != label[right][None, :]) & (ids[i][:, None] != ids[right][None, :])
             if p == q:
                 near &= right[None, :] > i[:, None]
+            if not near.any():
+                continue
+            total = n[i][:, None] + n[right][None, :]
+            near &= np.bitwise_count(bits[i][:, None, :] ^ bits[right][None, :, :]).sum(2, dtype=np.int64) * (den + num) <= total * (den - num)
             for x, y in zip(*np.nonzero(near), strict=True):
                 j, k = int(i[x]), int(right[y])
                 if forest:
@@ -371,17 +473,28 @@ def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
                     if u == v:
                         continue
                     root[u] = v
-                out.append((int(ids[j]), int(ids[k])))
-        return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64()), "proven": pa.array([False] * len(out), pa.bool_())})
+                yield int(ids[j]), int(ids[k]), int(n[j]), int(n[k])
+
+    def run(table):
+        import pyarrow as pa
 
-    return x.select("bucket", "_p", "_q", "_mine", "id", "label", "n", "bins").groupBy("bucket", "_p", "_q").applyInArrow(run, "a long, b long, proven boolean")
+        table = table.sort_by([("bucket", "ascending"), ("_p", "ascending"), ("_q", "ascending")])
+        bucket, p, q, *rest = (table.column(c).to_numpy() for c in ("bucket", "_p", "_q", "_mine", "id", "label", "n"))
+        raw, out = table.column("bins").to_pylist(), []
+        cut = np.flatnonzero(np.concatenate([[True], (np.diff(bucket) != 0) | (np.diff(p) != 0) | (np.diff(q) != 0), [True]]))
+        for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            mine, ids, label, n = (c[i:j] for c in rest)
+            out += compared(mine, p[i], q[i], ids, label, n, raw[i:j])
+        return pa.table({c: pa.array([o[k] for o in out], pa.int64()) for k, c in enumerate(("a", "b", "na", "nb"))} | {"proven": pa.array([False] * len(out), pa.bool_())})
+
+    return x.groupBy("_g").applyInArrow(lambda t: run(t.drop_columns(["_g"])), _POSSIBLE)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     for x in "ab":
         pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("component").alias(f"_{x}")), x, "left")
-    return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "proven")
+    return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "na", "nb", "proven")
 
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
@@ -389,32 +502,37 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     docs = docs.select(F.col(key), F.col(text))
     spark = docs.sparkSession
     groups = 2 * shuffle_parts(spark)
-    packed = _signature_rows(docs, groups, width, num, den)
-    rows = materialize(packed.groupBy("p").applyInArrow(_pairs_of_group, _OUT), "pairs")
+    common = spark.sparkContext.broadcast(common_shingles(docs.select(text), width))
+    rows = materialize(_signature_rows(docs, groups, width, num, den, common).groupBy("p").applyInArrow(_pairs_of_group, _OUT), "pairs")
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     pairs = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()
-    found = materialize(_possible(_with_documents(pairs, d), num, den).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "proven").groupBy("a", "b").agg(F.bool_or("proven").alias("proven")), "candidates")
+    found = materialize(_once(_possible(_with_documents(pairs, d), num, den)), "candidates")
     # First each document with the least of its partners; then only pairs that these links leave apart.
-    least = found.filter("NOT proven").groupBy("b").agg(F.min("a").alias("a")).select("a", "b", F.lit(False).alias("proven"))
-    links, known = _links(docs, least.union(found.filter("proven").select("a", "b", "proven")), width, num, den)
+    least = found.filter("NOT proven").groupBy("b").agg(F.min_by(F.struct("a", "na", "nb"), "a").alias("x")).select("x.a", "b", "x.na", "x.nb", F.lit(False).alias("proven"))
+    links, known = _links(docs, least.union(found.filter("proven").select(*least.columns)), width, num, den)
     links = materialize(links.union(copies), "links")
-    rest = _apart(found, materialize(components(links), "labels"))
-    more, tried = _links(docs, rest, width, num, den, known)
-    links, known = links.union(more), known.union(tried)
-    members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     labels = materialize(components(links), "labels")
+    more, tried = _links(docs, _apart(found, labels), width, num, den, known)
+    forget(found, labels)
+    known = known.union(tried)
+    labels = materialize(components(links.union(more)), "labels")
+    forget(links, more)
+    members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
     if members.limit(1).count():
-        members = materialize(members.distinct().join(d.filter("id IS NOT NULL").select("node", "id", "n", "bins"), "node"), "members")
         # Each round but the last tries what would join the labels; the last leaves no pair untried.
         for forest in (*[True] * FOREST_ROUNDS, False):
-            m = members.select("bucket", "id").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
-            mixed = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-            m = members.join(mixed, "bucket", "left_semi").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
-            more, tried = _links(docs, _across(m.select("bucket", "node", "id", "n", "bins", "label"), num, den, forest), width, num, den, known)
+            named = d.filter("id IS NOT NULL").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
+            mixed = members.join(named.select("node", "label"), "node").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
+            m = members.join(mixed, "bucket", "left_semi").distinct().join(named.select("node", "id", "n", "bins", "label"), "node")
+            m = materialize(m, "mixed")
+            more, tried = _links(docs, _across(m, num, den, forest), width, num, den, known)
+            forget(m)
             known = known.union(tried)
             if more.limit(1).count():
-                labels = materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
+                before, labels = labels, materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
+                forget(before)
+            forget(more)
     out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").cast(dict(docs.dtypes)[key]).alias("component_id"))
 

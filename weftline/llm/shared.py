@@ -26,7 +26,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a fresh temporary one only where none is set (tests)."""
     set_ = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not set_:
-        set_ = spark.sparkContext.getCheckpointDir() or f"file://{tempfile.mkdtemp(prefix='weftline-')}"
+        set_ = spark.sparkContext.getCheckpointDir()
+        if not set_:
+            if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
+            set_ = f"file://{tempfile.mkdtemp(prefix='weftline-')}"
         spark.conf.set("spark.checkpoint.dir", set_)
     return set_.rstrip("/")
 
@@ -44,7 +48,18 @@ def stored(df: DataFrame, name: str = "t") -> tuple[DataFrame, int]:
     _made.append((spark, path))
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     size = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop).getLength()
-    return spark.read.schema(df.schema).parquet(path), size
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out, size
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more."""
+    for df in tables:
+        path = df._stored_at
+        p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+        _made[:] = [x for x in _made if x[1] != path]
 
 
 def release(spark: SparkSession | None = None) -> None:

@@ -13,7 +13,7 @@ documents hold therefore make no buckets of their own where the documents have e
 
 The signatures go packed to the group that their hash names.  A group sorts them; sets
 that have one in common are candidates.  Up to ``SMALL`` sets give all their pairs, larger
-buckets a star and their members.  Candidates pass exact bounds (sizes, then the distance of
+buckets a star and their members, which count as one bucket for all that have the same centre.  Candidates pass exact bounds (sizes, then the distance of
 the sets' parity sketches, which is never more than that of the sets), then the texts are
 compared.  Links give components; larger buckets whose members are then in different
 components try pairs that would join them, and what is still apart after ``FOREST_ROUNDS`` is compared
@@ -43,7 +43,7 @@ SMALL = 8
 #: Bytes of a signature beside the group that it goes to.  Equal bytes of different signatures only cost a comparison.
 SIGNATURE_BYTES = 5
 #: Documents, and their shingles, whose texts are compared in one task.
-BLOCK, BLOCK_SHINGLES = 512, 400_000
+BLOCK, BLOCK_SHINGLES = 128, 400_000
 #: Members of a bucket, and bytes of their sketches, in one tile of ``_across``.
 TILE, TILE_BYTES = 2048, 4 << 20
 #: Rounds in which larger buckets try only spanning pairs, before the last tries all that are left.
@@ -330,17 +330,19 @@ def _pairs_of_group(table):
             if (raw := members.tobytes()) in sets_seen:
                 continue
             sets_seen.add(raw)
-            a.append(np.full(len(members) - 1, members[0]))
-            b.append(members[1:])
-            name = int(mix(mix(members.astype(np.uint64)).sum(keepdims=True, dtype=np.uint64)).view(np.int64)[0])
-            ma.append(np.full(len(members), name))
+            # Near copies stand in many buckets whose members are almost the same: those with one centre go together.
+            centre = members[np.argmin(mix(members.astype(np.uint64)))]
+            a.append(np.full(len(members), centre))
+            b.append(members)
+            ma.append(a[-1])
             mb.append(members)
         if a:
             pair = np.stack([np.concatenate(a), np.concatenate(b)], 1)
             pair = np.unique(np.sort(pair, axis=1)[pair[:, 0] != pair[:, 1]], axis=0)
             out.append(made(PAIR, pair[:, 0], pair[:, 1]))
         if ma:
-            out.append(made(MEMBER, np.concatenate(ma), np.concatenate(mb)))
+            member = np.unique(np.stack([np.concatenate(ma), np.concatenate(mb)], 1), axis=0)
+            out.append(made(MEMBER, member[:, 0], member[:, 1]))
     return pa.concat_tables(out)
 
 

@@ -64,3 +64,16 @@ def in_pieces(texts: list, limit: int = 2_000_000):
         if size >= limit or k == len(texts) - 1:
             yield slice(first, k + 1)
             first, size = k + 1, 0
+
+
+def in_slices(batch, column: str, limit: int = 4_000_000):
+    """Slices of an Arrow batch with about ``limit`` bytes in one of its columns each, so that few of its values become Python objects at once."""
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    first = 0
+    while first < batch.num_rows:
+        before = int(size[first - 1]) if first else 0
+        stop = max(first + 1, int(np.searchsorted(size, before + limit)))
+        yield batch.slice(first, stop - first)
+        first = stop

@@ -10,7 +10,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, ho
 
 
 def odd_documents() -> dict:
-    """doc_id to text: near copies, shared passages and lines, runs, empty and null texts, one very long text."""
+    """doc_id to text: near copies, common passages and lines, runs, empty and null texts, one very long text."""
     r = random.Random(11)
     words = ["of", "the", "and", "to", "in", "Über", "é", "|", "don't"] + [f"w{k}" for k in range(900)]
     passages = [" ".join(r.choice(words) for _ in range(30)) for _ in range(6)]
@@ -51,17 +51,17 @@ def words_of(t) -> list[bytes]:
 
 
 def linked(docs: dict) -> dict:
-    """doc_id to (number of shingles, component) with all pairs compared that share a shingle."""
+    """doc_id to (number of shingles, component) with all pairs compared that have a shingle in common."""
     sets = {}
     for k, t in docs.items():
         w = [x.lower() for x in words_of(t)]
         sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
-    inverted, shared = collections.defaultdict(list), collections.Counter()
+    inverted, common = collections.defaultdict(list), collections.Counter()
     for k, s in sets.items():
         for x in s:
             inverted[x].append(k)
     for v in inverted.values():
-        shared.update((v[i], v[j]) for i in range(len(v)) for j in range(i + 1, len(v)))
+        common.update((v[i], v[j]) for i in range(len(v)) for j in range(i + 1, len(v)))
     root = {k: k for k in docs}
 
     def find(x):
@@ -69,7 +69,7 @@ def linked(docs: dict) -> dict:
             x = root[x]
         return x
 
-    for (a, b), c in shared.items():
+    for (a, b), c in common.items():
         if 100 * c >= 75 * (len(sets[a]) + len(sets[b]) - c):
             a, b = find(a), find(b)
             root[max(a, b)] = min(a, b)

@@ -1,11 +1,13 @@
 """The operators on odd documents against brute force: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import collections
+import functools
 import math
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from weftline.llm import encoding, lines, lm, ngram_join, packing, quality, sharding, spotsigs, substrings, urls
 
 from . import cases
@@ -62,18 +64,39 @@ def test_lattice(docs, messy, empty):
             want.update([*w, b"\n"])
             n += len(w) + 1
     v = len(want)
-    a, b = ({r.doc_id: r for r in lm.score(docs, broadcast_words=x).collect()} for x in (10**6, 0))
+    a, b = ({r.doc_id: r for r in lm.score(docs, frequent_words=x).collect()} for x in (50, 0))
+    words = lm.count_words(docs.select("text", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0).alias("train")), "text")
+    n_docs = want[b"\n"]
+    pieces, single, end, _ = lm.piece_scores(words, n_docs, lm.piece_vocabulary())
     for k, w in split.items():
         base = sum(math.log10((want[x] + 0.1) / (n + 0.1 * (v + 1))) for x in [*w, b"\n"])
-        r = a[k]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(k).encode()) % 10 == 0, len(w) + 1, sum(want[x] > 0 for x in [*w, b"\n"]), n)
-        assert r.base_score == pytest.approx(base, rel=1e-9) and b[k].base_score == pytest.approx(base, rel=1e-9)
-        assert b[k].score == pytest.approx(r.score, rel=1e-9) and b[k][:4] == r[:4]
-        assert r.score < 0
-    assert lm.score(messy).count() == len(DOCS) + 3
+        model = sum(math.log10((want[x] + v * (math.exp(end) if x == b"\n" else segmentations(x.decode(), pieces, single))) / (n + v)) for x in [*w, b"\n"])
+        for r in (a[k], b[k]):
+            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(k).encode()) % 10 == 0, len(w) + 1, sum(want[x] > 0 for x in [*w, b"\n"]), n)
+            assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(model, rel=1e-9)
+    more = collections.Counter((r.doc_id, r.n_tokens) for r in lm.score(messy).collect())
+    assert more == collections.Counter([(k, len(w) + 1) for k, w in split.items()] + [(k, len(cases.words_of(t)) + 1) for k, t in REPEATS])
     assert lm.score(empty).count() == 0
 
 
+@functools.cache
+def _paths(word, table):
+    """The sum over all ways to spell a word with pieces or with the bytes of single characters, longest pieces last."""
+    if not word:
+        return 1.0
+    pieces, single = TABLES[table]
+    total = math.exp(sum(single[x] for x in word[0].encode())) * _paths(word[1:], table)
+    return total + sum(math.exp(pieces[word[:j]]) * _paths(word[j:], table) for j in range(1, len(word) + 1) if word[:j] in pieces)
+
+
+TABLES = {}
+
+
+def segmentations(word, pieces, single):
+    TABLES[id(pieces)] = pieces, single
+    return _paths("\u2581" + word, id(pieces))
+
+
 def test_lattice_sums_all_segmentations():
     pieces, single = {"▁": math.log(0.1), "▁a": math.log(0.2), "a": math.log(0.3), "ab": math.log(0.05), "b": math.log(0.1)}, [-50.0] * 256
     want = 0.1 * 0.3 * 0.1 + 0.2 * 0.1 + 0.1 * 0.05
@@ -153,8 +176,6 @@ def jump(key: int, n: int) -> int:
 
 
 def test_sharding(spark, messy, empty):
-    from pyspark.sql import functions as F
-
     keys = [0, 1, 2, -1, 2**63 - 1, -(2**63), 123456789012345]
     for n in (1, 2, 24, 25):
         got = spark.createDataFrame([(k,) for k in keys], "k long").select("k", sharding.jump_hash(F.col("k"), n).alias("s")).collect()
@@ -192,11 +213,43 @@ def test_spotsigs(docs, messy, empty, monkeypatch):
         near = lambda x, y: len(x & y) / len(x | y) if x | y else 1.0
         assert r.near_edited == pytest.approx(near(a, b)) and r.near_next == pytest.approx(near(a, c))
         assert bool(a) == bool(t.split())
+        assert len(a) == len(chains(t)) and len(a & c) == len(chains(t) & chains(o)) and len(a & b) == len(chains(t) & chains(r.edited))
     assert got[0].signatures == got[5000].signatures
     assert spotsigs.fingerprints(messy).count() == len(DOCS) + 3
     assert spotsigs.fingerprints(empty).count() == 0
 
 
+def chains(text) -> set:
+    """What a text's fingerprint stands for, word by word."""
+    found, plain, words, anchor, last = set(), set(), set(), "start", None
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for x in (w.decode() for w in cases.words_of(text.translate(lower))):
+        words.add(x)
+        if x.strip(spotsigs.MARKS) in {"", *spotsigs.ANCHORS}:
+            anchor = x
+            continue
+        if last is not None:
+            plain.add((last[1], x))
+            if last[0] is not None:
+                found.add((*last, x))
+        last, anchor = (anchor, x), None
+    if len(found) < spotsigs.FEW:
+        found |= plain
+    return found or words
+
+
+def test_spotsigs_outlying_id(spark, monkeypatch):
+    """One id far from all others leaves the cells of the others as they are."""
+    monkeypatch.setattr(spotsigs, "CELL_ROWS", 50)
+    ids = [*range(1000), 2**62]
+    d, _ = spotsigs.in_cells(spark.createDataFrame([(k, f"text {k}") for k in ids], "doc_id long, text string").repartition(4), "doc_id", "text")
+    assert max(r["count"] for r in d.filter("_end = 0").groupBy("_cell").count().collect()) <= 200
+    got = {r.doc_id: r for r in spotsigs.fingerprints(spark.createDataFrame([(k, "abcdefgh" + str(k)) for k in ids], "doc_id long, text string")).collect()}
+    for k, nxt in zip(ids, [*ids[1:], 0], strict=True):
+        t, o = f"abcdefgh{k}", f"abcdefgh{nxt}"
+        assert got[k].edited == t[: len(t) - len(t) // 4] + o[: len(t) // 4]
+
+
 def test_urls(spark):
     made = [(1, "http://a.example.com/en/712?x"), (2, "http://example.net/de/81"), (3, "https://B.Example.NET/de/7#t"), (4, "nothing"), (5, None), (6, "x://h.org/es/"), (7, "http://notcom/en/1"), (8, "http://q.com?en/")]
     pages = spark.createDataFrame(made + [(100 + k, f"http://bad.site.io/{k}") for k in range(60)] + [(200 + k, f"http://good.io/{k}") for k in range(60)], "page_id long, url string")
@@ -279,6 +332,28 @@ def test_line_dedup(docs, messy, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_hot_line(spark, capsys):
+    """One line that most rows have, some several times, in documents without an id too; the plan sorts within ranges and shuffles once."""
+    hot = "The Line That Almost All Documents Have"
+    docs = {k: "\n".join([f"own line number {k} of its own", *[hot] * (1 + k % 3), f"tail {k}"]) for k in range(300)}
+    x = spark.createDataFrame([*docs.items(), (None, hot), (7, docs[7])], "doc_id long, text string").repartition(6)
+    got = collections.Counter((r.doc_id, r.n_lines, r.n_dropped, r.kept_text if r.kept_text is not None else docs[r.doc_id]) for r in lines.dedup_lines(x).collect())
+    want = collections.Counter((k, *v) for k, v in cases.lines(docs).items())
+    want.update([(7, *cases.lines(docs)[7]), (None, 1, 1, "")])
+    assert got == want
+    lines.first_lines(lines.line_hashes(x, "doc_id", "text", 20), 4).explain()
+    plan = capsys.readouterr().out
+    assert "Sort [h" in plan and "Window [row_number()" in plan and plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+
+
+def test_bucket_pointers_repeated_and_null_ids(spark):
+    """Rows with one id lose nothing to each other; rows without id lose to all others and nothing to each other."""
+    a, b = "".join(chr(97 + k % 26) for k in range(0, 7 * 90, 7)), "0123456789" * 3
+    rows = [(1, b + a[:60]), (1, a[:60] + b), (None, a[:70]), (None, a[:70] + "!"), (2, a[5:60])]
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == collections.Counter([(1, 90, 0, 0, rows[0][1].encode()), (1, 90, 0, 0, rows[1][1].encode()), (None, 70, 60, 1, a[60:70].encode()), (None, 71, 60, 1, (a[60:70] + "!").encode()), (2, 55, 55, 1, b"")])
+
+
 def test_bucket_pointers_same_stretch_twice(spark):
     """A stretch that one document has twice, of which only a part is in a smaller one: both lose that part."""
     a, b = "".join(chr(97 + k % 26) for k in range(0, 7 * 70, 7)), "ZYXWVUTSRQPONMLKJIHGFEDCBA9876543210"

@@ -42,10 +42,10 @@ def test_suffix_stage_keeps_replacement_characters(spark):
     """U+FFFD of the input stays in a document that loses a passage; a halved character goes whole at both edges."""
     import corpus_pipeline as C
 
-    shared = "".join(chr(0x4E00 + 7 * k) for k in range(40))
-    # Beside the passage: U+00E9, U+03A9 and U+0129 share their last byte, U+4E00 to U+4E02 their first two, so all cuts fall inside them.
-    docs = {1: "first \ufffd text \u00e9" + shared + "\u4e00 end", 2: "other \ufffd\ufffd words \u03a9" + shared + "\u4e01\ufffd tail \ufffd"}
-    docs[3] = "odd \u0129" + shared + "\u4e02 \ufffd"
+    passage = "".join(chr(0x4E00 + 7 * k) for k in range(40))
+    # Beside the passage: U+00E9, U+03A9 and U+0129 have their last byte in common, U+4E00 to U+4E02 their first two, so all cuts fall inside them.
+    docs = {1: "first \ufffd text \u00e9" + passage + "\u4e00 end", 2: "other \ufffd\ufffd words \u03a9" + passage + "\u4e01\ufffd tail \ufffd"}
+    docs[3] = "odd \u0129" + passage + "\u4e02 \ufffd"
     x = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in docs.items()], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in C.substring_dedup(spark, x, DIR).collect()}
     assert got[1] == (docs[1], len(docs[1]))

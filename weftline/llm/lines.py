@@ -1,12 +1,13 @@
 """Line dedup by sorted line hashes (native).
 
 Each line's key (stripped of white space, A-Z lowered) is hashed.  The hashes are
-range-partitioned with a secondary sort by document and position, so that equal hashes of a
-document stream by together and one very common line is still dealt over many ranges.  What
+range-partitioned with a secondary sort by document and position; of equal hashes of a
+document the first in the sorted stream counts, and one very common line is dealt over many ranges.  Partial
+counts of the ranges give the hashes that enough documents have.  What
 comes back to a document is no text but a compressed keep bitmap: 64 lines to a number, and
 numbers only where a line goes.
 
-Defined results: null or empty text is one empty line; rows that share a doc_id are one
+Defined results: null or empty text is one empty line; rows with one doc_id are one
 document when documents are counted, and each loses its own lines; a null doc_id is the
 smallest; an empty table gives no rows; other columns stay as they are, but for columns that have the names
 of the results.
@@ -14,7 +15,7 @@ of the results.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.llm.shared import SPACES, documents, fold_ascii, join_small, materialize, shuffle_parts, stored, text_or_empty
 
@@ -27,6 +28,12 @@ def line_hashes(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFra
     return at.select("_id", "_t", "pos", F.xxhash64("_line").alias("h"), F.hash("_line").alias("g"))
 
 
+def first_lines(lines: DataFrame, parts: int) -> DataFrame:
+    """Of each document's equal lines the first: ranges on (h, g, _id) hold them together, so it comes by in the sorted stream without another shuffle."""
+    first = Window.partitionBy("h", "g", "_id").orderBy("pos")
+    return lines.select("h", "g", "_id", "pos").repartitionByRange(parts, "h", "g", "_id").withColumn("_first", F.row_number().over(first)).filter("_first = 1").drop("_first")
+
+
 def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """_id, _t, drops: array of (word, bits): bit i of word w is set if line 64 * w + i goes.  Documents that keep all have no row.
 
@@ -34,9 +41,7 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
     """
     lines = materialize(line_hashes(docs, key, text, min_chars), "lines")
     parts = shuffle_parts(docs.sparkSession)
-    dealt = lines.repartitionByRange(parts, "h", "g", "_id").sortWithinPartitions("h", "g", "_id", "pos")
-    # One row per hash and document: ranges on (h, g, _id) hold both together, so this needs no shuffle.
-    per_doc = dealt.select("h", "g", "_id").dropDuplicates()
+    per_doc = first_lines(lines, parts)
     # max ignores null ids: they count as a document, and lose to any other.
     common = per_doc.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"), F.max("_id").alias("last")).filter(F.col("n") >= min_docs)
     common, size = stored(common, "common")

@@ -4,12 +4,14 @@ The pieces of a public subword vocabulary get unigram scores from the training d
 (those whose CRC-32 of the id is not 0 modulo 10): the library's segmentation of each
 distinct word, weighted by the word's count.  A word's probability is then the sum over all
 its segmentations into pieces, found by a forward recursion in log space over the word's
-lattice; every character has a path of byte pieces too, so no word is impossible.  A text's
+lattice; every character has a path of byte pieces too, so no word is impossible.  Besides, the
+word as a whole is an edge of its lattice, weighted by its count in the training documents against the number
+of their distinct words; so what the model knows grows with the corpus.  A text's
 probability is the product over its words and the end.
 
 The distinct words are counted by shuffle and stay a distributed table; each gets its lattice
-probability once.  Texts find their words' values in that table: sent to all tasks as sorted
-hashes while it has at most ``broadcast_words`` words (24 bytes each), by a join beyond.
+probability once.  Texts find the values of a fixed number of the most frequent words in a table that all
+tasks have, those of all others by a join; that leaves no word so frequent that its key is hot.
 
 Defined results: a null or empty text is its end alone; a null id counts as the empty text
 when held out is decided; repeated rows each count; without training documents all pieces are
@@ -24,11 +26,11 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.bytewise import in_pieces, word_hashes
+from weftline.llm.bytewise import in_pieces, in_slices, word_hashes
 from weftline.llm.shared import documents, materialize
 
-#: The table of words is sent to all tasks up to this many (24 bytes each: 120 MB).
-BROADCAST_WORDS = 5_000_000
+#: So many of the most frequent words are sent to all tasks (32 bytes each: 4 MB), whatever the size of the corpus.
+FREQUENT_WORDS = 131_072
 #: Words that a task counts before it passes them on.
 COUNT_WORDS = 400_000
 SMOOTH = 0.1
@@ -141,99 +143,101 @@ def _add(a: float, b: float, exp, log) -> float:
     return a + log(1.0 + exp(b - a))
 
 
-def word_values(words: DataFrame, model) -> DataFrame:
-    """h (hash of the word), c (its count in training texts), lm (log10 probability of the word by its lattice)."""
-    shared = words.sparkSession.sparkContext.broadcast(model)
+def word_values(words: DataFrame, model, train: int, types: int, total: float) -> DataFrame:
+    """h (hash of the word), known, base and lm: log10 of its smoothed count and of its probability by the lattice.
+
+    The word as a whole is one more edge of its lattice: (count + types * lattice) / (train + types).
+    """
+    sent = words.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         import pyarrow as pa
 
-        pieces, single, _, longest = shared.value
+        pieces, single, _, longest = sent.value
         for b in batches:
             w, c = b.column(0).to_pylist(), b.column(1).to_numpy()
             if not len(w):
                 continue
             h, _ = word_hashes([x.encode() for x in w])
-            lm = np.fromiter((lattice(x, pieces, single, longest) for x in w), float, len(w)) / LOG10
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c), pa.array(lm)], ["h", "c", "lm"])
+            by_pieces = np.fromiter((lattice(x, pieces, single, longest) for x in w), float, len(w)) + math.log(max(types, 1))
+            with np.errstate(divide="ignore"):
+                lm = (np.logaddexp(by_pieces, np.log(c)) - math.log(train + max(types, 1))) / LOG10
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c > 0), pa.array(np.log10((c + 0.1) / total)), pa.array(lm)], ["h", "known", "base", "lm"])
+
+    return words.select("word", "c").mapInArrow(run, _VALUE)
 
-    return words.select("word", "c").mapInArrow(run, "h long, c long, lm double")
 
+_VALUE = "h long, known boolean, base double, lm double"
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out_fold: int = 0, vocabulary_path: str | None = None, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, held_out_fold: int = 0, vocabulary_path: str | None = None, frequent_words: int = FREQUENT_WORDS) -> DataFrame:
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score (log10 probability of the text by the lattice)."""
     path = vocabulary_path or piece_vocabulary()
     docs = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("_t"), _held_out(key, held_out_fold, folds).alias("held_out"))
     n_docs = docs.filter(~F.col("held_out")).count()
     words = materialize(count_words(docs.withColumn("train", ~F.col("held_out")), "_t"), "words")
-    s = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), F.count(F.lit(1)).alias("all")).first()
-    train = (s["n"] or 0) + n_docs
-    total = train + 0.1 * (s["v"] + (n_docs > 0) + 1)
+    s = words.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    train, types = (s["n"] or 0) + n_docs, s["v"] + (n_docs > 0)
+    total = train + 0.1 * (types + 1)
     model = piece_scores(words, n_docs, path)
-    values = word_values(words, model)
-    end = (1 if n_docs else 0, math.log10((n_docs + 0.1) / total), model[2] / LOG10)
-    if s["all"] <= broadcast_words:
-        out = _by_broadcast(docs, key, values, total, end)
-    else:
-        out = _by_join(docs, key, materialize(values.withColumn("base", F.log10((F.col("c") + 0.1) / total)), "values"), end)
+    lm_end = math.log10((n_docs + max(types, 1) * math.exp(model[2])) / (train + max(types, 1)))
+    end = (1 if n_docs else 0, math.log10((n_docs + 0.1) / total), lm_end)
+    values = materialize(word_values(words, model, train, types, total), "values")
+    # The words that are met most often: a fixed number.
+    frequent = word_values(words.orderBy(F.desc("c"), "word").limit(frequent_words), model, train, types, total).toPandas() if frequent_words else None
+    out = _summed(docs, key, values, frequent, end)
     return out.select(key, "held_out", "n_tokens", "n_known", F.lit(train).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def _by_broadcast(docs: DataFrame, key: str, values: DataFrame, total: float, end: tuple) -> DataFrame:
-    table = values.toArrow().combine_chunks()
-    h = table.column("h").to_numpy().view(np.uint64)
-    order = np.argsort(h)
-    sent = docs.sparkSession.sparkContext.broadcast((h[order], *(table.column(x).to_numpy()[order] for x in ("c", "lm"))))
-    del table, h, order
-    kind = dict(docs.dtypes)[key]
-
-    def run(batches):
-        import pyarrow as pa
-
-        h, c, lm = sent.value
-        base, known = np.log10((c + 0.1) / total), c > 0
-        for b in batches:
-            texts = [t.encode() for t in b.column(1).to_pylist()]
-            for part in in_pieces(texts):
-                got, n = word_hashes(texts[part])
-                at = np.searchsorted(h, got)
-                edge = np.concatenate([[0], np.cumsum(n)])
-
-                def per_text(x, edge=edge, at=at):
-                    run_ = np.concatenate([[0], np.cumsum(x[at], dtype=float)])
-                    return run_[edge[1:]] - run_[edge[:-1]]
-
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[part], b.column(2)[part], pa.array(n + 1), pa.array(per_text(known).astype(np.int64) + end[0]), pa.array(per_text(base) + end[1]), pa.array(per_text(lm) + end[2])],
-                    [key, "held_out", "n_tokens", "n_known", "base_score", "score"],
-                )
-
-    return docs.mapInArrow(run, f"`{key}` {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
-
-
-def _by_join(docs: DataFrame, key: str, values: DataFrame, end: tuple) -> DataFrame:
-    """The same by a join on word hashes: one row for each distinct word of a text."""
+def _summed(docs: DataFrame, key: str, values: DataFrame, frequent, end: tuple) -> DataFrame:
+    """The sums of the texts' words: frequent ones where the text is read, all others by a join on their hashes, one row for each distinct one of a text."""
     kind = dict(docs.dtypes)[key]
+    table = None
+    if frequent is not None and len(frequent):
+        h = frequent["h"].to_numpy().view(np.uint64)
+        order = np.argsort(h)
+        table = (h[order], *(frequent[x].to_numpy(float)[order] for x in ("known", "base", "lm")))
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         import pyarrow as pa
 
-        for b in batches:
-            texts = [t.encode() for t in b.column(1).to_pylist()]
+        for b in (x for whole in batches for x in in_slices(whole, "_t")):
+            texts = [t.encode() for t in b.column("_t").to_pylist()]
             for part in in_pieces(texts):
-                got, n = word_hashes(texts[part])
-                pair = np.rec.fromarrays([np.repeat(np.arange(len(n)), n), got])
-                one, times = np.unique(pair, return_counts=True)
-                at = pa.array(one["f0"])
-                yield pa.RecordBatch.from_arrays([b.column(3)[part].take(at), pa.array(one["f1"].astype(np.uint64).view(np.int64)), pa.array(times)], ["_row", "h", "times"])
-
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    numbered = materialize(numbered, "numbered")
-    pairs = numbered.mapInArrow(run, "_row long, h long, times long")
-    sums = pairs.join(values, "h").groupBy("_row").agg(F.sum("times").alias("n"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("k"), F.sum(F.col("times") * F.col("base")).alias("b"), F.sum(F.col("times") * F.col("lm")).alias("s"))
-    out = numbered.select(key, "held_out", "_row").join(sums, "_row", "left")
-    add = lambda c, e: F.coalesce(c, F.lit(0)) + F.lit(e)
-    return out.select(F.col(key).cast(kind), "held_out", add("n", 1).cast("long").alias("n_tokens"), add("k", end[0]).cast("long").alias("n_known"), add("b", end[1]).alias("base_score"), add("s", end[2]).alias("score"))
+                h, n = word_hashes(texts[part])
+                m, of = len(n), np.repeat(np.arange(len(n)), n)
+                sums, rest = [np.zeros(m) for _ in range(3)], np.ones(len(h), bool)
+                if sent.value is not None and len(h):
+                    f, *columns = sent.value
+                    at = np.minimum(np.searchsorted(f, h), len(f) - 1)
+                    rest = f[at] != h
+                    sums = [np.bincount(of[~rest], weights=x[at[~rest]], minlength=m) for x in columns]
+                yield rows(pa, b, part, None, [], [], [n, sums[0].astype(np.int64), *sums[1:]])
+                order = np.lexsort((h[rest], of[rest]))
+                o, g = of[rest][order], h[rest][order]
+                new = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (g[1:] != g[:-1])])) if len(o) else np.zeros(0, np.int64)
+                if len(new):
+                    yield rows(pa, b, part, o[new], g[new].view(np.int64), np.diff(np.concatenate([new, [len(o)]])), None)
+
+    def rows(pa, b, part, of, h, times, sums):
+        """A row for each document with its sums, or for each word with its document and how often it is there."""
+        x = b.slice(part.start, part.stop - part.start)
+        if sums is not None:
+            n = x.num_rows
+            cols = [x.column("_row"), x.column(key), x.column("held_out"), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), *map(pa.array, sums)]
+        else:
+            n = len(of)
+            cols = [x.column("_row").take(pa.array(of)), pa.nulls(n, x.column(key).type), pa.nulls(n, pa.bool_()), pa.array(h), pa.array(times), *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+        return pa.RecordBatch.from_arrays(cols, ["_row", key, "held_out", "h", "times", "n", "k", "b", "s"])
+
+    found = docs.withColumn("_row", F.monotonically_increasing_id()).mapInArrow(run, f"_row long, `{key}` {kind}, held_out boolean, h long, times long, n long, k long, b double, s double")
+    found = materialize(found, "found")
+    other = found.filter("h IS NOT NULL").select("_row", "h", "times").join(values, "h")
+    other = other.groupBy("_row").agg(F.sum(F.when(F.col("known"), F.col("times")).otherwise(0)).alias("k2"), F.sum(F.col("times") * F.col("base")).alias("b2"), F.sum(F.col("times") * F.col("lm")).alias("s2"))
+    out = found.filter("h IS NULL").drop("h", "times").join(other, "_row", "left")
+    add = lambda a, b, e: F.col(a) + F.coalesce(F.col(b), F.lit(0)) + F.lit(e)
+    return out.select(key, "held_out", (F.col("n") + 1).alias("n_tokens"), add("k", "k2", end[0]).cast("long").alias("n_known"), add("b", "b2", end[1]).alias("base_score"), add("s", "s2", end[2]).alias("score"))
 
 
 def op2_lattice(spark, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ So no link is lost and no group of copies is expanded into all pairs.
 
 Equal sets count as linked by their 128-bit hashes.  Signatures and hashes only propose.
 
-Defined results: a null or empty text has no shingles and is linked with nothing; rows that
-share an id are one document for links; a row without id has no component; an empty table gives
+Defined results: a null or empty text has no shingles and is linked with nothing; rows with
+one id are one document for links; a row without id has no component; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -419,8 +419,8 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
 def _similar(p: np.ndarray, q: np.ndarray, num: int, den: int) -> bool:
     both = np.concatenate([p, q])
     both.sort()
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared > 0 and den * shared >= num * (len(p) + len(q) - shared)
+    same = int((both[1:] == both[:-1]).sum())
+    return same > 0 and den * same >= num * (len(p) + len(q) - same)
 
 
 def _across(members: DataFrame, num: int, den: int, forest: bool) -> DataFrame:

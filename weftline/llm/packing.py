@@ -89,7 +89,7 @@ class WordIds:
 
     def learn(self, new: list[str]) -> None:
         """Ids of chunks that were numbered since the last call."""
-        # A word of letters and one mark after it are tokens apart: such chunks share the word's ids.
+        # A word of letters and one mark after it are tokens apart: such chunks have the word's ids.
         plain = [simple(c) for c in new]
         one = list(dict.fromkeys(chain.from_iterable(plain)))
         ids = dict(zip(one, (e.ids for e in self.library.encode_batch_fast(one, add_special_tokens=False)), strict=True))

@@ -8,7 +8,7 @@ Rows of a shard get gapless slots without bringing a shard into one task: rows a
 within (shard, cell) and each cell is moved by what the cells before it hold.
 
 Defined results: null text has size ``overhead`` and the CRC of the empty text; a null key
-hashes like any other value; rows that repeat a key share its shard and get slots of their
+hashes like any other value; rows that repeat a key go to its shard and get slots of their
 own; an empty table gives no rows; other columns are ignored.
 """
 

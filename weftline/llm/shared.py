@@ -1,7 +1,7 @@
-"""What the operators share: intermediate tables, size-checked joins, bounded reads.
+"""What the operators have in common: intermediate tables, size-checked joins, bounded reads.
 
 Intermediate tables are Parquet files below ``spark.checkpoint.dir``, the folder that
-the driver and all executors share.  A lost executor therefore loses no lineage: what
+the driver and all executors reach.  A lost executor therefore loses no lineage: what
 it had written is read again from there.
 """
 
@@ -23,7 +23,7 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a fresh temporary one only where none is set (tests)."""
+    """The common folder that the cluster names; a fresh temporary one only where none is set (tests)."""
     set_ = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not set_:
         set_ = spark.sparkContext.getCheckpointDir()
@@ -36,7 +36,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: cuts lineage, runs costly work once."""
+    """Write ``df`` once to the common folder and read it back: cuts lineage, runs costly work once."""
     return stored(df, name)[0]
 
 

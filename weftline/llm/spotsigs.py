@@ -9,16 +9,17 @@ fingerprints are compared by Jaccard similarity: if the shorter is empty, or the
 rule out ``min_likeness`` (0 in the query, which rules out nothing), nothing is intersected.
 
 The next document is found without a sort of everything in one task: ids are cut into cells of
-equal width (at most ``MAX_CELLS``), a cell is one window, and the first document of a cell is
+about as many rows (at most ``MAX_CELLS``), a cell is one window, and the first document of a cell is
 handed to the cell before it as well.
 
 Defined results: a null or empty text has an empty fingerprint, like only another such one;
-rows that share an id are ordered by their texts; null ids come first; one document alone is
+rows with one id are ordered by their texts; null ids come first; one document alone is
 its own next; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftline.llm.shared import documents, let, lower_ascii, one_space, stored, text_or_empty
@@ -68,17 +69,23 @@ def signatures(text: Column) -> Column:
 def likeness(a: str, b: str, min_likeness: float = 0.0) -> Column:
     """Jaccard similarity of two sorted signature sets (columns); 0 where their lengths rule out ``min_likeness``."""
     short, long_ = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    shared = F.size(F.array_intersect(a, b))
-    ratio = shared / (F.size(a) + F.size(b) - shared)
+    both = F.size(F.array_intersect(a, b))
+    ratio = both / (F.size(a) + F.size(b) - both)
     return F.when(long_ == 0, 1.0).when((short == 0) | (short < long_ * min_likeness), 0.0).otherwise(ratio)
 
 
 def in_cells(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, Window]:
     """key, _t and _end: 1 for the copy of a first row in the cell before; and the window that puts a row before its next."""
-    s = docs.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    lo, cells = s["lo"] or 0, max(1, min(MAX_CELLS, -(-(s["n"] or 0) // CELL_ROWS)))
-    width = max(1.0, ((s["hi"] or 0) - lo + 1) / cells)
-    cell = F.coalesce(F.least(F.floor((F.col(key).cast("double") - F.lit(float(lo))) / F.lit(width)), F.lit(cells - 1)).cast("int"), F.lit(0))
+    ids = docs.select(F.col(key).cast("long").alias("k")).filter("k IS NOT NULL")
+    cells = max(1, min(MAX_CELLS, -(-ids.count() // CELL_ROWS)))
+    # Spark's ranges hold about as many rows each, however far apart the ids are.
+    ranges = ids.repartitionByRange(cells, "k").groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("k"))
+    begin = np.array(sorted(r["k"] for r in ranges.select("k").collect()) or [0], np.int64)  # MAX_CELLS numbers at most
+    # The last range that begins at or before an id: first among every 256th, then among the 256 from there on.
+    known, every = F.col(key).cast("long"), 256
+    block = F.greatest(F.size(F.filter(F.lit(begin[::every]), lambda x: x <= known)), F.lit(1)) - 1
+    cell = let(block, lambda i: i * every + F.size(F.filter(F.slice(F.lit(begin), i * every + 1, F.lit(every)), lambda x: x <= known)) - 1)
+    cell = F.when(F.col(key).isNull(), 0).otherwise(cell)
     d = docs.select(F.col(key), text_or_empty(text).alias("_t")).withColumn("_cell", cell)
     # First row of each cell, told by id and hash of the text; at most MAX_CELLS rows, so its broadcast is bounded.
     order = F.struct(F.col(key).isNotNull().alias("set"), F.col(key).alias("id"), F.xxhash64("_t").alias("h"))

@@ -1,7 +1,7 @@
 """URL filters: block and allow rules, then empirical-Bayes host reputation (native).
 
 Labelled pages (``labels`` by the page's id; good: quality 1 and not toxic) are counted by
-host.  The share of good pages is shrunk from the top down: all labelled pages give the prior
+host.  The rate of good pages is shrunk from the top down: all labelled pages give the prior
 of a public suffix, the suffix that of a registered domain, the domain that of a host, each
 as a beta-binomial posterior with ``strength`` pseudo-pages.  A page that no rule decides is
 blocked if the upper bound of its host's posterior is below ``min_good``, that is, only where
@@ -70,7 +70,7 @@ def reputations(judged: DataFrame, hosts: DataFrame, strength: float = 20.0, z:
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, key: str = "page_id", url: str = "url", label_key: str = "doc_id", min_good: float = 0.2, strength: float = 20.0, salts: int = 32) -> DataFrame:
-    """One row per page: key, host, path, rule, verdict, good_rate (the host's shrunk share of good pages)."""
+    """One row per page: key, host, path, rule, verdict, good_rate (the host's shrunk rate of good pages)."""
     rows = pages.select(F.col(key), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rows = materialize(rows.withColumn("_r", rule_of(F.col("host"), F.col("path"), rules)), "urls")
     good = labels.groupBy(F.col(label_key).alias(key)).agg(F.avg(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("double")).alias("good"))

@@ -32,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.bytewise import in_pieces, mix, word_hashes
+from weftline.llm.bytewise import in_pieces, in_slices, mix, word_hashes
 from weftline.llm.components import components
 from weftline.llm.shared import documents, forget, join_small, materialize, shuffle_parts, stored
 
@@ -49,7 +49,9 @@ TILE, TILE_BYTES = 2048, 4 << 20
 #: Rounds in which larger buckets try only spanning pairs, before the last tries all that are left.
 FOREST_ROUNDS = 1
 #: Shingles are counted by this many bits of their hash; a task tells of those that it has this often; so many make one common.
-COUNT_BITS, COUNT_LOCAL, COMMON = 24, 4, 32
+COUNT_BITS, COUNT_LOCAL, COMMON = 22, 4, 32
+#: Bytes of text that are worked on at once: numpy takes some 50 times as many.
+PIECE = 1_000_000
 _C = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -169,9 +171,9 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
         import pyarrow as pa
 
         count, seen = np.zeros(1 << COUNT_BITS, np.uint32), 0
-        for b in batches:
+        for b in (x for whole in batches for x in in_slices(whole, "_t")):
             texts = [t.encode() if t else b"" for t in b.column(0).to_pylist()]
-            for part in in_pieces(texts):
+            for part in in_pieces(texts, PIECE):
                 s = _shingles(texts[part], width)[0] >> np.uint64(64 - COUNT_BITS)
                 np.add.at(count, s.astype(np.int64), np.uint32(1))
                 seen += len(s)
@@ -180,7 +182,7 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
             x = at[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(count[x].astype(np.int64))], ["b", "c"])
 
-    total = materialize(docs.mapInArrow(run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")), "counts")
+    total = materialize(docs.toDF("_t").mapInArrow(run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")), "counts")
     mean = (total.agg(F.sum("c")).first()[0] or 0) / (1 << COUNT_BITS)
     place = (F.col("b") + 1).cast("long")
     rows = total.filter(F.col("c") >= max(COMMON, 4 * mean)).groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
@@ -248,10 +250,9 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
         def rows(m: int, **cols):
             return pa.RecordBatch.from_arrays([cols[f.name] if f.name in cols else pa.nulls(m, f.type) for f in schema], schema=schema)
 
-        for b in batches:
-            ids, texts = b.column(0), b.column(1).to_pylist()
-            texts = [t.encode() if t else b"" for t in texts]
-            for part in in_pieces(texts):
+        for b in (x for whole in batches for x in in_slices(whole, "_t")):
+            ids, texts = b.column(0), [t.encode() if t else b"" for t in b.column(1).to_pylist()]
+            for part in in_pieces(texts, PIECE):
                 # A document's number in its piece takes 16 bits.
                 for q in [slice(k, min(k + 65_535, part.stop)) for k in range(part.start, part.stop, 65_535)]:
                     sets = shingle_sets(texts[q], width)
@@ -286,7 +287,7 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                         yield rows(len(cut), kind=pa.array(np.full(len(cut), SIGNATURES, np.int32)), p=pa.array(to[cut].astype(np.int32)), node=pa.array(np.full(len(cut), prefix)), **{c: pa.array([x[i:j].tobytes() for i, j in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("sigs", raw), ("locals", local))})
                     prefix += 1 << 16
 
-    return docs.mapInArrow(run, _MAP)
+    return docs.toDF("_id", "_t").mapInArrow(run, _MAP)
 
 
 def _pairs_of_group(table):
@@ -401,7 +402,7 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
 
         ids, own = texts.column("_i").to_pylist(), [t.encode() if t else b"" for t in texts.column("_t").to_pylist()]
         sets: dict[int, list[np.ndarray]] = {}
-        for part in in_pieces(own):
+        for part in in_pieces(own, PIECE):
             for i, q in zip(ids[part], shingle_sets(own[part], width), strict=True):
                 sets.setdefault(i, []).append(q)
         out = []

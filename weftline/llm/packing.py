@@ -39,7 +39,7 @@ END_ID = 2
 SENTENCE_PENALTY, INSIDE_PENALTY = 8, 64
 LONG_SENTENCE = 256
 SEGMENT_TOKENS = 262_144
-#: Blank-free chunks that a Python worker remembers; it starts anew beyond.
+#: Blank-free chunks that a Python worker remembers (some 200 bytes each); it starts anew beyond.
 MEMO_CHUNKS = 800_000
 SENTENCE_END = frozenset(".!?…。！？")
 
@@ -74,7 +74,8 @@ class Numbers(dict):
 class WordIds:
     """Ids of blank-free chunks as flat arrays; the library encodes each new chunk once."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO_CHUNKS):
+        self.memo = memo
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -102,7 +103,7 @@ class WordIds:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """ids of all texts, each followed by its end; where each text ends; where sentences end."""
-        if len(self.at) > MEMO_CHUNKS:
+        if len(self.at) > self.memo:
             self.clear()
         split = [chunks(t) if t else [] for t in texts]
         count = np.fromiter(map(len, split), np.int64, len(split)) + 1
@@ -120,8 +121,8 @@ class WordIds:
 
 
 @lru_cache(1)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, memo: int = MEMO_CHUNKS) -> WordIds:
+    return WordIds(path, memo)
 
 
 def cuts(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int) -> list[int]:
@@ -172,7 +173,7 @@ def in_powers(length: int, window: int) -> list[int]:
     return bits if window - length > (len(bits) - 1) * INSIDE_PENALTY else [length]
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 4096, vocabulary_path: str | None = None, digest: bool = False) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 4096, vocabulary_path: str | None = None, digest: bool = False, memo: int = MEMO_CHUNKS) -> DataFrame:
     """One row per piece of a document: key, start, length, doc_tokens, sequence_id, offset, and ids (with ``digest`` ids_crc32)."""
     kind = dict(docs.dtypes)[key]
     last = "ids_crc32 long" if digest else "ids array<int>"
@@ -181,7 +182,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         import pyarrow as pa
         from pyspark import TaskContext
 
-        words = word_ids(vocabulary_path or word_vocabulary())
+        words = word_ids(vocabulary_path or word_vocabulary(), memo)
         sequence = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
         # The open segment: its ids, and per document its key, where it begins (may be before the segment) and ends.
         ids, keys, begin, ends, stops = np.zeros(0, np.uint32), [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)

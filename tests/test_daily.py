@@ -1,4 +1,7 @@
-from weftline.repository import daily
+import datetime as dt
+
+from pyspark.sql import functions as F
+from weftline.repository import daily, jobs
 
 VIEW = "object_project string, object_dataset string, object_name string, object_type string, definition_text string"
 META = "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int"
@@ -50,4 +53,48 @@ def test_sharded_sources(spark):
     assert edges(s) == {("two", "x", "e_*", "a"), ("three", "c", "e_*", "c"), ("one", "z", "e_9*", "z"), ("both", "b", "e_1*", "b"), ("both", "a", "other", "a")}
     assert {(r.object_name, r.source_object, r.source_column) for r in s.usages.filter("usage_type = 'WHERE'").collect()} == {("two", "e_*", "c")}
     assert ("p.d.e_*", "p.d.two", 1) in {(r.origin, r.impacted, r.impact_rank) for r in s.impact.collect()}
-    assert {r.object_name for r in s.unanalyzed.collect()} == {"old", "none"}
+    # A pattern that no table matches is an absent source: its statement is done, with nothing to publish.
+    assert {r.object_name for r in s.unanalyzed.collect()} == {"old"}
+
+
+LOG = "job_project string, job_id string, parent_job_id string, creation_time timestamp, user_email string, job_type string, state string, error_reason string, statement_type string, query_text string, labels array<struct<key:string,value:string>>, destination_project string, destination_dataset string, destination_table string"
+
+
+def test_jobs(spark):
+    """Tables that jobs make: a lasting one, one per fingerprint, a script's variables, failed jobs; then they stop running."""
+    now = dt.datetime.now()
+    job = lambda n, who, text, to, kind="CREATE_TABLE_AS_SELECT", parent=None, error=None, days=0, labels=(): ("P", n, parent, now - dt.timedelta(days=days), who, "QUERY", "DONE", error, kind, text, list(labels), "P", "D", to)
+    meta = spark.createDataFrame([("p", "d", "t", c, c, k) for k, c in enumerate("abc")], META)
+    tables = spark.createDataFrame([("p", "d", "t", None), ("p", "d", "kept", None), ("p", "d", "short", now)], "project_id string, dataset_id string, table_name string, expiration_timestamp timestamp")
+    log = spark.createDataFrame([
+        job("j1", "dag", "CREATE TABLE d.kept AS SELECT a AS x FROM d.t", "KEPT", days=2), job("j2", "dag", "CREATE OR REPLACE TABLE d.kept AS (SELECT b AS x FROM d.t)", "KEPT"),
+        job("s", "dag", "DECLARE Lim, other INT64; -- DECLARE none", None, "SCRIPT"), job("j3", "dag", "SELECT c FROM d.t WHERE c > lim AND a = 1", "short", "SELECT", "s"), job("j4", "dag", "SELECT c FROM d.t WHERE c > lim AND a = 2", "short", "SELECT", "s", days=1),
+        job("j5", "person", "SELECT a FROM d.t", "kept", "SELECT"), job("j6", "dag", "SELECT a FROM d.t", "kept", "SELECT", error="x"), job("j7", "plan", "SELECT a AS y FROM d.t", "gone", "SELECT", labels=[("data_source_id", "scheduled_query")]),
+    ], LOG)
+    accounts = jobs.Accounts(scheduled=["plan"], dags=["dag"])
+    one = daily.run(views(spark, V="SELECT x FROM d.kept"), meta, log=log, tables=tables, accounts=accounts)
+    assert {r.job_id for r in one.jobs.collect()} == {"j1", "j2", "j3", "j4", "j7"}
+    reg = {r.object_name if not r.is_ephemeral else (r.object_dataset, r.source_job_id): r for r in one.registry.collect()}
+    assert set(reg) == {"v", "kept", ("dag", "j3"), ("scheduled_query", "j7")}
+    assert reg["kept"].definition_text == "(SELECT b AS x FROM d.t)" and reg["kept"].source_job_id == "j2"
+    assert reg["dag", "j3"].script_variables == ["lim", "other"] and reg["dag", "j3"].analysis_status == "COMPLETED"
+    assert {e for e in edges(one) if not e[0].startswith("fp_")} == {("kept", "x", "t", "b")}
+    assert {(e[1], e[3]) for e in edges(one) if e[0].startswith("fp_")} == {("c", "c"), ("y", "a")}
+
+    # Nothing runs any more and the table is gone; the log's window is short once the registry has jobs.
+    old = one.jobs.withColumn("creation_time", F.col("creation_time") - F.expr("INTERVAL 30 DAYS"))
+    one.jobs = old
+    two = daily.run(views(spark, V="SELECT x FROM d.kept"), meta, one, log=log.limit(0), tables=tables.filter("table_name <> 'kept'"), accounts=accounts)
+    state = {r.object_name if not r.is_ephemeral else (r.object_dataset, r.source_job_id): (r.is_active, r.analysis_status) for r in two.registry.collect()}
+    assert state["kept"] == (False, "INACTIVE_OBJECT_NOT_FOUND") and state["dag", "j3"] == (False, "INACTIVE_FINGERPRINT_NOT_SEEN") and state["v"][0]
+    assert edges(two) == set()
+
+
+def test_metadata_states(spark):
+    """A source that is there without columns keeps a statement back; an absent one does not."""
+    meta = spark.createDataFrame([("p", "d", "t", "a", "a", 1)], META)
+    tables = spark.createDataFrame([("p", "d", "t", None), ("p", "d", "bare", None)], "project_id string, dataset_id string, table_name string, expiration_timestamp timestamp")
+    s = daily.run(views(spark, ABSENT="SELECT t.a, g.b FROM d.t t JOIN d.gone g ON g.b = t.a", BARE="SELECT t.a, u.b FROM d.t t JOIN d.bare u ON u.b = t.a", BAD="SELECT FROM ("), meta, tables=tables)
+    assert {r.object_name: r.analysis_status for r in s.registry.collect()} == {"absent": "COMPLETED", "bare": "FAILED", "bad": "FAILED"}
+    assert edges(s) == {("absent", "a", "t", "a")}
+    assert {r.object_name for r in s.diagnostics.collect()} == {"bare", "bad"}

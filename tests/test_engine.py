@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from weftline.functions import analysis
 from weftline.operators import relational as R
 from weftline.repository import batch, impact, proposals, registry, reports
 from weftline.sources import readers
@@ -68,6 +69,24 @@ def test_metadata_too_large(spark):
     a = batch.run(d, m)
     assert a.select("failure_stage", "result.status").first() == (None, "COMPLETED")
     assert batch.edges(a).count() == 1
+    b = batch.run(d, m, max_metadata=10)
+    assert b.select("failure_stage", "result.status").first() == ("METADATA_TOO_LARGE", "PARTIAL_FAILURE")
+    assert batch.edges(b).count() == 0 and batch.diagnostics(b).count() == 2
+
+
+def test_analyzer_for_sql(spark):
+    import json
+
+    analysis.register(spark)
+    cols = json.dumps([{"table_name": "t", "column_name": "a"}])
+    ask = lambda options, sql="SELECT a AS x FROM t", columns=cols: json.loads(spark.sql("SELECT analyze_sql_with(:s, :c, :o, :m) AS r", args={"s": sql, "c": columns, "o": json.dumps(options), "m": '{"by": "me"}'}).first().r)
+    assert ask({"impact_target": {"table": "t", "column": "a"}})["impact_status"] == "IMPACT_FOUND"
+    none = ask({"impact_target": {"table": "u"}})
+    assert none["impact_status"] == "NO_IMPACT" and [d["code"] for d in none["diagnostics"]] == ["IMPACT_NOT_FOUND"] and none["export_metadata"] == {"by": "me"}
+    assert ask({"source_discovery_only": True})["source_tables"] == ["t"] and set(ask({"compact_export": True})) == {"status", "outputs", "paths", "diagnostics", "impacts", "export_metadata"}
+    with pytest.raises(ValueError):
+        analysis.analyze_json("SELECT nosuch FROM t", cols, '{"strict_mode": true}')
+    assert spark.sql("SELECT fingerprint_sql('select 1')").first()[0] == "SELECT ?" and json.loads(spark.sql("SELECT analyze_sql('SELECT 1 AS one')").first()[0])["status"] == "COMPLETED"
 
 
 def test_stream_folds_to_latest(spark, tmp_path):

@@ -7,11 +7,13 @@ to the tables that it reads, so no worker holds a whole catalog.
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftline.dialect.lineage import Catalog, analyze, discover_sources
-from weftline.dialect.tokens import LexError, fingerprint, tokenize
+from weftline.dialect.tokens import LexError, declared, fingerprint, tokenize
 
 IDENTITY = ["object_project", "object_dataset", "object_name", "object_type"]
 COLUMNS_TYPE = "array<struct<project_id:string,dataset_id:string,table_name:string,column_name:string,field_path:string,ordinal_position:int>>"
@@ -88,20 +90,65 @@ def tokens_column(sql: str):
 
 
 def sources_column(sql: str):
-    """Lower-case names of the physical tables that each statement reads."""
+    """Lower-case names of the physical tables that each statement reads; null for a statement that cannot be read."""
+    @F.pandas_udf("array<string>")
+    def run(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: discover_sources(t) if t is not None else None)
+
+    return run(F.col(sql))
+
+
+def variables_column(sql: str):
+    """Lower-case names of the variables that each script declares."""
     @F.pandas_udf("array<string>")
     def run(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: discover_sources(t) if t is not None else [])
+        return text.map(lambda t: declared(t) if t is not None else None)
 
     return run(F.col(sql))
 
 
+def analyze_json(sql: str | None, columns: str | None = None, options: str | None = None, metadata: str | None = None) -> str:
+    """The analyzer with text in and out: columns as a JSON list, options as a JSON object.
+
+    Options: ``script_variables``, ``impact_target`` (adds ``impact_status`` and, without an
+    impact, a diagnostic that says so), ``source_discovery_only``, ``compact_export`` (outputs,
+    paths and diagnostics only) and ``strict_mode`` (a statement that fails or has errors raises
+    ValueError).  ``metadata`` is a JSON object that the result repeats.
+    """
+    own = json.loads(options) if options else {}
+    if own.get("source_discovery_only"):
+        found = discover_sources(sql)
+        out = {"status": "PARTIAL_FAILURE" if found is None else "COMPLETED", "source_tables": found or []}
+    else:
+        target = own.get("impact_target")
+        out = analyze(sql, Catalog(json.loads(columns) if columns else ()), own.get("script_variables") or (), target)
+        if target:
+            out["impact_status"] = "IMPACT_FOUND" if out["impacts"] else "NO_IMPACT"
+            if not out["impacts"]:
+                out["diagnostics"] = [*out["diagnostics"], {"severity": "INFO", "code": "IMPACT_NOT_FOUND", "line": None, "column": None, "message": "no output depends on the target"}]
+        if own.get("compact_export"):
+            out = {k: v for k, v in out.items() if k in ("status", "outputs", "paths", "diagnostics", "impacts", "impact_status")}
+    if own.get("strict_mode") and out["status"] in ("PARTIAL_FAILURE", "COMPLETED_WITH_ERRORS"):
+        raise ValueError("; ".join(d["message"] for d in out.get("diagnostics", ()) if d["severity"] == "ERROR") or out["status"])
+    if metadata:
+        out["export_metadata"] = json.loads(metadata)
+    return json.dumps(out)
+
+
 def register(spark: SparkSession) -> None:
-    """``fingerprint_sql(text)`` and ``analyze_sql(text)`` (JSON) for SQL."""
-    import json
+    """``fingerprint_sql(text)``, ``analyze_sql(text)`` and ``analyze_sql_with(text, columns, options, metadata)`` (JSON) for SQL, in Arrow batches."""
+
+    def fp(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: None if t is None else fingerprint(t))
+
+    def one(text: pd.Series) -> pd.Series:
+        return text.map(analyze_json)
+
+    def more(text: pd.Series, columns: pd.Series, options: pd.Series, metadata: pd.Series) -> pd.Series:
+        return pd.Series([analyze_json(*x) for x in zip(text, columns, options, metadata, strict=True)])
 
-    spark.udf.register("fingerprint_sql", lambda t: None if t is None else fingerprint(t), "string")
-    spark.udf.register("analyze_sql", lambda t: json.dumps(analyze(t)), "string")
+    for name, f in (("fingerprint_sql", fp), ("analyze_sql", one), ("analyze_sql_with", more)):
+        spark.udf.register(name, F.pandas_udf(f, "string"))
 
 
 def explode_result(analyzed: DataFrame, part: str) -> DataFrame:

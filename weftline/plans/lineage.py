@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftline.functions.analysis import analyze_definitions, explode_result, fingerprint_column, sources_column, tokens_column
-from weftline.repository import batch, impact, registry, reports
+from weftline.repository import batch, impact, jobs as job_side, registry, reports
 from weftline.sources.readers import metadata, table
 
 QUERIES: dict = {}
@@ -84,9 +86,9 @@ def lineage_status(spark, sf_dir):
     return analyzed(spark, sf_dir).select("object_name", F.col("result.status").alias("status"))
 
 
-@query(values("object_name, src, usage_type", [("v_plain", "customer.c_custkey", "SELECT"), ("v_plain", "customer.c_acctbal", "SELECT"), ("v_plain", "customer.c_mktsegment", "WHERE"), ("v_join", "orders.o_orderkey", "SELECT"), ("v_join", "customer.c_name", "SELECT"), ("v_join", "orders.o_custkey", "JOIN_ON"), ("v_join", "customer.c_custkey", "JOIN_ON"), ("v_exists", "customer.c_name", "SELECT"), ("v_exists", "orders.o_custkey", "WHERE"), ("v_exists", "customer.c_custkey", "WHERE")]))
+@query(values("object_name, src, usage_type", [("v_plain", "customer.c_custkey", "SELECT"), ("v_plain", "customer.c_acctbal", "SELECT"), ("v_plain", "customer.c_mktsegment", "WHERE"), ("v_join", "orders.o_orderkey", "SELECT"), ("v_join", "customer.c_name", "SELECT"), ("v_join", "orders.o_custkey", "JOIN_ON"), ("v_join", "customer.c_custkey", "JOIN_ON"), ("v_exists", "customer.c_name", "SELECT"), ("v_exists", "orders.o_custkey", "WHERE"), ("v_exists", "customer.c_custkey", "WHERE"), ("v_cte", "lineitem.l_orderkey", "SELECT"), ("v_cte", "lineitem.l_extendedprice", "SELECT"), ("v_cte", "lineitem.l_discount", "SELECT"), ("v_cte", "lineitem.l_orderkey", "GROUP_BY"), ("v_union", "nation.n_name", "SELECT"), ("v_union", "region.r_name", "SELECT"), ("v_window", "orders.o_orderkey", "SELECT"), ("v_window", "orders.o_custkey", "SELECT"), ("v_window", "orders.o_orderdate", "SELECT"), ("v_chain", "v_plain.id", "SELECT"), ("v_chain", "v_plain.twice", "SELECT"), ("v_pivot", "orders.o_custkey", "SELECT"), ("v_pivot", "orders.o_orderstatus", "SELECT"), ("v_pivot", "orders.o_totalprice", "SELECT")]))
 def lineage_usages(spark, sf_dir):
-    u = batch.usages(analyzed(spark, sf_dir)).filter(F.col("object_name").isin("v_plain", "v_join", "v_exists"))
+    u = batch.usages(analyzed(spark, sf_dir))
     return u.select("object_name", F.concat_ws(".", "source_object", "source_column").alias("src"), "usage_type")
 
 
@@ -106,9 +108,9 @@ def query_impact(spark, sf_dir):
     return analyze_definitions(d, target={"table": "tpch.customer", "column": "c_name"}).select("object_name", F.explode("result.impacts").alias("output"))
 
 
-@query(values("object_name, scopes, kinds", [("v_cte", 2, "CTE_QUERY,ROOT_QUERY"), ("v_exists", 2, "EXPRESSION_SUBQUERY,ROOT_QUERY"), ("v_union", 2, "ROOT_QUERY,SET_OPERATION_QUERY"), ("v_pivot", 2, "ROOT_QUERY,SUBQUERY"), ("v_plain", 1, "ROOT_QUERY")]))
+@query(values("object_name, scopes, kinds", [("v_cte", 2, "CTE_QUERY,ROOT_QUERY"), ("v_exists", 2, "EXPRESSION_SUBQUERY,ROOT_QUERY"), ("v_union", 2, "ROOT_QUERY,SET_OPERATION_QUERY"), ("v_pivot", 2, "ROOT_QUERY,SUBQUERY"), *[(v, 1, "ROOT_QUERY") for v in ("v_plain", "v_join", "v_star", "v_window", "v_chain", "v_const", "v_broken")]]))
 def query_scopes(spark, sf_dir):
-    s = explode_result(analyzed(spark, sf_dir), "scopes").filter(F.col("object_name").isin("v_cte", "v_exists", "v_union", "v_pivot", "v_plain"))
+    s = explode_result(analyzed(spark, sf_dir), "scopes")
     return s.groupBy("object_name").agg(F.count(F.lit(1)).cast("int").alias("scopes"), F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("kinds"))
 
 
@@ -119,7 +121,7 @@ def fingerprint_groups(spark, sf_dir):
     return o.select("o_orderkey", sql.alias("q")).withColumn("fp", fingerprint_column("q")).select("o_orderkey", "fp", F.sha2("fp", 256).alias("h"))
 
 
-@query("SELECT o_orderkey, 10 AS n, 'KEYWORD,IDENTIFIER,OPERATOR,NUMBER,KEYWORD,IDENTIFIER,KEYWORD,IDENTIFIER,OPERATOR,STRING' AS kinds FROM orders WHERE o_orderkey < 300")
+@query("SELECT o_orderkey, 10 AS n, 'KEYWORD,IDENTIFIER,OPERATOR,NUMBER,KEYWORD,IDENTIFIER,KEYWORD,IDENTIFIER,OPERATOR,STRING' AS kinds FROM orders")
 def tokens(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     sql = F.concat(F.lit("SELECT a + "), F.col("o_orderkey"), F.lit(" FROM t WHERE s = '"), F.col("o_orderstatus"), F.lit("'"))
@@ -209,12 +211,89 @@ def validation(spark, sf_dir):
     return reports.validate({"orders_without_customer": o.join(c, o.o_custkey == c.c_custkey, "left_anti")})
 
 
-@query(values("kept", [("v_plain->v_keep",), ("v_cte->v_cte",)]))
+@query(values("kept", [("v_plain->v_keep",), *[(f"{v}->{v}",) for v in EDGES]]))
 def publish_keeps_failed(spark, sf_dir):
     """Old edges of a failed definition stay; those of an analysed one are replaced."""
-    a = analyzed(spark, sf_dir).filter(F.col("object_name").isin("v_cte", "v_broken"))
+    a = analyzed(spark, sf_dir)
     schema = "target_project string, target_dataset string, target_object string, source_object string"
     old = spark.createDataFrame([("local", "tpch", "v_broken", "v_plain"), ("local", "tpch", "v_cte", "old")], schema)
     new = batch.edges(a).select("target_project", "target_dataset", "target_object", F.col("target_object").alias("source_object")).distinct()
     out = batch.publish(old, new, a)
     return out.select(F.concat("source_object", F.lit("->"), F.when(F.col("target_object") == "v_broken", "v_keep").otherwise(F.col("target_object"))).alias("kept"))
+
+
+DEFINITION = "object_project string, object_dataset string, object_name string, object_type string, definition_text string"
+META = "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int"
+#: Sources that are there with columns (have), there without (bare), sharded (e_1, e_2) and absent.
+STATES = {
+    "whole": "SELECT a FROM d.have", "absent": "SELECT h.a, g.x FROM d.have h JOIN d.gone g ON g.x = h.a", "uncollected": "SELECT h.a, b.x FROM d.have h JOIN d.bare b ON b.x = h.a",
+    "shards": "SELECT c FROM `d.e_*`", "unreadable": "SELECT FROM (", "large": "SELECT a, b FROM d.wide",
+}
+
+
+def _states(spark, max_metadata: int = batch.MAX_METADATA):
+    columns = [("have", "a"), ("e_1", "a"), ("e_2", "c"), *[("wide", c) for c in ("a", "b", *[f"column_{k}" for k in range(50)])]]
+    meta = spark.createDataFrame([("p", "d", t, c, c, k) for k, (t, c) in enumerate(columns)], META)
+    there = meta.select("project_id", "dataset_id", "table_name").distinct().union(spark.createDataFrame([("p", "d", "bare")], "a string, b string, c string"))
+    texts = spark.createDataFrame([("p", "d", n, "VIEW", s) for n, s in STATES.items()], DEFINITION)
+    return batch.run(texts, meta, tables=there, max_metadata=max_metadata)
+
+
+@query(values("object_name, absent, uncollected, is_published", [("whole", False, False, True), ("absent", True, False, True), ("uncollected", False, True, False), ("shards", False, False, True), ("unreadable", None, None, False), ("large", False, False, True)]))
+def publishability(spark, sf_dir):
+    a = _states(spark)
+    return a.select("object_name", F.col("has_absent_source").alias("absent"), F.col("has_uncollected_source").alias("uncollected"), batch.publishable(a).alias("is_published"))
+
+
+@query(values("object_name, failure_stage, status", [("whole", None, "COMPLETED"), ("absent", None, "COMPLETED_WITH_WARNINGS"), ("uncollected", None, "COMPLETED_WITH_WARNINGS"), ("shards", None, "COMPLETED"), ("unreadable", "SOURCE_DISCOVERY", "PARTIAL_FAILURE"), ("large", "METADATA_TOO_LARGE", "PARTIAL_FAILURE")]))
+def metadata_guard(spark, sf_dir):
+    return _states(spark, 1000).select("object_name", "failure_stage", F.col("result.status").alias("status"))
+
+
+@query(values("target_object, source", [("whole", "have.a"), ("absent", "have.a"), ("shards", "e_*.c"), ("large", "wide.a"), ("large", "wide.b")]))
+def batch_sharded(spark, sf_dir):
+    return batch.edges(_states(spark)).select("target_object", F.concat_ws(".", "source_object", "source_column").alias("source"))
+
+
+def _log(spark, sf_dir):
+    """Orders as jobs: two of three accounts make tables, t0 to t9."""
+    null = F.lit(None).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        F.lit("P").alias("job_project"), F.col("o_orderkey").cast("string").alias("job_id"), null.alias("parent_job_id"), F.col("o_orderdate").cast("timestamp").alias("creation_time"), F.concat(F.lit("u"), F.col("o_custkey") % 3).alias("user_email"),
+        F.lit("QUERY").alias("job_type"), F.lit("DONE").alias("state"), null.alias("error_reason"), F.when(F.col("o_orderstatus") == "F", "CREATE_TABLE_AS_SELECT").otherwise("SELECT").alias("statement_type"),
+        F.concat(F.when(F.col("o_orderstatus") == "F", "create table x.y as ").otherwise(""), F.lit("select a from t where k = "), F.col("o_orderkey")).alias("query_text"), F.array().cast("array<struct<key:string,value:string>>").alias("labels"),
+        F.lit("P").alias("destination_project"), F.lit("D").alias("destination_dataset"), F.concat(F.lit("T"), F.col("o_custkey") % 10).alias("destination_table"),
+    )
+
+
+ACCOUNTS = job_side.Accounts(dags=["u0", "u1"])
+
+
+@query("""WITH j AS (SELECT *, o_custkey % 10 AS n FROM orders WHERE o_custkey % 3 < 2)
+SELECT CASE WHEN n < 5 THEN 't' || n ELSE 'fp_' || sha256('SELECT A FROM T WHERE K = ?') END AS object_name, n >= 5 AS is_ephemeral, CASE WHEN n < 5 THEN 'd' ELSE 'dag' END AS object_dataset,
+       arg_max(o_orderkey::VARCHAR, (o_orderdate, o_orderkey::VARCHAR)) AS source_job_id FROM j GROUP BY ALL""")
+def generated_definitions(spark, sf_dir):
+    tables = spark.createDataFrame([("p", "d", f"t{k}", None) for k in range(5)] + [("p", "d", "t5", dt.datetime(2030, 1, 1))], "project_id string, dataset_id string, table_name string, expiration_timestamp timestamp")
+    jobs = job_side.collect(_log(spark, sf_dir), None, ACCOUNTS, F.lit("1990-01-01").cast("timestamp"))
+    return job_side.generated(jobs, tables).select("object_name", "is_ephemeral", "object_dataset", "source_job_id")
+
+
+@query("""SELECT o_orderkey::VARCHAR AS job_id, CASE WHEN o_custkey % 3 < 2 AND o_orderdate >= TIMESTAMP '1998-01-01' THEN 'u' || o_custkey % 3 ELSE 'old' END AS user_email, sha256('SELECT A FROM T WHERE K = ?') AS sql_fingerprint
+FROM orders WHERE o_custkey % 3 < 2 AND (o_orderdate >= TIMESTAMP '1998-01-01' OR o_orderkey % 2 = 0)""")
+def job_registry_upsert(spark, sf_dir):
+    every = job_side.collect(_log(spark, sf_dir), None, ACCOUNTS, F.lit("1990-01-01").cast("timestamp"))
+    old = every.filter("CAST(job_id AS LONG) % 2 = 0").withColumn("user_email", F.lit("old"))
+    return job_side.collect(_log(spark, sf_dir), old, ACCOUNTS, F.lit("1998-01-04").cast("timestamp")).select("job_id", "user_email", "sql_fingerprint")
+
+
+@query("""WITH r AS (SELECT DISTINCT o_custkey % 50 AS n FROM orders), s AS (SELECT DISTINCT o_custkey % 50 AS n FROM orders WHERE o_orderdate >= TIMESTAMP '2001-07-25')
+SELECT 'o' || r.n AS object_name, CASE WHEN r.n % 2 = 0 THEN s.n IS NOT NULL ELSE r.n < 25 END AS is_active, CASE WHEN r.n % 2 = 0 AND s.n IS NULL THEN 'INACTIVE_FINGERPRINT_NOT_SEEN' WHEN r.n % 2 = 1 AND r.n >= 25 THEN 'INACTIVE_OBJECT_NOT_FOUND' ELSE 'COMPLETED' END AS analysis_status
+FROM r LEFT JOIN s USING (n)""")
+def age_out_ephemeral(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("n"), F.col("o_orderdate").cast("timestamp").alias("creation_time"))
+    name, print_ = F.concat(F.lit("o"), "n"), F.concat(F.lit("f"), "n")
+    known = o.select("n").distinct()
+    reg = known.select(F.lit("p").alias("object_project"), F.lit("d").alias("object_dataset"), name.alias("object_name"), print_.alias("sql_fingerprint"), (F.col("n") % 2 == 0).alias("is_ephemeral"), F.lit("DAG").alias("generation_type"), F.lit(True).alias("is_active"), F.lit(False).alias("is_changed"), F.lit("COMPLETED").alias("analysis_status"))
+    tables = known.filter("n < 25").select(F.lit("P").alias("project_id"), F.lit("D").alias("dataset_id"), name.alias("table_name"), F.lit(None).cast("timestamp").alias("expiration_timestamp"))
+    jobs = o.select(print_.alias("sql_fingerprint"), "creation_time")
+    return job_side.retire(reg, tables, jobs, F.lit("2001-07-28").cast("timestamp"), 3).select("object_name", "is_active", "analysis_status")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from weftline.functions.analysis import variables_column
 from weftline.operators import relational as R
 from weftline.repository import proposals as P, registry as G
 from weftline.sources.readers import register_views, table
@@ -38,13 +39,14 @@ def same(name: str, sql: str, spark_sql: str | None = None) -> None:
 
 # -- projections, filters, predicates ----------------------------------------
 same("project_alias", "SELECT o_orderkey AS k, o_totalprice AS price, o_orderkey + o_custkey AS s FROM orders WHERE o_totalprice > 300000")
-same("star_except", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey < 500", "SELECT * EXCEPT (o_totalprice, o_orderdate, o_orderpriority) FROM orders")
+same("star_except", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders", "SELECT * EXCEPT (o_totalprice, o_orderdate, o_orderpriority) FROM orders")
 same("select_distinct", "SELECT DISTINCT o_orderstatus AS st, o_orderpriority AS pr FROM orders")
 same("predicates_mix", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE (l_quantity BETWEEN 10 AND 20 OR l_returnflag IN ('R', 'A')) AND NOT l_linestatus = 'O' AND l_discount IS NOT NULL AND l_tax <> 0.0")
-same("like_any", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE '%cold%' OR p_type LIKE 'ECON%'", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE ANY ('%cold%') OR p_type LIKE 'ECON%'")
+same("like_any", "SELECT p_partkey, p_name FROM part WHERE (p_name LIKE 'small%' OR p_name LIKE '%bolt' OR p_name LIKE 'r_d%') AND p_type NOT LIKE 'ECON%'", "SELECT p_partkey, p_name FROM part WHERE p_name LIKE ANY ('small%', '%bolt', 'r_d%') AND p_type NOT LIKE 'ECON%'")
+same("like_all", "SELECT p_partkey, p_name LIKE '%e%' AND p_name LIKE '%d%' AS every, NOT (p_name LIKE '%e%' OR p_name LIKE '%i%') AS not_any, NOT (p_name LIKE '%e%' AND p_name LIKE '%i%') AS some_not FROM part", "SELECT p_partkey, p_name LIKE ALL ('%e%', '%d%') AS every, p_name NOT LIKE ALL ('%e%', '%i%') AS not_any, p_name NOT LIKE SOME ('%e%', '%i%') AS some_not FROM part")
 same("is_distinct_from", "SELECT o_orderkey FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' AND (o_totalprice > 1e5) IS TRUE")
 same("in_subquery", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)")
-same("not_exists", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+same("not_exists", "SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 250000)")
 same("exists_in_case", "SELECT c_custkey, CASE WHEN EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 200000) THEN 'big' ELSE 'small' END AS size_class FROM customer c")
 same("having_alias", "SELECT o_custkey AS k, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 5")
 same("no_from", "SELECT 1 AS one, 'x' AS s, NULL IS NULL AS b")
@@ -112,12 +114,12 @@ def pivot_status(spark, t):
     return R.pivot(t("orders").select("o_orderpriority", "o_orderstatus", "o_totalprice"), ["o_orderpriority"], "o_orderstatus", {"F": "F", "O": "O", "P": "P"}, {None: F.max("o_totalprice")})
 
 
-@query("SELECT l_orderkey, l_linenumber, metric, v FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_tax, l_discount FROM lineitem WHERE l_orderkey < 200) ON l_tax, l_discount INTO NAME metric VALUE v) AS x(l_orderkey, l_linenumber, l_partkey, metric, v)")
+@query("SELECT l_orderkey, l_linenumber, metric, v FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_tax, l_discount FROM lineitem) ON l_tax, l_discount INTO NAME metric VALUE v) AS x(l_orderkey, l_linenumber, l_partkey, metric, v)")
 def unpivot_amounts(spark, t):
     return R.unpivot(t("lineitem"), ["l_orderkey", "l_linenumber"], {"l_tax": ["l_tax"], "l_discount": ["l_discount"]}, ["v"], "metric")
 
 
-@query("SELECT l_orderkey, l_linenumber, 'price' AS k, l_extendedprice AS a, l_discount AS b FROM lineitem WHERE l_orderkey < 200 UNION ALL SELECT l_orderkey, l_linenumber, 'qty', l_quantity, l_tax FROM lineitem WHERE l_orderkey < 200")
+@query("SELECT l_orderkey, l_linenumber, 'price' AS k, l_extendedprice AS a, l_discount AS b FROM lineitem UNION ALL SELECT l_orderkey, l_linenumber, 'qty', l_quantity, l_tax FROM lineitem")
 def unpivot_multi(spark, t):
     return R.unpivot(t("lineitem"), ["l_orderkey", "l_linenumber"], {"price": ["l_extendedprice", "l_discount"], "qty": ["l_quantity", "l_tax"]}, ["a", "b"], "k")
 
@@ -151,7 +153,7 @@ same("set_union_all", "SELECT n_name AS x FROM nation UNION ALL SELECT r_name FR
 same("set_intersect", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'")
 same("set_except_all", "SELECT o_custkey AS k FROM orders EXCEPT ALL SELECT c_custkey FROM customer")
 same("set_intersect_all", "SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' INTERSECT ALL SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'")
-same("set_chain", "(SELECT n_nationkey AS k FROM nation UNION SELECT c_nationkey FROM customer) EXCEPT SELECT s_nationkey FROM supplier")
+same("set_chain", "SELECT n_nationkey AS k FROM nation UNION SELECT c_custkey FROM customer EXCEPT SELECT s_suppkey FROM supplier", "(SELECT n_nationkey AS k FROM nation UNION SELECT c_custkey FROM customer) EXCEPT SELECT s_suppkey FROM supplier")
 
 # -- scalar expressions ----------------------------------------------------------
 same("arithmetic", "SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT)) AS charge, -l_linenumber AS neg, l_orderkey % 7 AS m FROM lineitem")
@@ -165,7 +167,8 @@ same("string_functions", "SELECT c_custkey, upper(c_mktsegment) || '-' || lower(
 same("regex_functions", "SELECT p_partkey, regexp_matches(p_brand, '#1[0-9]') AS m, regexp_extract(p_brand, '#([0-9])', 1) AS d, regexp_replace(p_name, '[aeiou]', '_', 'g') AS v FROM part", "SELECT p_partkey, p_brand RLIKE '#1[0-9]' AS m, regexp_extract(p_brand, '#([0-9])', 1) AS d, regexp_replace(p_name, '[aeiou]', '_') AS v FROM part")
 same("hash_hex", "SELECT c_custkey, sha256(c_name) AS h FROM customer", "SELECT c_custkey, sha2(c_name, 256) AS h FROM customer")
 same("json_extract", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events", "SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM events")
-same("array_subscript", "SELECT vec_id, round(embedding[1], 5) AS a, len(embedding) AS n, embedding[9999] IS NULL AS out_of_range FROM embeddings", "SELECT 0")
+same("array_subquery", "SELECT n_nationkey, coalesce(array_to_string(list_sort(ARRAY(SELECT s_suppkey FROM supplier WHERE s_nationkey = n_nationkey)), ','), '') AS suppliers FROM nation", "SELECT n_nationkey, coalesce((SELECT array_join(array_sort(collect_list(s_suppkey)), ',') FROM supplier WHERE s_nationkey = n_nationkey), '') AS suppliers FROM nation")
+same("table_sample", "SELECT n_nationkey, n_name FROM nation", "SELECT n_nationkey, n_name FROM nation TABLESAMPLE (100 PERCENT)")
 same("scalar_subquery", "SELECT o_orderkey FROM orders o WHERE o_totalprice = (SELECT max(o_totalprice) FROM orders i WHERE i.o_custkey = o.o_custkey)")
 same("nested_cte", "WITH a AS (SELECT o_custkey AS k, sum(o_totalprice) AS s FROM orders GROUP BY o_custkey), b AS (SELECT k, s FROM a WHERE s > (SELECT avg(s) FROM a)) SELECT n_name, count(*) AS n FROM b JOIN customer ON k = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
 same("recursive_cte_paths", "WITH RECURSIVE c AS (SELECT n_nationkey AS k, 1 AS depth FROM nation WHERE n_nationkey < 5 UNION ALL SELECT n.n_nationkey, c.depth + 1 FROM c JOIN nation n ON n.n_nationkey = c.k + 5 WHERE c.depth < 5) SELECT k, depth FROM c", "WITH RECURSIVE c(k, depth) AS (SELECT n_nationkey, 1 FROM nation WHERE n_nationkey < 5 UNION ALL SELECT n.n_nationkey, c.depth + 1 FROM c JOIN nation n ON n.n_nationkey = c.k + 5 WHERE c.depth < 5) SELECT k, depth FROM c")
@@ -177,10 +180,23 @@ def array_subscript(spark, t):
     return t("embeddings").select("vec_id", F.round(e[0], 5).cast("double").alias("a"), F.size(e).alias("n"), F.get(e, F.lit(9998)).isNull().alias("out_of_range"))
 
 
-@query("SELECT vec_id, i::INTEGER AS o, round(v, 4)::DOUBLE AS x FROM (SELECT vec_id, unnest(embedding[1:4]) AS v, generate_subscripts(embedding[1:4], 1) - 1 AS i FROM embeddings)")
+@query("SELECT vec_id, i::INTEGER AS o, v::DOUBLE AS x FROM (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)")
 def unnest_offset(spark, t):
-    x = t("embeddings").select("vec_id", F.posexplode(F.slice("embedding", 1, 4)).alias("o", "v"))
-    return x.select("vec_id", "o", F.round("v", 4).cast("double").alias("x"))
+    x = t("embeddings").select("vec_id", F.posexplode("embedding").alias("o", "v"))
+    return x.select("vec_id", "o", F.col("v").cast("double").alias("x"))
+
+
+@query("SELECT o_custkey, array_to_string(list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey)[1:3], ',') AS top, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS priorities, arg_max(o_orderstatus, (o_totalprice, o_orderkey)) AS of_largest, list(nullif(o_orderstatus, 'P') ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_orderstatus <> 'P')[1] AS first_known FROM orders GROUP BY o_custkey")
+def aggregate_modifiers(spark, t):
+    """ARRAY_AGG with ORDER BY and LIMIT, STRING_AGG with DISTINCT and ORDER BY, ANY_VALUE HAVING MAX, IGNORE NULLS."""
+    known = F.nullif(F.col("o_orderstatus"), F.lit("P"))
+    x = t("orders").groupBy("o_custkey").agg(
+        F.slice(R.ordered_list(F.col("o_orderkey"), F.struct(-F.col("o_totalprice"), F.col("o_orderkey"))), 1, 3).alias("top"),
+        F.array_join(F.array_sort(F.collect_set("o_orderpriority")), "|").alias("priorities"),
+        F.max_by("o_orderstatus", F.struct("o_totalprice", "o_orderkey")).alias("of_largest"),
+        F.get(R.ordered_list(known, F.struct("o_orderdate", "o_orderkey")), F.lit(0)).alias("first_known"),
+    )
+    return x.withColumn("top", F.array_join("top", ","))
 
 
 @query("SELECT n_nationkey, v FROM nation LEFT JOIN (SELECT n_nationkey AS k, unnest(CASE WHEN n_nationkey % 2 = 0 THEN [n_nationkey, n_regionkey] ELSE [] END) AS v FROM nation) ON k = n_nationkey")
@@ -237,18 +253,17 @@ def job_classify(spark, t):
     return t("orders").select("o_orderkey", kind.alias("kind"), reason.alias("reason"))
 
 
-@query("SELECT o_orderkey, 'V' || o_orderkey || ',W,' || CASE WHEN o_custkey % 2 = 0 THEN 'Z' ELSE 'V' || o_orderkey END AS names FROM orders WHERE o_custkey % 2 = 0 UNION ALL SELECT o_orderkey, 'V' || o_orderkey || ',W' FROM orders WHERE o_custkey % 2 <> 0")
+@query("SELECT o_orderkey, 'v' || o_orderkey || ',w' || CASE WHEN o_custkey % 2 = 0 THEN ',z' ELSE '' END AS names FROM orders")
 def declare_vars(spark, t):
-    text = F.concat(F.lit("declare v"), F.col("o_orderkey"), F.lit(", w INT64;\nDECLARE "), F.when(F.col("o_custkey") % 2 == 0, "z").otherwise(F.concat(F.lit("v"), F.col("o_orderkey"))), F.lit(" STRING DEFAULT 'x';"))
-    return t("orders").select("o_orderkey", F.array_join(G.script_variables(text), ",").alias("names"))
+    text = F.concat(F.lit("declare V"), F.col("o_orderkey"), F.lit(", w INT64; -- DECLARE no;\nDECLARE "), F.when(F.col("o_custkey") % 2 == 0, "z").otherwise(F.concat(F.lit("v"), F.col("o_orderkey"))), F.lit(" STRING DEFAULT 'x';"))
+    return t("orders").select("o_orderkey", text.alias("q")).select("o_orderkey", F.array_join(variables_column("q"), ",").alias("names"))
 
 
-@query("SELECT doc_id, length(trim(source)) > 0 AND n_chars >= 40 AND quality = 1 AS passes, round((quality + toxic + 3) / 3.0, 1) AS score FROM labels JOIN documents USING (doc_id)")
+@query("SELECT doc_id, length(trim(source)) > 0 AND length(text) >= 40 AND quality = 1 AS passes, round((quality + toxic + 3) / 3.0, 1) AS score FROM labels JOIN documents USING (doc_id)")
 def rule_gate(spark, t):
-    d = t("labels").join(t("documents").select("doc_id", "source", "n_chars", "text"), "doc_id")
+    d = t("labels").join(t("documents").select("doc_id", "source", "text"), "doc_id")
     ids, catalog, expected = F.array("quality"), F.array(F.lit(0), F.lit(1)), F.array(F.lit(1))
-    body = F.rpad(F.lit(""), F.least(F.col("n_chars"), F.lit(60)).cast("int"), F.lit("x"))
-    return d.select("doc_id", P.gate(F.col("source"), body, ids, catalog, expected).alias("passes"), P.judge(F.col("quality"), F.col("toxic"), F.lit(3)).alias("score"))
+    return d.select("doc_id", P.gate(F.col("source"), F.col("text"), ids, catalog, expected).alias("passes"), P.judge(F.col("quality"), F.col("toxic"), F.lit(3)).alias("score"))
 
 
 @query("SELECT n_nationkey, list_aggregate(list_filter([n_nationkey, n_regionkey, 3], lambda x: NOT list_contains([n_regionkey, 7], x)), 'string_agg', ',') AS added, CASE WHEN 7 IN (n_nationkey, n_regionkey, 3) THEN NULL ELSE '7' END AS removed FROM nation WHERE n_nationkey NOT IN (3) AND n_nationkey <> n_regionkey")

@@ -51,16 +51,42 @@ def with_columns(definitions: DataFrame, metadata: DataFrame) -> DataFrame:
     return d.join(cols, OBJECT, "left").withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))
 
 
-def run(definitions: DataFrame, metadata: DataFrame, variables: str | None = None) -> DataFrame:
-    """Analyzed definitions; those with more metadata than a statement may have are marked instead."""
+def source_flags(definitions: DataFrame, tables: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Of each definition (with ``referenced``): whether a source is absent from ``tables``, and whether one is there without columns in ``metadata``."""
+    named = definitions.select(*OBJECT, F.explode("referenced").alias("name")).distinct()
+    names = named.select("name").distinct()
+
+    def met(known: DataFrame, flag: str) -> DataFrame:
+        known = known.select("project_id", "dataset_id", "table_name").distinct()
+        exact = names.join(lookup_names(known).select(F.col("lookup").alias("name")), "name").select("name")
+        return exact.union(shard_matches(names, known).select("name")).distinct().withColumn(flag, F.lit(True))
+
+    x = named.join(met(tables, "_there"), "name", "left").join(met(metadata, "_collected"), "name", "left")
+    there, collected = F.coalesce("_there", F.lit(False)), F.coalesce("_collected", F.lit(False))
+    return x.groupBy(*OBJECT).agg(F.bool_or(~there).alias("has_absent_source"), F.bool_or(there & ~collected).alias("has_uncollected_source"))
+
+
+def run(definitions: DataFrame, metadata: DataFrame, variables: str | None = None, tables: DataFrame | None = None, max_metadata: int = MAX_METADATA) -> DataFrame:
+    """Analyzed definitions with ``failure_stage`` and the flags of their sources.
+
+    A statement whose sources cannot be told is marked SOURCE_DISCOVERY; one with more metadata
+    than a statement may have METADATA_TOO_LARGE, and is not analysed.  ``tables`` are those that
+    exist (if not given, those that have metadata).
+    """
     d = with_columns(definitions, metadata)
-    return analyze_definitions(d, variables=variables).withColumn("failure_stage", F.when(F.col("metadata_bytes") >= MAX_METADATA, "METADATA_TOO_LARGE"))
+    stage = F.when(F.col("definition_text").isNotNull() & F.col("referenced").isNull(), "SOURCE_DISCOVERY").when(F.col("metadata_bytes") >= max_metadata, "METADATA_TOO_LARGE")
+    large = F.coalesce(F.col("failure_stage") == "METADATA_TOO_LARGE", F.lit(False))
+    d = d.withColumn("failure_stage", stage)
+    d = d.withColumn("_sql", F.when(~large, F.col("definition_text"))).withColumn("columns", F.when(~large, F.col("columns")))
+    d = d.join(source_flags(d, tables if tables is not None else metadata, metadata), OBJECT, "left")
+    return analyze_definitions(d, sql="_sql", variables=variables).drop("_sql")
 
 
 def publishable(analyzed: DataFrame) -> Column:
-    """Complete, or with warnings that are not about tables whose columns are missing."""
-    missing = F.exists("result.diagnostics", lambda x: x["code"].isin("PHYSICAL_METADATA_NOT_FOUND", "SOURCE_METADATA_NOT_COLLECTED"))
-    return (F.col("result.status") == "COMPLETED") | ((F.col("result.status") == "COMPLETED_WITH_WARNINGS") & ~missing)
+    """Complete, or with warnings while no source is there whose columns were not collected; sources that are absent do no harm."""
+    uncollected = F.coalesce("has_uncollected_source", F.lit(False)) if "has_uncollected_source" in analyzed.columns else F.lit(False)
+    stage = F.col("failure_stage").isNull() if "failure_stage" in analyzed.columns else F.lit(True)
+    return stage & ((F.col("result.status") == "COMPLETED") | ((F.col("result.status") == "COMPLETED_WITH_WARNINGS") & ~uncollected))
 
 
 def _parts(name: Column, project: Column, dataset: Column) -> list[Column]:

@@ -6,9 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.repository import batch, impact, registry, reports
+from weftline.repository import batch, impact, jobs as job_side, registry, reports
 
-REGISTRY = "object_project string, object_dataset string, object_name string, object_type string, definition_text string, definition_hash string, previous_definition_hash string, is_changed boolean, is_active boolean, analysis_status string, last_analyzed_hash string, last_seen_at timestamp, is_ephemeral boolean"
+REGISTRY = "object_project string, object_dataset string, object_name string, object_type string, definition_text string, definition_hash string, previous_definition_hash string, is_changed boolean, is_active boolean, analysis_status string, last_analyzed_hash string, last_seen_at timestamp, is_ephemeral boolean, sql_fingerprint string, generation_type string, script_variables array<string>, source_job_id string"
 KEY = registry.KEY
 
 
@@ -22,10 +22,14 @@ class Snapshot:
     diagnostics: DataFrame
     impact: DataFrame
     unanalyzed: DataFrame
+    jobs: DataFrame | None = None
 
 
-def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, include: list[str] | None = None, exclude: list[str] | None = None, max_rank: int = 100) -> Snapshot:
-    """One run over the scanned views (identity, definition_text).
+def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, include: list[str] | None = None, exclude: list[str] | None = None, max_rank: int = 100, log: DataFrame | None = None, tables: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> Snapshot:
+    """One run over the scanned views (identity, definition_text) and, with a job ``log``, over the tables that jobs make.
+
+    ``tables`` are those that exist (project_id, dataset_id, table_name, expiration_timestamp); a log needs them.
+    The impact closure is made anew only if something was analysed or edges went.
 
     Only definitions whose text changed are analysed.  What cannot be published leaves the
     object's old edges and usages in place and marks it FAILED; objects that are gone become
@@ -36,9 +40,20 @@ def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, i
     gate = registry.matches(F.col("object_dataset"), include or [], exclude or [])
     scan = registry.scan_definitions(views.filter(gate)).withColumn("last_seen_at", F.current_timestamp())
     old = before.registry if before else spark.createDataFrame([], REGISTRY)
-    reg = registry.deactivate_missing(registry.upsert(old, scan), scan).checkpoint()
-    analyzed = batch.run(batch.changed(reg), metadata).select(*KEY, "definition_hash", "result", "failure_stage").checkpoint()
-    ok = batch.publishable(analyzed) & F.col("failure_stage").isNull()
+    by_jobs = F.col("generation_type").isNotNull()
+    seen = registry.upsert(old, scan)
+    reg, known_jobs = registry.deactivate_missing(seen.filter(~by_jobs), scan), before.jobs if before else None
+    if log is not None:
+        now, days = F.current_timestamp(), registry.lookback_days(known_jobs) if known_jobs is not None else registry.lookback_days(spark.createDataFrame([], job_side.JOBS))
+        known_jobs = job_side.collect(log, known_jobs, accounts or job_side.Accounts(), now).checkpoint()
+        recent = known_jobs.filter(F.col("creation_time") >= now - F.make_dt_interval(F.lit(days)))
+        made = registry.upsert(seen.filter(by_jobs), job_side.generated(recent, tables))
+        reg = reg.unionByName(job_side.retire(made, tables, known_jobs, now, days))
+    else:
+        reg = reg.unionByName(seen.filter(by_jobs))
+    reg = reg.checkpoint()
+    analyzed = batch.run(batch.changed(reg), metadata, "script_variables", tables).select(*KEY, "definition_hash", "result", "failure_stage", "has_absent_source", "has_uncollected_source").checkpoint()
+    ok = batch.publishable(analyzed)
     done = analyzed.select(*KEY, F.col("definition_hash").alias("_hash"), ok.alias("_ok"))
     reg = reg.join(done, KEY, "left")
     tried, fine = F.col("_ok").isNotNull(), F.coalesce("_ok", F.lit(False))
@@ -57,4 +72,5 @@ def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, i
     usages = usages.join(dead, KEY, "left_anti").checkpoint()
     name = lambda side: F.concat_ws(".", f"{side}_project", f"{side}_dataset", f"{side}_object")
     graph = edges.select(name("source").alias("source"), "source_column", name("target").alias("target"), "target_column", "resolution_status")
-    return Snapshot(reg, edges, usages, batch.diagnostics(analyzed), impact.closure(graph, max_rank), reports.unanalyzed(reg))
+    moved = before is None or good.limit(1).count() or edges.count() != before.edges.count()
+    return Snapshot(reg, edges, usages, batch.diagnostics(analyzed), impact.closure(graph, max_rank) if moved else before.impact, reports.unanalyzed(reg), known_jobs)

@@ -16,6 +16,8 @@ def ready(spark: SparkSession) -> None:
     """A folder for checkpoint(): the cluster's, or a temporary one where none is set (tests)."""
     if not spark.sparkContext.getCheckpointDir():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+        if not named and spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors reach")
         spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="weftline-"))
 
 

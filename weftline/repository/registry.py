@@ -66,12 +66,6 @@ def usable_jobs(jobs: DataFrame) -> DataFrame:
     return jobs.filter((F.col("job_type") == "QUERY") & (F.col("state") == "DONE") & F.col("error_reason").isNull() & F.col("query_text").isNotNull() & (made | (F.col("statement_type") == "SCRIPT")))
 
 
-def script_variables(text: Column) -> Column:
-    """Distinct upper-case names of all DECLARE lists of a script."""
-    lists = F.regexp_extract_all(text, F.lit(r"(?is)\bDECLARE\s+([A-Za-z_]\w*(?:\s*,\s*[A-Za-z_]\w*)*)"), F.lit(1))
-    return F.array_distinct(F.transform(F.flatten(F.transform(lists, lambda x: F.split(x, r"\s*,\s*"))), lambda x: F.upper(F.trim(x))))
-
-
 def classify(labels: Column, email: Column, label_key: str, accounts: list[str], dag_accounts: list[str]) -> tuple[Column, Column]:
     """generation_type and the reason; a schedule's label with its account wins over a DAG account."""
     scheduled = F.coalesce(F.exists(labels, lambda x: x["key"] == label_key), F.lit(False)) & email.isin(accounts)

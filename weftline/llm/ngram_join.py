@@ -18,7 +18,8 @@ the sets' parity sketches, which is never more than that of the sets), then the
 compared.  Links give components; larger buckets whose members are then in different
 components try pairs that would join them, and what is still apart after ``FOREST_ROUNDS`` is compared
 across components: all members outside of the bucket's largest component against all of the bucket.
-So no link is lost and no group of copies is expanded into all pairs.
+So no link is lost and no group of copies is expanded into all pairs.  A member counts once for its bucket, however many
+groups of signatures it meets it in.
 
 Equal sets count as linked by their 128-bit hashes.  Signatures and hashes only propose.
 
@@ -500,6 +501,16 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.filter(F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b", "na", "nb", "proven")
 
 
+def _joined_by(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """The labels after further links; both tables are deleted if there are any."""
+    if not more.limit(1).count():
+        forget(more)
+        return labels
+    out = materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
+    forget(labels, more)
+    return out
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links of similarity num / den)."""
     docs = docs.select(F.col(key), F.col(text))
@@ -516,26 +527,26 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     links, known = _links(docs, least.union(found.filter("proven").select(*least.columns)), width, num, den)
     links = materialize(links.union(copies), "links")
     labels = materialize(components(links), "labels")
+    forget(links)
     more, tried = _links(docs, _apart(found, labels), width, num, den, known)
-    forget(found, labels)
+    forget(found)
     known = known.union(tried)
-    labels = materialize(components(links.union(more)), "labels")
-    forget(links, more)
-    members = rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node"))
+    labels = _joined_by(labels, more)
+    # Near copies meet in many groups with one centre: a member counts once for its bucket.
+    members = materialize(rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node")).distinct(), "members")
     if members.limit(1).count():
         # Each round but the last tries what would join the labels; the last leaves no pair untried.
         for forest in (*[True] * FOREST_ROUNDS, False):
             named = d.filter("id IS NOT NULL").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
             mixed = members.join(named.select("node", "label"), "node").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-            m = members.join(mixed, "bucket", "left_semi").distinct().join(named.select("node", "id", "n", "bins", "label"), "node")
-            m = materialize(m, "mixed")
+            mixed, size = stored(mixed, "mixed")
+            m = join_small(members, mixed, size, ["bucket"], "left_semi").join(named.select("node", "id", "n", "bins", "label"), "node")
+            m = materialize(m, "mixed-members")
             more, tried = _links(docs, _across(m, num, den, forest), width, num, den, known)
-            forget(m)
+            forget(m, mixed)
             known = known.union(tried)
-            if more.limit(1).count():
-                before, labels = labels, materialize(components(more.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "labels")
-                forget(before)
-            forget(more)
+            labels = _joined_by(labels, more)
+    forget(members)
     out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").cast(dict(docs.dtypes)[key]).alias("component_id"))
 

@@ -111,6 +111,22 @@ def test_partenum(docs, messy, empty):
     assert ngram_join.similar_groups(empty).count() == 0
 
 
+def test_components(spark, monkeypatch):
+    """Chains, cycles and random pairs, with least partners broadcast and joined."""
+    from weftline.llm import components as module
+
+    pairs = [(i, i + 1) for i in range(100, 120)] + [(200, 201), (201, 202), (202, 200), (7, 7), (300, 301), (301, 300)] + [(400 + i * i % 37, 400 + i * 5 % 41) for i in range(30)]
+    root = {x: x for p in pairs if p[0] != p[1] for x in p}
+    for _ in root:
+        for a, b in pairs:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    for limit in (32 << 20, 0):
+        monkeypatch.setattr(module, "BROADCAST_BYTES", limit)
+        assert dict(map(tuple, module.components(spark.createDataFrame(pairs, "a long, b long")).collect())) == root
+    assert module.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_partenum_large_buckets(spark):
     """One passage in many documents, and a chain of near copies: stars alone would miss links."""
     import random

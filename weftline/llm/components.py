@@ -4,43 +4,58 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.shared import forget, materialize
+from weftline.llm.shared import BROADCAST_BYTES, forget, materialize
 
 
 #: A node's pairs are dealt to so many tasks.
 SALTS = 8
+#: At most what a node and its least partner, two whole numbers, take in a broadcast table.
+NODE_BYTES = 128
 
 
-def _nearest(pairs: DataFrame) -> DataFrame:
-    """(v, u, m): each pair with the least of v and its partners.  Partial sums first, then a join that deals a star's pairs to several tasks."""
+def _nearest(pairs: DataFrame, small: bool) -> DataFrame:
+    """(v, u, m): each pair with the least of v and its partners.
+
+    Partial sums first, then a join: of a ``small`` table of least partners by broadcast, else one that
+    deals a star's pairs to several tasks.
+    """
     least = pairs.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
+    if small:
+        return pairs.join(F.broadcast(least), "v")
     least = least.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return pairs.withColumn("_s", F.pmod(F.xxhash64("u"), F.lit(SALTS)).cast("int")).join(least.hint("merge"), ["v", "_s"]).drop("_s")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, small: bool) -> DataFrame:
     both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select(F.col("b").alias("v"), F.col("a").alias("u")))
-    return _nearest(both).filter("u > v AND u <> m").select(F.col("u").alias("a"), F.col("m").alias("b")).distinct()
+    return _nearest(both, small).filter("u > v AND u <> m").select(F.col("u").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, small: bool) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u"))
-    x = _nearest(down)
+    x = _nearest(down, small)
     return x.filter("u <> m").select(F.col("u").alias("a"), F.col("m").alias("b")).union(x.select(F.col("v").alias("a"), F.col("m").alias("b"))).distinct()
 
 
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """The number of nodes, and whether one has two edges down, or one down and one up: no stars around their least nodes yet."""
+    ends = edges.select(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    ends = ends.groupBy("v").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    s = ends.agg(F.count(F.lit(1)).alias("nodes"), F.bool_or(F.expr("down > 1 OR (down > 0 AND up > 0)")).alias("moving")).first()
+    return s["nodes"], bool(s["moving"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node with an edge.  ``edges`` has a and b.
 
-    Each round halves the depth at least; the rounds end when every edge leads to its
-    component's least node and nothing moves.
+    Each round halves the depth at least; the rounds end when every node has one edge, to a node without one of its
+    own: its component's least.  Nodes with their least partners are broadcast while their count bounds what they take.
     """
     e = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
     while True:
-        s = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-        if before == (s["n"], s["h"]):
+        nodes, moving = _state(e)
+        if not moving:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before, last = (s["n"], s["h"]), e
-        e = materialize(_small_star(_large_star(e)), "edges")
+        small, last = nodes * NODE_BYTES <= BROADCAST_BYTES, e
+        e = materialize(_small_star(_large_star(e, small), small), "edges")
         forget(last)

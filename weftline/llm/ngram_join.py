@@ -385,6 +385,8 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
     if known is not None:
         possible = possible.join(known.select("a", "b"), ["a", "b"], "left_anti")
     possible = materialize(possible, "possible")
+    if not possible.limit(1).count():
+        return materialize(possible.select("a", "b"), "links"), possible
     open_ = possible.filter("NOT proven")
     # Documents that are compared have a leader in common; a block holds the documents of one or two tiles, so that
     # a text is sent once to each block that needs it and not once for each of its pairs.

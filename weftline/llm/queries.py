@@ -16,6 +16,9 @@ QUERIES = {
     "op8_bucket_pointers": "substrings",
     "op9_dp_packing": "packing",
     "op10_line_dedup": "lines",
+    "op11_drake_bounds": "centroids",
+    "op12_partial_distance": "codes",
+    "op13_certified_repacking": "repacking",
 }
 
 
@@ -76,7 +79,59 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM x GROUP BY doc_id
 """
 
-SQL = {"op1_host_rules": OP1, "op7_host_reputation": OP7, "op10_line_dedup": OP10}
+#: Whole-number vectors without null or non-finite components.
+KEPT = "SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+FLOOR = "(({0} - (({0} % {1}) + {1}) % {1}) // {1})::BIGINT"
+
+
+def op11_sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """Every round compares all vectors with all centroids: |v|^2 - 2 v c + |c|^2, whole numbers that doubles hold."""
+    out = [
+        f"WITH kept AS ({KEPT} AND len(embedding) = {dim})",
+        "x AS (SELECT vec_id, v, v::DOUBLE[] AS f, list_inner_product(v::DOUBLE[], v::DOUBLE[]) AS q FROM kept)",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS j, v AS c FROM kept QUALIFY j < {k})",
+    ]
+    for r in range(rounds + 1):
+        out += [f"a{r} AS MATERIALIZED (SELECT vec_id, v, min((q - 2 * list_inner_product(f, c::DOUBLE[]) + list_inner_product(c::DOUBLE[], c::DOUBLE[]))::BIGINT * {k} + j) AS m FROM x, c{r} GROUP BY vec_id, v)"]
+        if r < rounds:
+            out += [
+                f"s{r} AS (SELECT j, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT m % {k} AS j, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY j, i)",
+                f"n{r} AS (SELECT j, list({FLOOR.format('s', 'n')} ORDER BY i) AS c FROM s{r} GROUP BY j)",
+                f"c{r + 1} AS MATERIALIZED (SELECT j, coalesce(n{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN n{r} USING (j))",
+            ]
+    return (
+        ", ".join(out)
+        + f" SELECT vec_id, j::INTEGER AS cluster, m // {k} AS distance, sum(m // {k}) OVER (PARTITION BY j)::BIGINT AS cluster_inertia, sum(m // {k}) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256"
+        + f" FROM (SELECT *, m % {k} AS j FROM a{rounds}) JOIN c{rounds} USING (j)"
+    )
+
+
+def op12_sql(parts: int = 16, entries: int = 64, rounds: int = 2, dim: int = 64) -> str:
+    """Every round compares all parts with all entries of their codebook."""
+    w = dim // parts
+    d2 = " + ".join(f"(p[{i}] - c[{i}]) * (p[{i}] - c[{i}])" for i in range(1, w + 1))
+    out = [
+        f"WITH kept AS ({KEPT})",
+        f"x AS (SELECT vec_id, m, v[{w} * m + 1 : {w} * m + {w}] AS p FROM kept, range({parts}) AS r(m) WHERE len(v) = {dim})",
+        f"c0 AS (SELECT m, row_number() OVER (PARTITION BY m ORDER BY vec_id) - 1 AS e, p AS c FROM x QUALIFY e < {entries})",
+    ]
+    for r in range(rounds + 1):
+        out += [f"a{r} AS MATERIALIZED (SELECT vec_id, m, p, min(({d2}) * {entries} + e) AS b FROM x JOIN c{r} USING (m) GROUP BY vec_id, m, p)"]
+        if r < rounds:
+            new = ", ".join(FLOOR.format(f"sum(p[{i}])::BIGINT", "count(*)") for i in range(1, w + 1))
+            out += [
+                f"n{r} AS (SELECT m, b % {entries} AS e, [{new}] AS c FROM a{r} GROUP BY m, b % {entries})",
+                f"c{r + 1} AS MATERIALIZED (SELECT m, e, coalesce(n{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN n{r} USING (m, e))",
+            ]
+    return (
+        ", ".join(out)
+        + f", g AS (SELECT vec_id, string_agg(printf('%02x', b % {entries}), '' ORDER BY m) AS code, sum(b // {entries})::BIGINT AS error FROM a{rounds} GROUP BY vec_id)"
+        + f", h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY m, e)) AS codebooks_sha256 FROM c{rounds})"
+        + " SELECT vec_id, code, error, coalesce(sum(error) OVER (PARTITION BY label), 0)::BIGINT AS label_error, codebooks_sha256 FROM kept LEFT JOIN g USING (vec_id), h"
+    )
+
+
+SQL = {"op1_host_rules": OP1, "op7_host_reputation": OP7, "op10_line_dedup": OP10, "op11_drake_bounds": op11_sql(), "op12_partial_distance": op12_sql()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def qualify(df: DataFrame, condition: Column) -> DataFrame:
@@ -36,15 +36,8 @@ def unpivot(df: DataFrame, ids: list[str], groups: dict[str, list[str]], value_n
     return out if include_nulls else out.filter(F.coalesce(*value_names).isNotNull())
 
 
-def groups_frame(df: DataFrame, agg: Column, name: str, partition: list[str], order: str, before: int, after: int = 0) -> DataFrame:
-    """An aggregate over a frame of peer groups (GROUPS BETWEEN): ranges over the dense rank."""
-    ranked = df.withColumn("_g", F.dense_rank().over(Window.partitionBy(*partition).orderBy(order)))
-    w = Window.partitionBy(*partition).orderBy("_g").rangeBetween(-before, after)
-    return ranked.withColumn(name, agg.over(w)).drop("_g")
-
-
 def islands(df: DataFrame, partition: list[str], order: Column, step: Column) -> DataFrame:
-    """Number the runs in which ``step`` (0 or 1: a new run begins) stays 0."""
+    """Number the runs in which ``step`` (0 or 1: a new run begins) stays 0; for many small partitions (``windows.islands`` for few large ones)."""
     return df.withColumn("island", F.sum(step).over(Window.partitionBy(*partition).orderBy(order)))
 
 
@@ -53,5 +46,13 @@ def ordered_list(value: Column, order: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))), lambda x: x["v"])
 
 
-def recent(w: WindowSpec, value: Column) -> Column:
-    return F.last(value, ignorenulls=True).over(w)
+def first_of_group(df: DataFrame, keys: list[str], value: Column, order: list[Column], limit: int, name: str) -> DataFrame:
+    """ARRAY_AGG(value IGNORE NULLS ORDER BY order LIMIT limit) of each group, bounded before rows are shuffled.
+
+    A rank filter over the group keeps ``limit`` rows of each group in each task (Spark's window group limit) and then ``limit`` in all,
+    so a group's size does not matter.  Groups without a value have an empty array.
+    """
+    # Nulls rank last, so that a group without values keeps a row.
+    ranked = df.select(*keys, value.alias("_v"), F.row_number().over(Window.partitionBy(*keys).orderBy(value.isNull(), *order)).alias("_r")).filter(F.col("_r") <= limit)
+    items = F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_r", "_v")))
+    return ranked.groupBy(*keys).agg(F.transform(F.array_sort(items), lambda x: x["_v"]).alias(name))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from weftline.functions.analysis import variables_column
-from weftline.operators import relational as R
+from weftline.operators import relational as R, windows
 from weftline.repository import proposals as P, registry as G
 from weftline.sources.readers import register_views, table
 
@@ -130,14 +130,35 @@ same("running_sum", "SELECT o_orderkey, CAST(sum(CAST(round(o_totalprice * 100)
 same("lag_lead", "SELECT event_id, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p, lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nx FROM events")
 same("named_window", "SELECT o_orderkey, first_value(o_orderkey) OVER w AS f, count(*) OVER w AS c FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)")
 same("ignore_nulls", "SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events", "SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END) IGNORE NULLS OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events")
-same("range_frame", "SELECT o_orderkey, count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_custkey RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near FROM orders")
+@query("SELECT o_orderkey, count(*) OVER (PARTITION BY o_orderstatus ORDER BY o_custkey RANGE BETWEEN 5 PRECEDING AND 5 FOLLOWING) AS near FROM orders")
+def range_frame(spark, t):
+    o = t("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    return windows.range_frame(o, ["o_orderstatus"], "o_custkey", {"near": ("count", F.lit(1))}, 5, 5).select("o_orderkey", "near")
+
 
 
 @query("SELECT o_orderkey, sum(o_orderkey) OVER (PARTITION BY o_orderstatus ORDER BY o_custkey GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW)::BIGINT AS s FROM orders")
 def groups_frame(spark, t):
-    return R.groups_frame(t("orders").select("o_orderkey", "o_orderstatus", "o_custkey"), F.sum("o_orderkey"), "s", ["o_orderstatus"], "o_custkey", 1).select("o_orderkey", "s")
+    o = t("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    return windows.groups_frame(o, ["o_orderstatus"], "o_custkey", {"s": ("sum", F.col("o_orderkey"))}, 1).select("o_orderkey", "s")
+
+
+@query("""SELECT o_orderkey, row_number() OVER w AS n, sum(o_custkey) OVER w::BIGINT AS s, max(o_custkey) OVER w AS m, lag(o_orderkey, 2) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS two_before, lead(o_orderkey) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey) AS following
+FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def running_few_keys(spark, t):
+    """Running aggregates, LAG and LEAD over three partitions of the table, spread over all tasks."""
+    o, keys, order = t("orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_custkey"), ["o_orderstatus"], ["o_orderdate", "o_orderkey"]
+    x = windows.running(o, keys, order, {"n": ("count", F.lit(1)), "s": ("sum", F.col("o_custkey")), "m": ("max", F.col("o_custkey"))})
+    return windows.shifted(x, keys, order, {"two_before": (F.col("o_orderkey"), 2), "following": (F.col("o_orderkey"), -1)}).select("o_orderkey", "n", "s", "m", "two_before", "following")
 
 
+@query("""WITH x AS (SELECT event_type, ts, event_id, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 1 HOUR THEN 0 ELSE 1 END AS g FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
+SELECT event_id, sum(g) OVER (PARTITION BY event_type ORDER BY ts, event_id)::BIGINT AS island FROM x""")
+def islands_few_keys(spark, t):
+    """Runs of one kind of event without a gap of an hour; a handful of kinds, spread over all tasks."""
+    e, near = t("events").select("event_type", "ts", "event_id"), F.col("ts") - F.col("_before") <= F.expr("INTERVAL 1 HOUR")
+    return windows.islands(e, ["event_type"], ["ts", "event_id"], ~F.coalesce(near, F.lit(False)), {"_before": F.col("ts")}).select("event_id", "island")
+
 @query("WITH x AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS g FROM events), y AS (SELECT *, sum(g) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM x) SELECT user_id, island::BIGINT AS island, count(*) AS n FROM y GROUP BY user_id, island")
 def islands(spark, t):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
@@ -189,14 +210,19 @@ def unnest_offset(spark, t):
 @query("SELECT o_custkey, array_to_string(list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey)[1:3], ',') AS top, string_agg(DISTINCT o_orderpriority, '|' ORDER BY o_orderpriority) AS priorities, arg_max(o_orderstatus, (o_totalprice, o_orderkey)) AS of_largest, list(nullif(o_orderstatus, 'P') ORDER BY o_orderdate, o_orderkey) FILTER (WHERE o_orderstatus <> 'P')[1] AS first_known FROM orders GROUP BY o_custkey")
 def aggregate_modifiers(spark, t):
     """ARRAY_AGG with ORDER BY and LIMIT, STRING_AGG with DISTINCT and ORDER BY, ANY_VALUE HAVING MAX, IGNORE NULLS."""
+    o, k = t("orders"), ["o_custkey"]
     known = F.nullif(F.col("o_orderstatus"), F.lit("P"))
-    x = t("orders").groupBy("o_custkey").agg(
-        F.slice(R.ordered_list(F.col("o_orderkey"), F.struct(-F.col("o_totalprice"), F.col("o_orderkey"))), 1, 3).alias("top"),
-        F.array_join(F.array_sort(F.collect_set("o_orderpriority")), "|").alias("priorities"),
-        F.max_by("o_orderstatus", F.struct("o_totalprice", "o_orderkey")).alias("of_largest"),
-        F.get(R.ordered_list(known, F.struct("o_orderdate", "o_orderkey")), F.lit(0)).alias("first_known"),
-    )
-    return x.withColumn("top", F.array_join("top", ","))
+    x = o.groupBy(*k).agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), "|").alias("priorities"), F.max_by("o_orderstatus", F.struct("o_totalprice", "o_orderkey")).alias("of_largest"))
+    top = R.first_of_group(o, k, F.col("o_orderkey"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 3, "top")
+    first = R.first_of_group(o, k, known, [F.asc("o_orderdate"), F.asc("o_orderkey")], 1, "first")
+    return x.join(top, k).join(first, k).select(*k, F.array_join("top", ",").alias("top"), "priorities", "of_largest", F.get("first", F.lit(0)).alias("first_known"))
+
+
+@query("SELECT o_orderstatus, array_to_string(list(o_orderkey ORDER BY o_totalprice DESC, o_orderkey)[1:5], ',') AS top FROM orders GROUP BY o_orderstatus")
+def top_of_hot_groups(spark, t):
+    """ARRAY_AGG with ORDER BY and LIMIT over three groups that hold the whole table."""
+    top = R.first_of_group(t("orders"), ["o_orderstatus"], F.col("o_orderkey"), [F.desc("o_totalprice"), F.asc("o_orderkey")], 5, "top")
+    return top.select("o_orderstatus", F.array_join("top", ",").alias("top"))
 
 
 @query("SELECT n_nationkey, v FROM nation LEFT JOIN (SELECT n_nationkey AS k, unnest(CASE WHEN n_nationkey % 2 = 0 THEN [n_nationkey, n_regionkey] ELSE [] END) AS v FROM nation) ON k = n_nationkey")

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftline.functions.analysis import analyze_definitions, explode_result, fingerprint_column, sources_column, tokens_column
-from weftline.repository import batch, impact, jobs as job_side, registry, reports
+from weftline.repository import batch, impact, jobs as job_side, registry, reports, store
+from weftline.sources import scratch
 from weftline.sources.readers import metadata, table
 
 QUERIES: dict = {}
@@ -147,6 +148,22 @@ def impact_closure(spark, sf_dir):
     return c.select("origin", "impact_rank", "impacted", F.array_join("path", " -> ").alias("path"), "path_hash", "is_cycle")
 
 
+MOVED_GEO = GEO.replace("'n' || s_nationkey AS t", "'n' || (s_nationkey + CASE WHEN s_suppkey % 5 = 0 THEN 7 ELSE 0 END) % 25 AS t").replace("'r' || n_regionkey, 'k' FROM nation", "'r' || n_regionkey, 'k' FROM nation WHERE n_nationkey % 4 <> 1 UNION SELECT 'n' || n_nationkey, NULL, 'r' || (n_regionkey + 1) % 5, NULL FROM nation WHERE n_nationkey % 6 = 0")
+
+
+@query(f"WITH RECURSIVE {MOVED_GEO} SELECT DISTINCT origin, oc AS origin_column, impact_rank, impacted, ic AS impacted_column, array_to_string(p, ' -> ') AS path, cyc AS is_cycle FROM c")
+def impact_delta(spark, sf_dir):
+    """The closure after suppliers moved and nations lost or gained edges, from the closure before and the changed edges alone."""
+    before, s, n = _geo(spark, sf_dir), table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    left = before.join(s.filter("s_suppkey % 5 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("source")).union(n.filter("n_nationkey % 4 = 1").select(F.concat(F.lit("n"), "n_nationkey"))), "source", "left_anti")
+    none = F.lit(None).cast("string")
+    moved = s.filter("s_suppkey % 5 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("source"), F.lit("k").alias("source_column"), F.concat(F.lit("n"), (F.col("s_nationkey") + 7) % 25).alias("target"), F.lit("k").alias("target_column"), F.lit("RESOLVED").alias("resolution_status"))
+    wide = n.filter("n_nationkey % 6 = 0").select(F.concat(F.lit("n"), "n_nationkey").alias("source"), none.alias("source_column"), F.concat(F.lit("r"), (F.col("n_regionkey") + 1) % 5).alias("target"), none.alias("target_column"), F.lit("RESOLVED").alias("resolution_status"))
+    after = left.unionByName(moved).unionByName(wide)
+    closure, _ = impact.maintain(impact.closure(before, 10), before, after, 10)
+    return closure.select("origin", "origin_column", "impact_rank", "impacted", "impacted_column", F.array_join("path", " -> ").alias("path"), "is_cycle")
+
+
 @query("""WITH RECURSIVE x AS (SELECT DISTINCT n_regionkey AS a, (n_regionkey * 2 + 1) % 5 AS b FROM nation), c AS (SELECT a AS origin, 1 AS rk, b AS cur, [a::VARCHAR || '.*', b::VARCHAR || '.*'] AS p, false AS cyc FROM x
 UNION ALL SELECT c.origin, c.rk + 1, x.b, list_append(c.p, x.b::VARCHAR || '.*'), list_contains(c.p, x.b::VARCHAR || '.*') FROM c JOIN x ON x.a = c.cur WHERE NOT c.cyc AND rk < 9)
 SELECT DISTINCT origin::VARCHAR AS origin, rk AS impact_rank, array_to_string(p, ' -> ') AS path FROM c WHERE cyc""")
@@ -222,6 +239,33 @@ def publish_keeps_failed(spark, sf_dir):
     return out.select(F.concat("source_object", F.lit("->"), F.when(F.col("target_object") == "v_broken", "v_keep").otherwise(F.col("target_object"))).alias("kept"))
 
 
+PUBLISHED = {"edges": store.Table("object string, edge long, cents long", ["object"]), "usages": store.Table("object string, used string", ["object"])}
+
+
+@query("""SELECT 'edges' AS tab, 't' || o_custkey % 200 AS object, o_orderkey AS edge, round(o_totalprice * 100)::BIGINT AS cents, NULL AS used FROM orders WHERE CASE WHEN o_custkey % 200 % 3 = 0 THEN o_orderstatus = 'O' ELSE o_orderstatus = 'F' END
+UNION ALL SELECT DISTINCT 'usages', 't' || o_custkey % 200, NULL::BIGINT, NULL::BIGINT, o_orderpriority FROM orders WHERE CASE WHEN o_custkey % 200 % 3 = 0 THEN o_orderstatus = 'O' ELSE o_orderstatus = 'F' END""")
+def publish_versions(spark, sf_dir):
+    """Two tables published in versions: all objects, then some replaced in both, then a run that fails in its second table."""
+    at = store.Store(spark, scratch.folder(spark, "store"), PUBLISHED)
+    o = table(spark, sf_dir, "orders").select(F.concat(F.lit("t"), F.col("o_custkey") % 200).alias("object"), F.col("o_orderkey").alias("edge"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"), F.col("o_orderpriority").alias("used"), "o_orderstatus", (F.col("o_custkey") % 200).alias("n"))
+    edges, usages = lambda x: x.select("object", "edge", "cents"), lambda x: x.select("object", "used").distinct()
+    old, third = o.filter("o_orderstatus = 'F'"), o.filter("n % 3 = 0").select("object").distinct()
+    at.publish({"edges": store.Replace(edges(old)), "usages": store.Replace(usages(old))})
+    new = o.filter("o_orderstatus = 'O' AND n % 3 = 0")
+    at.publish({"edges": store.Replace(edges(new), third), "usages": store.Replace(usages(new), third)})
+
+    def full(what):
+        if what == "usages":
+            raise OSError("no space left")
+
+    try:
+        at.publish({"edges": store.Replace(edges(o.filter("o_orderstatus = 'P'")), o.select("object").distinct()), "usages": store.Replace(usages(o))}, full)
+    except store.PublishFailed:
+        pass  # readers stay on the second version
+    none = lambda t: F.lit(None).cast(t)
+    return at.read("edges").select(F.lit("edges").alias("tab"), "object", "edge", "cents", none("string").alias("used")).unionByName(at.read("usages").select(F.lit("usages").alias("tab"), "object", none("long").alias("edge"), none("long").alias("cents"), "used"))
+
+
 DEFINITION = "object_project string, object_dataset string, object_name string, object_type string, definition_text string"
 META = "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int"
 #: Sources that are there with columns (have), there without (bare), sharded (e_1, e_2) and absent.

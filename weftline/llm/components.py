@@ -1,11 +1,14 @@
-"""Connected components of an edge table by alternating large and small stars."""
+"""Connected components of an edge table: each task joins its own edges, alternating large and small stars join the tasks'."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.shared import BROADCAST_BYTES, forget, materialize
 
+#: Edges that one task joins at once.
+TASK_EDGES = 1_000_000
 
 #: A node's pairs are dealt to so many tasks.
 SALTS = 8
@@ -45,17 +48,65 @@ def _state(edges: DataFrame) -> tuple[int, bool]:
     return s["nodes"], bool(s["moving"])
 
 
+def least_reachable(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct nodes of edges, and the least node that each can reach by them."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        x, y = root[i], root[j]
+        open_ = x != y
+        if not open_.any():
+            return nodes, nodes[root]
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        # Larger roots hang below smaller ones; then every node is moved to the root of its root.
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (up := root[root]) is not root and (up != root).any():
+            root = up
+
+
+def _joined(edges: DataFrame, tasks: int) -> DataFrame:
+    """Edges from each node of a task to the least that it reaches there: the same components, fewer edges."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        def star(parts):
+            a, b = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+            nodes, least = least_reachable(a, b)
+            keep = nodes != least
+            return nodes[keep], least[keep]
+
+        held, size = [], 0
+        for x in batches:
+            held.append((x.column("a").to_numpy(), x.column("b").to_numpy()))
+            size += x.num_rows
+            if size >= TASK_EDGES:
+                held = [star(held)]
+                # A forest that is still this large goes on as it is.
+                if (size := len(held[0][0])) > TASK_EDGES // 2:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], ["a", "b"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in star(held)], ["a", "b"])
+
+    return edges.select("a", "b").coalesce(tasks).mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the least node reachable, for every node with an edge.  ``edges`` has a and b.
+    """(node, component): the least node reachable, for every node with an edge.  ``edges`` (stored) has a and b.
 
-    Each round halves the depth at least; the rounds end when every node has one edge, to a node without one of its
+    Each task first joins the edges that it reads, up to ``TASK_EDGES`` at a time; where there are more tasks, or more edges
+    than that, stars follow.  Each round halves the depth at least; the rounds end when every node has one edge, to a node without one of its
     own: its component's least.  Nodes with their least partners are broadcast while their count bounds what they take.
     """
-    e = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    some = edges.filter("a <> b").select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    tasks = -(-some.count() // TASK_EDGES) or 1
+    e = materialize(_joined(some, tasks), "edges")
     while True:
-        nodes, moving = _state(e)
+        nodes, moving = _state(e) if tasks > 1 else (0, False)
         if not moving:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        small, last = nodes * NODE_BYTES <= BROADCAST_BYTES, e
+        small, last, tasks = nodes * NODE_BYTES <= BROADCAST_BYTES, e, 2
         e = materialize(_small_star(_large_star(e, small), small), "edges")
         forget(last)

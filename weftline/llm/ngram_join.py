@@ -35,10 +35,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.bytewise import in_pieces, in_slices, mix, word_hashes
 from weftline.llm.components import components
-from weftline.llm.shared import documents, forget, join_small, materialize, shuffle_parts, stored
+from weftline.llm.shared import documents, forget, join_small, materialize, stored
 
 #: Cells of a part, and how many of them a subset leaves out.
 CELLS, DIFFER = 3, 1
+#: Shingles whose signatures, about 6 bytes each packed and 30 sorted, make one group.
+GROUP_SHINGLES = 3_000_000
 #: Sets in a bucket that give all their pairs; larger buckets give stars first.
 SMALL = 8
 #: Bytes of a signature beside the group that it goes to.  Equal bytes of different signatures only cost a comparison.
@@ -162,8 +164,8 @@ def _rare(items: np.ndarray, common: np.ndarray) -> np.ndarray:
     return (common[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 0
 
 
-def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """A bit for each of 2 ** COUNT_BITS hash values of shingles: whether many documents have one with it.
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
+    """A bit for each of 2 ** COUNT_BITS hash values of shingles: whether many documents have one with it; and the number of shingles.
 
     It has a fixed size, covers all documents and only orders signatures: no result depends on it.
     """
@@ -178,20 +180,22 @@ def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
                 s = _shingles(texts[part], width)[0] >> np.uint64(64 - COUNT_BITS)
                 np.add.at(count, s.astype(np.int64), np.uint32(1))
                 seen += len(s)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([seen], pa.int64())], ["b", "c"])
         at = np.flatnonzero(count >= max(COUNT_LOCAL, 4 * seen // len(count) + COUNT_LOCAL))
         for k in range(0, len(at), 100_000):
             x = at[k : k + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(count[x].astype(np.int64))], ["b", "c"])
 
     total = materialize(docs.toDF("_t").mapInArrow(run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")), "counts")
-    mean = (total.agg(F.sum("c")).first()[0] or 0) / (1 << COUNT_BITS)
+    told = total.agg(F.sum(F.when(F.col("b") >= 0, F.col("c"))).alias("often"), F.sum(F.when(F.col("b") < 0, F.col("c"))).alias("all")).first()
+    mean = (told["often"] or 0) / (1 << COUNT_BITS)
     place = (F.col("b") + 1).cast("long")
-    rows = total.filter(F.col("c") >= max(COMMON, 4 * mean)).groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    rows = total.filter((F.col("b") >= 0) & (F.col("c") >= max(COMMON, 4 * mean))).groupBy(F.bitmap_bucket_number(place).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     out = np.zeros(1 << (COUNT_BITS - 3), np.uint8)
     for r in rows.collect():  # at most 2 ** COUNT_BITS bits in all
         out[4096 * (r.k - 1) : 4096 * r.k] = np.frombuffer(r.bits, np.uint8)
     forget(total)
-    return out
+    return out, told["all"] or 0
 
 
 def parities(s: np.ndarray) -> bytes:
@@ -513,12 +517,24 @@ def _joined_by(labels: DataFrame, more: DataFrame) -> DataFrame:
     return out
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets with more than one label, with their labels."""
+    named = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
+    named = materialize(named.select("bucket", "node", "id", "label"), "named-members")
+    mixed, size = stored(named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket"), "mixed")
+    out = materialize(join_small(named, mixed, size, ["bucket"], "left_semi"), "mixed-members")
+    forget(named, mixed)
+    return out
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links of similarity num / den)."""
     docs = docs.select(F.col(key), F.col(text))
     spark = docs.sparkSession
-    groups = 2 * shuffle_parts(spark)
-    common = spark.sparkContext.broadcast(common_shingles(docs.select(text), width))
+    bits, shingles = common_shingles(docs.select(text), width)
+    common = spark.sparkContext.broadcast(bits)
+    # A group is one task's table, so their number follows the shingles that were counted.  More would only find the same pairs again.
+    groups = 1 + shingles // GROUP_SHINGLES
     rows = materialize(_signature_rows(docs, groups, width, num, den, common).groupBy("p").applyInArrow(_pairs_of_group, _OUT), "pairs")
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
@@ -537,18 +553,20 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     # Near copies meet in many groups with one centre: a member counts once for its bucket.
     members = materialize(rows.filter(F.col("kind") == MEMBER).select(F.col("a").alias("bucket"), F.col("b").alias("node")).distinct(), "members")
     if members.limit(1).count():
+        members, last = materialize(members.join(d.filter("id IS NOT NULL").select("node", "id"), "node"), "known-members"), members
+        forget(last)
         # Each round but the last tries what would join the labels; the last leaves no pair untried.
         for forest in (*[True] * FOREST_ROUNDS, False):
-            named = d.filter("id IS NOT NULL").join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
-            mixed = members.join(named.select("node", "label"), "node").groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
-            mixed, size = stored(mixed, "mixed")
-            m = join_small(members, mixed, size, ["bucket"], "left_semi").join(named.select("node", "id", "n", "bins", "label"), "node")
-            m = materialize(m, "mixed-members")
-            more, tried = _links(docs, _across(m, num, den, forest), width, num, den, known)
-            forget(m, mixed)
+            if not (m := _mixed(members, labels)).limit(1).count():
+                forget(m)
+                break
+            members, last = m.select("bucket", "node", "id"), members
+            full = materialize(m.join(d.select("node", "n", "bins"), "node"), "mixed-members")
+            more, tried = _links(docs, _across(full, num, den, forest), width, num, den, known)
+            forget(full, last)
+            members._stored_at = m._stored_at
             known = known.union(tried)
             labels = _joined_by(labels, more)
-    forget(members)
     out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").cast(dict(docs.dtypes)[key]).alias("component_id"))
 

@@ -1,7 +1,8 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
-from weftline.repository import daily, jobs
+from weftline.repository import batch, daily, impact, jobs, store
 
 VIEW = "object_project string, object_dataset string, object_name string, object_type string, definition_text string"
 META = "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int"
@@ -98,3 +99,71 @@ def test_metadata_states(spark):
     assert {r.object_name: r.analysis_status for r in s.registry.collect()} == {"absent": "COMPLETED", "bare": "FAILED", "bad": "FAILED"}
     assert edges(s) == {("absent", "a", "t", "a")}
     assert {r.object_name for r in s.diagnostics.collect()} == {"bare", "bad"}
+
+
+def paths(df):
+    return sorted(tuple(map(str, (r.origin, r.origin_column, r.impacted, r.impacted_column, r.path))) for r in df.collect())
+
+
+def test_narrowed_scan_keeps_what_it_did_not_look_at(spark):
+    """A second run over one of two datasets: the other's views, edges, usages and impact stay; so do rows that were out of service."""
+    meta = spark.createDataFrame([("p", "d", "t", "a", "a", 1)], META)
+    rows = [("p", d, n, "VIEW", "SELECT a FROM d.t WHERE a > 1") for d, n in (("d1", "v1"), ("d1", "v2"), ("d2", "w1"))]
+    one = daily.run(spark.createDataFrame(rows, VIEW), meta)
+    two = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, one, include=["^d1$"])
+    state = {r.object_name: (r.is_active, r.is_changed, r.analysis_status) for r in two.registry.collect()}
+    assert state == {"v1": (True, False, "COMPLETED"), "v2": (False, False, "INACTIVE_OBJECT_NOT_FOUND"), "w1": (True, False, "COMPLETED")}
+    assert {e[0] for e in edges(two)} == {"v1", "w1"} and {r.object_name for r in two.usages.collect()} == {"v1", "w1"}
+    assert paths(two.impact) == paths(impact.closure(daily._graph(two.edges)))
+    two.registry = two.registry.withColumn("analysis_status", F.when(F.col("object_name") == "v2", "OLD").otherwise(F.col("analysis_status")))
+    three = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, two, include=["^d1$"])
+    assert {r.object_name: r.analysis_status for r in three.registry.collect()}["v2"] == "OLD"
+    assert three.summary["definitions"] == 0 and three.moved.count() == 0
+
+
+def test_published_runs(spark, tmp_path):
+    """Runs published to a store: a failure in any table leaves the last run's tables; the next run goes on from them."""
+    meta = spark.createDataFrame([("p", "d", "t", c, c, k) for k, c in enumerate("abc")] + [("p", "d", "v1", "x", "x", 1)], META)
+    one = daily.run(views(spark, V1="SELECT a AS x FROM d.t", V2="SELECT x FROM d.v1"), meta)
+    assert {k: one.summary[k] for k in ("definitions", "completed", "failed", "paths")} == {"definitions": 2, "completed": 2, "failed": 0, "paths": 2}
+    assert one.summary["text_bytes"] == len("SELECT a AS x FROM d.tSELECT x FROM d.v1") and one.summary["written_bytes"] > 0
+    at = daily.open_store(spark, f"file://{tmp_path}/store", one)
+    assert daily.publish(one, at) == 1
+    two = daily.run(views(spark, V1="SELECT b AS x FROM d.t"), meta, daily.load(at))
+    for name in ("registry", "edges", "usages", "impact"):
+
+        def step(what, name=name):
+            if what == name:
+                raise OSError("gone")
+
+        with pytest.raises(store.PublishFailed):
+            daily.publish(two, at, step)
+    old = daily.load(at)
+    assert edges(old) == edges(one) and paths(old.impact) == paths(one.impact)
+    assert daily.publish(two, at) == 2
+    new = daily.load(at)
+    assert edges(new) == edges(two) == {("v1", "x", "t", "b")} and paths(new.impact) == paths(two.impact) == [("p.d.t", "b", "p.d.v1", "x", "['p.d.t.b', 'p.d.v1.x']")]
+    assert {r.object_name: r.is_active for r in new.registry.collect()} == {"v1": True, "v2": False}
+    three = daily.run(views(spark, V1="SELECT b AS x FROM d.t", V2="SELECT x FROM d.v1"), meta, new)
+    assert daily.publish(three, at) == 3 and len(paths(daily.load(at).impact)) == 3
+
+
+def test_changed_objects_and_a_look(spark):
+    meta = spark.createDataFrame([("p", "d", "t", c, c, k) for k, c in enumerate("ab")], META)
+    one = daily.run(views(spark, V1="SELECT nosuch FROM d.t", V2="SELECT gone FROM d.t"), meta)
+    more = spark.createDataFrame([("p", "d", "t", c, c, k) for k, c in enumerate(["a", "nosuch", "gone"])], META)
+    two = daily.analyze_changed(one, more, only=F.col("object_name") == "v1")
+    assert edges(two) == {("v1", "nosuch", "t", "nosuch")} and two.summary["definitions"] == 1
+    three = daily.analyze_changed(two, more)
+    assert {e[0] for e in edges(three)} == {"v1", "v2"} and three.summary["definitions"] == 1
+    look = daily.inspect(views(spark, V3="SELECT a, zz FROM d.t"), more)
+    s = look["status"].first()
+    assert (s.status, s.is_publishable, s.n_outputs) == ("COMPLETED_WITH_ERRORS", False, 2)
+    assert {r.code for r in look["diagnostics"].collect()} == {"PHYSICAL_COLUMN_NOT_FOUND"} and [r.column_name.lower() for r in look["paths"].collect()] == ["a"]
+
+
+def test_each_statement_is_read_once(spark):
+    """One Python node finds the sources, one analyses; names meet tables and metadata once."""
+    meta = spark.createDataFrame([("p", "d", "t", "a", "a", 1)], META)
+    plan = batch.run(views(spark, V="SELECT a FROM d.t"), meta)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Exchange") <= 12

@@ -1,4 +1,4 @@
-"""Queries over all rows of their tables, whose own SQL reads only the least ids."""
+"""Queries over all rows of their tables, against plain SQL over the files."""
 
 import duckdb
 import pytest

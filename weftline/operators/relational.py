@@ -41,6 +41,12 @@ def islands(df: DataFrame, partition: list[str], order: Column, step: Column) ->
     return df.withColumn("island", F.sum(step).over(Window.partitionBy(*partition).orderBy(order)))
 
 
+def sample(df: DataFrame, keys: list[str], percent: float, seed: int = 0) -> DataFrame:
+    """TABLESAMPLE SYSTEM (percent PERCENT), repeatable: rows whose key's hash lies in the lowest part, whatever partition they are in."""
+    digest = F.sha2(F.concat_ws(":", F.lit(seed), *keys), 256)
+    return df.filter(F.conv(F.left(digest, F.lit(8)), 16, 10).cast("long") < percent / 100 * (1 << 32))
+
+
 def ordered_list(value: Column, order: Column) -> Column:
     """ARRAY_AGG(value ORDER BY order): sorted in the aggregate's result, nulls kept out."""
     return F.transform(F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))), lambda x: x["v"])

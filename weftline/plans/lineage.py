@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -93,9 +94,12 @@ def lineage_usages(spark, sf_dir):
     return u.select("object_name", F.concat_ws(".", "source_object", "source_column").alias("src"), "usage_type")
 
 
-@query(values("object_name, source", [(n, s) for n, ss in {"v_plain": ["tpch.customer"], "v_join": ["tpch.customer", "tpch.orders"], "v_cte": ["tpch.lineitem"], "v_union": ["tpch.nation", "tpch.region"], "v_star": ["tpch.region"], "v_window": ["tpch.orders"], "v_exists": ["tpch.customer", "tpch.orders"], "v_chain": ["tpch.v_plain"], "v_const": ["tpch.region"], "v_broken": ["tpch.region"], "v_pivot": ["tpch.orders"]}.items() for s in ss]))
+@query("SELECT o_orderkey, unnest(['d.t' || o_custkey % 50, 'p.d.u' || lower(o_orderstatus), 'w' || left(o_orderpriority, 1)]) AS source FROM orders")
 def source_discovery(spark, sf_dir):
-    return definitions(spark).select("object_name", F.explode(sources_column("definition_text")).alias("source"))
+    """The tables that a statement made of each order reads."""
+    o = table(spark, sf_dir, "orders")
+    text = F.concat(F.lit("WITH q AS (SELECT a FROM d.T"), F.col("o_custkey") % 50, F.lit(") SELECT q.a FROM q JOIN `p.d.u"), "o_orderstatus", F.lit("` u USING (k) WHERE u.x IN (SELECT y FROM w"), F.left("o_orderpriority", F.lit(1)), F.lit(" -- FROM none\n)"))
+    return o.select("o_orderkey", text.alias("q")).select("o_orderkey", F.explode(sources_column("q")).alias("source"))
 
 
 @query(values("object_name, code", [("v_broken", "PHYSICAL_COLUMN_NOT_FOUND"), ("v_broken", "UDF_RESULT_NOT_PUBLISHABLE"), ("v_bad", "ANALYSIS_EXECUTION_FAILED"), ("v_bad", "UDF_RESULT_NOT_PUBLISHABLE")]))
@@ -105,7 +109,7 @@ def lineage_diagnostics(spark, sf_dir):
 
 @query(values("object_name, output", [("v_exists", "LABEL"), ("v_join", "C_NAME")]))
 def query_impact(spark, sf_dir):
-    d = batch.with_columns(definitions(spark), catalog(spark, sf_dir))
+    d = batch.with_sources(definitions(spark), catalog(spark, sf_dir))
     return analyze_definitions(d, target={"table": "tpch.customer", "column": "c_name"}).select("object_name", F.explode("result.impacts").alias("output"))
 
 
@@ -202,19 +206,35 @@ def last_access(spark, sf_dir):
     return reports.view_access(e, F.array("v")).withColumn("last_accessed_at", F.date_format("last_accessed_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN 'SELECT ' || o_orderkey ELSE '(SELECT 2)' END AS q FROM orders")
+#: Heads of CREATE TABLE ... AS with a body each, and a statement without a head.
+HEADS = [
+    ("create or replace table x.y as ", "SELECT {k}"), ("CREATE TABLE `p.d.t` PARTITION BY d CLUSTER BY a, b AS ", "(SELECT {k})"),
+    ("CREATE TABLE IF NOT EXISTS d.t options(description='made as (a)', labels=[(\"as\", \"with select\")]) AS ", "WITH q AS (SELECT {k} AS n) SELECT n AS (m FROM q"),
+    ("CREATE TEMP TABLE t -- as (select\n AS ", "SELECT {k} AS as_select"), ("CREATE TABLE `as (b` /* as select */ AS\n", "SELECT a FROM (SELECT {k} AS a)"), ("", "SELECT {k} AS (x"),
+]
+
+
+def _text(x: str) -> str:
+    return "'" + x.replace("'", "''").replace("{k}", "' || o_orderkey || '") + "'"
+
+
+@query(f"SELECT o_orderkey, CASE o_custkey % 6 {' '.join(f'WHEN {n} THEN {_text(body)}' for n, (_, body) in enumerate(HEADS))} END AS q FROM orders")
 def ctas_strip(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    text = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("create or replace table x.y as SELECT "), F.col("o_orderkey"))).otherwise("CREATE TABLE `p.d.t` PARTITION BY d AS (SELECT 2)")
-    return o.select("o_orderkey", registry.strip_create(text).alias("q"))
+    whole = F.lit(None).cast("string")
+    for n, (head, body) in enumerate(HEADS):
+        whole = F.when(F.col("o_custkey") % 6 == n, F.replace(F.lit(head + body), F.lit("{k}"), F.col("o_orderkey").cast("string"))).otherwise(whole)
+    return o.select("o_orderkey", registry.strip_create(whole).alias("q"))
 
 
-@query(values("name, table_name", [("tpch.e_*", "e_2"), ("tpch.customer", "customer")]))
+@query("""WITH d AS (SELECT DISTINCT strftime(ts, '%Y%m%d') AS d FROM events)
+SELECT 'ev.events_' || left(d, 6) || '*' AS name, 'events_' || max(d) AS table_name FROM d GROUP BY left(d, 6) UNION ALL SELECT 'p.ev.events_' || d, 'events_' || d FROM d UNION ALL SELECT 'ev.(x|events_*', NULL FROM d WHERE false""")
 def exact_or_shard_match(spark, sf_dir):
-    m = spark.createDataFrame([("p", "tpch", t, "c", "c", 1) for t in ("e_1", "e_2", "customer", "f_3")], "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int")
-    names = spark.createDataFrame([("tpch.e_*",), ("tpch.customer",)], "name string")
-    exact = names.join(batch.lookup_names(m).select(F.col("lookup").alias("name"), "table_name"), "name")
-    return batch.shard_matches(names, m).select("name", "table_name").unionByName(exact.select("name", "table_name"))
+    """Each month's pattern stands for the latest of its daily tables; full names for themselves; regex signs in a name for nothing else."""
+    days = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyyMMdd").alias("d")).distinct()
+    known = days.select(F.lit("P").alias("project_id"), F.lit("ev").alias("dataset_id"), F.concat(F.lit("events_"), "d").alias("table_name"), F.lit(True).alias("collected"))
+    names = days.select(F.concat(F.lit("ev.events_"), F.left("d", F.lit(6)), F.lit("*")).alias("name")).union(days.select(F.concat(F.lit("p.ev.events_"), "d"))).union(days.select(F.lit("ev.(x|events_*")))
+    return batch.match_names(names, known).select("name", "table_name")
 
 
 @query(values("definitions, completed, with_errors, failed", [(12, 10, 1, 1)]))
@@ -270,33 +290,102 @@ DEFINITION = "object_project string, object_dataset string, object_name string,
 META = "project_id string, dataset_id string, table_name string, column_name string, field_path string, ordinal_position int"
 #: Sources that are there with columns (have), there without (bare), sharded (e_1, e_2) and absent.
 STATES = {
-    "whole": "SELECT a FROM d.have", "absent": "SELECT h.a, g.x FROM d.have h JOIN d.gone g ON g.x = h.a", "uncollected": "SELECT h.a, b.x FROM d.have h JOIN d.bare b ON b.x = h.a",
-    "shards": "SELECT c FROM `d.e_*`", "unreadable": "SELECT FROM (", "large": "SELECT a, b FROM d.wide",
+    "whole": "SELECT a FROM d.have WHERE a > {k}", "absent": "SELECT h.a, g.x FROM d.have h JOIN d.gone g ON g.x = h.a + {k}", "uncollected": "SELECT h.a, b.x FROM d.have h JOIN d.bare b ON b.x = h.a - {k}",
+    "shards": "SELECT c FROM `d.e_*` LIMIT {k}", "unreadable": "SELECT {k} FROM (", "large": "SELECT a, b FROM d.wide WHERE a < {k}",
 }
 
 
-def _states(spark, max_metadata: int = batch.MAX_METADATA):
-    columns = [("have", "a"), ("e_1", "a"), ("e_2", "c"), *[("wide", c) for c in ("a", "b", *[f"column_{k}" for k in range(50)])]]
-    meta = spark.createDataFrame([("p", "d", t, c, c, k) for k, (t, c) in enumerate(columns)], META)
+#: Bytes of the metadata of ``wide`` as JSON, and of each state's text without its number.
+WIDE_COLUMNS = [("have", "a"), ("e_1", "a"), ("e_2", "c"), *[("wide", c) for c in ("a", "b", *[f"column_{k}" for k in range(50)])]]
+WIDE_BYTES = len(json.dumps([{"project_id": "p", "dataset_id": "d", "table_name": t, "column_name": c, "field_path": c, "ordinal_position": k} for k, (t, c) in enumerate(WIDE_COLUMNS) if t == "wide"], separators=(",", ":")))
+STATE_BYTES = " ".join(f"WHEN {n} THEN {len(x) - 3}" for n, x in enumerate(STATES.values()))
+
+
+def _states(spark, sf_dir, max_metadata: int = batch.MAX_METADATA):
+    """A view for each order, in one of six states."""
+    meta = spark.createDataFrame([("p", "d", t, c, c, k) for k, (t, c) in enumerate(WIDE_COLUMNS)], META)
     there = meta.select("project_id", "dataset_id", "table_name").distinct().union(spark.createDataFrame([("p", "d", "bare")], "a string, b string, c string"))
-    texts = spark.createDataFrame([("p", "d", n, "VIEW", s) for n, s in STATES.items()], DEFINITION)
+    text = F.lit(None).cast("string")
+    for n, x in enumerate(STATES.values()):
+        text = F.when(F.col("o_custkey") % 6 == n, F.replace(F.lit(x), F.lit("{k}"), F.col("o_orderkey").cast("string"))).otherwise(text)
+    texts = table(spark, sf_dir, "orders").select(F.lit("p").alias("object_project"), F.lit("d").alias("object_dataset"), F.concat(F.lit("v"), "o_orderkey").alias("object_name"), F.lit("VIEW").alias("object_type"), text.alias("definition_text"))
     return batch.run(texts, meta, tables=there, max_metadata=max_metadata)
 
 
-@query(values("object_name, absent, uncollected, is_published", [("whole", False, False, True), ("absent", True, False, True), ("uncollected", False, True, False), ("shards", False, False, True), ("unreadable", None, None, False), ("large", False, False, True)]))
+def _by_state(select: str, **cases) -> str:
+    """SQL over orders with a value for each state."""
+    lit = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else f"'{v}'"
+    pick = ", ".join(f"CASE o_custkey % 6 {' '.join(f'WHEN {n} THEN {lit(v)}' for n, v in enumerate(vs))} END AS {name}" for name, vs in cases.items())
+    return f"SELECT {select}, {pick} FROM orders"
+
+
+@query(_by_state("'v' || o_orderkey AS object_name", absent=[False, True, False, False, None, False], uncollected=[False, False, True, False, None, False], is_published=[True, True, False, True, False, True]))
 def publishability(spark, sf_dir):
-    a = _states(spark)
+    a = _states(spark, sf_dir)
     return a.select("object_name", F.col("has_absent_source").alias("absent"), F.col("has_uncollected_source").alias("uncollected"), batch.publishable(a).alias("is_published"))
 
 
-@query(values("object_name, failure_stage, status", [("whole", None, "COMPLETED"), ("absent", None, "COMPLETED_WITH_WARNINGS"), ("uncollected", None, "COMPLETED_WITH_WARNINGS"), ("shards", None, "COMPLETED"), ("unreadable", "SOURCE_DISCOVERY", "PARTIAL_FAILURE"), ("large", "METADATA_TOO_LARGE", "PARTIAL_FAILURE")]))
+@query(_by_state("'v' || o_orderkey AS object_name", failure_stage=[None, None, None, None, "SOURCE_DISCOVERY", "METADATA_TOO_LARGE"], status=["COMPLETED", "COMPLETED_WITH_WARNINGS", "COMPLETED_WITH_WARNINGS", "COMPLETED", "PARTIAL_FAILURE", "PARTIAL_FAILURE"]))
 def metadata_guard(spark, sf_dir):
-    return _states(spark, 1000).select("object_name", "failure_stage", F.col("result.status").alias("status"))
+    return _states(spark, sf_dir, 1000).select("object_name", "failure_stage", F.col("result.status").alias("status"))
 
 
-@query(values("target_object, source", [("whole", "have.a"), ("absent", "have.a"), ("shards", "e_*.c"), ("large", "wide.a"), ("large", "wide.b")]))
+@query("SELECT 'v' || o_orderkey AS target_object, unnest(CASE o_custkey % 6 WHEN 0 THEN ['have.a'] WHEN 1 THEN ['have.a'] WHEN 3 THEN ['e_*.c'] WHEN 5 THEN ['wide.a', 'wide.b'] ELSE [] END) AS source FROM orders")
 def batch_sharded(spark, sf_dir):
-    return batch.edges(_states(spark)).select("target_object", F.concat_ws(".", "source_object", "source_column").alias("source"))
+    return batch.edges(_states(spark, sf_dir)).select("target_object", F.concat_ws(".", "source_object", "source_column").alias("source"))
+
+
+@query(f"""SELECT 'v' || o_orderkey AS object_name, CASE o_custkey % 6 WHEN 2 THEN 'status COMPLETED_WITH_WARNINGS' WHEN 4 THEN 'the sources of p.d.v' || o_orderkey || ' cannot be told'
+ELSE 'p.d.v' || o_orderkey || ' reads tables with {WIDE_BYTES} bytes of column metadata, more than a statement may have' END AS message FROM orders WHERE o_custkey % 6 IN (2, 4, 5)""")
+def failure_messages(spark, sf_dir):
+    """Why definitions are not published, worst first."""
+    return reports.non_completed(_states(spark, sf_dir, 1000)).filter("code = 'UDF_RESULT_NOT_PUBLISHABLE'").select("object_name", "message")
+
+
+@query(f"""SELECT count(*) AS definitions, count(*) FILTER (WHERE o_custkey % 6 IN (0, 3, 5)) AS completed, count(*) FILTER (WHERE o_custkey % 6 IN (1, 2)) AS with_warnings, 0::BIGINT AS with_errors, count(*) FILTER (WHERE o_custkey % 6 = 4) AS failed,
+sum(CASE o_custkey % 6 {STATE_BYTES} END + length(o_orderkey::VARCHAR))::BIGINT AS text_bytes FROM orders""")
+def batch_counters(spark, sf_dir):
+    """A run's counters, observed while its results are written and not read again for it."""
+    _, seen = reports.counted(_states(spark, sf_dir))
+    names = ["definitions", "completed", "with_warnings", "with_errors", "failed", "text_bytes"]
+    return spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+@query("""SELECT 'v' || o_orderkey AS target_object, unnest([{'s': 'orders.o_orderkey', 'c': 'id'}, {'s': 'lineitem.l_quantity', 'c': 'amount'}, {'s': CASE WHEN o_custkey % 3 = 0 THEN 'lineitem.l_tax' ELSE 'lineitem.l_discount' END, 'c': 'amount'}, {'s': 'orders.o_totalprice', 'c': 'p' || o_custkey % 7}]) AS e FROM orders""".join(["SELECT target_object, e.s AS source, e.c AS target_column FROM (", ")"]))
+def lineage_estate(spark, sf_dir):
+    """Edges of a definition made of each order: a CTE with an aggregate, a join, behind CREATE TABLE ... AS for every other one."""
+    o = table(spark, sf_dir, "orders")
+    text = F.concat(
+        F.when(F.col("o_orderkey") % 2 == 0, "CREATE OR REPLACE TABLE d.x PARTITION BY k OPTIONS (description = 'as (select') AS ").otherwise(""),
+        F.lit("WITH q AS (SELECT l_orderkey AS k, SUM(l_quantity * "), F.when(F.col("o_custkey") % 3 == 0, "l_tax").otherwise("l_discount"), F.lit(") AS v FROM tpch.lineitem GROUP BY 1) SELECT o.o_orderkey AS id, q.v AS amount, o.o_totalprice * "), "o_custkey", F.lit(" AS p"), F.col("o_custkey") % 7, F.lit(" FROM tpch.orders AS o JOIN q ON q.k = o.o_orderkey"),
+    )
+    d = o.select(F.lit("local").alias("object_project"), F.lit("tpch").alias("object_dataset"), F.concat(F.lit("v"), "o_orderkey").alias("object_name"), F.lit("VIEW").alias("object_type"), text.alias("definition_text"))
+    return batch.edges(batch.run(d, catalog(spark, sf_dir))).select("target_object", F.concat_ws(".", "source_object", "source_column").alias("source"), "target_column")
+
+
+@query("""WITH o AS (SELECT *, o_custkey % 4 AS r FROM orders) SELECT 'o' || o_orderkey AS object_name, CASE WHEN o_orderkey % 2 = 0 THEN 'VIEW' ELSE 'GENERATED_TABLE' END AS object_type, CASE WHEN r = 0 THEN 'NOT_ANALYZED' WHEN r = 1 THEN 'FAILED' ELSE 'NOT_REGISTERED' END AS coverage_reason
+FROM o WHERE r IN (0, 1) AND o_orderstatus <> 'P' OR r = 2 AND o_orderstatus <> 'P' AND (o_orderkey % 2 = 0 OR o_orderpriority >= '3')""")
+def coverage_gaps(spark, sf_dir):
+    """Orders as objects: even ones are views, odd ones base tables; a quarter each failed, waits, is not registered, or is covered; status P is gone."""
+    o, r = table(spark, sf_dir, "orders"), F.col("o_custkey") % 4
+    name, h = F.concat(F.lit("o"), "o_orderkey"), F.sha2(F.col("o_orderkey").cast("string"), 256)
+    id_ = [F.lit("p").alias("object_project"), F.lit("d").alias("object_dataset"), name.alias("object_name")]
+    reg = o.filter(r != 2).select(*id_, F.when(F.col("o_orderkey") % 2 == 0, "VIEW").otherwise("TABLE").alias("object_type"), h.alias("definition_hash"), F.when(r == 0, None).otherwise(h).alias("last_analyzed_hash"), F.when(r == 1, "FAILED").when(r == 3, "COMPLETED").alias("analysis_status"), F.lit(True).alias("is_active"), F.lit(False).alias("is_ephemeral"), F.col("o_orderdate").alias("last_seen_at"))
+    there = o.filter("o_orderstatus <> 'P'").select(F.lit("P").alias("project_id"), F.lit("D").alias("dataset_id"), F.upper(name).alias("table_name"), F.when(F.col("o_orderkey") % 2 == 0, "VIEW").otherwise("BASE TABLE").alias("table_type"))
+    made = o.filter((F.col("o_orderpriority") >= "3") | (r != 2)).select(F.lit("p").alias("destination_project"), F.lit("d").alias("destination_dataset"), name.alias("destination_table"))
+    return reports.coverage_gaps(reg, there, made).select("object_name", "object_type", "coverage_reason")
+
+
+@query("""WITH t AS (SELECT max(ts) AS now FROM events), a AS (SELECT event_type AS dataset, 'v' || user_id % 7 AS view_name, max(ts) AS ts, count(*) AS n FROM events, t WHERE ts >= now - INTERVAL 10 DAY GROUP BY ALL)
+SELECT c.dataset, c.view_name, coalesce(n, 0) AS query_count, date_diff('day', ts::DATE, now::DATE) AS days_since FROM (SELECT DISTINCT event_type AS dataset, 'v' || k AS view_name FROM events, range(8) AS r(k)) c CROSS JOIN t LEFT JOIN a USING (dataset, view_name)""")
+def view_usage_window(spark, sf_dir):
+    """Accesses of views in the days before a moment, with the views that nobody opened in them."""
+    e = table(spark, sf_dir, "events")
+    now = e.agg(F.max("ts").alias("now")).first().now
+    log = e.select("ts", F.col("user_id").alias("user"), F.concat(F.lit("projects/p/datasets/"), F.col("event_type"), F.lit("/tables/v"), F.col("user_id") % 7).alias("v"))
+    reg = e.select("event_type").distinct().select(F.lit("p").alias("object_project"), F.col("event_type").alias("object_dataset"), F.explode(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.concat(F.lit("v"), k))).alias("object_name"), F.lit("VIEW").alias("object_type"), F.lit(True).alias("is_active"))
+    access = reports.view_access(log, F.array("v"), now=F.lit(now), days=10)
+    return reports.last_access(reg, access, F.to_date(F.lit(now))).select("dataset", "view_name", F.coalesce("query_count", F.lit(0)).alias("query_count"), F.col("days_since").cast("long").alias("days_since"))
 
 
 def _log(spark, sf_dir):

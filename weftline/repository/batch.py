@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.functions.analysis import analyze_definitions, explode_result, sources_column
+from weftline.sources import scratch
 
 OBJECT = ["object_project", "object_dataset", "object_name", "object_type"]
 MAX_METADATA = 900_000
@@ -20,65 +21,69 @@ def lookup_names(metadata: DataFrame) -> DataFrame:
     return metadata.withColumn("lookup", F.explode(F.array(F.concat_ws(".", p, d, t), F.concat_ws(".", d, t), t)))
 
 
-def shard_matches(names: DataFrame, metadata: DataFrame) -> DataFrame:
-    """(name, project, dataset, table): of each pattern with a star the latest table that it matches in each dataset.
+def _known(tables: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Each table once, with whether it has column metadata."""
+    name = ["project_id", "dataset_id", "table_name"]
+    both = tables.select(*name, F.lit(False).alias("collected")).unionByName(metadata.select(*name, F.lit(True).alias("collected")))
+    return both.groupBy(*name).agg(F.bool_or("collected").alias("collected"))
 
-    A pattern of one to three parts meets the names that begin with what it has before the star, which is one
-    equi-join on the prefixes of the lengths that occur.
+
+def match_names(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(name, project_id, dataset_id, table_name, collected): what each name stands for among known tables.
+
+    A name of one to three parts meets the tables' three names, which is one equi-join.  A pattern with a star meets the
+    names that begin with what it has before the star, an equi-join on the prefixes of the lengths that
+    occur (at most as many as a name has characters), and stands for the latest table with columns of each dataset, or the latest.
+    """
+    names, table = names.select("name").distinct(), ["project_id", "dataset_id", "table_name"]
+    tables = lookup_names(known)
+    exact = names.join(tables.withColumnRenamed("lookup", "name"), "name").select("name", *table, "collected")
+    quoted = F.transform(F.split("name", r"\*"), lambda x: F.concat(F.lit("\\Q"), x, F.lit("\\E")))
+    p = names.filter(F.col("name").contains("*")).withColumn("_like", F.concat(F.lit("^"), F.array_join(quoted, ".*"), F.lit("$"))).withColumn("_prefix", F.substring_index("name", "*", 1))
+    lengths = p.agg(F.collect_set(F.length("_prefix")).alias("_lengths"))  # one row
+    prefixes = tables.crossJoin(F.broadcast(lengths)).select(*table, "collected", "lookup", F.explode("_lengths").alias("_n")).withColumn("_prefix", F.expr("left(lookup, _n)"))
+    hit = p.join(prefixes, "_prefix").filter(F.rlike("lookup", F.col("_like")))
+    shards = hit.groupBy("name", "project_id", "dataset_id").agg(F.max(F.struct("collected", "table_name")).alias("_t")).select("name", "project_id", "dataset_id", "_t.table_name", "_t.collected")
+    return exact.unionByName(shards)
+
+
+FIELDS = ["project_id", "dataset_id", "table_name", "column_name", "field_path", "ordinal_position"]
+
+
+def with_sources(definitions: DataFrame, metadata: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """Definitions with what their statements read, each statement read once.
+
+    ``referenced`` has the names of its sources (null: it cannot be told), ``columns`` their ordered metadata, ``metadata_bytes``
+    its size; ``has_absent_source`` says that a source is not among ``tables`` (if not given, those with metadata), and
+    ``has_uncollected_source`` that one is there without metadata.
     """
-    like = F.concat(F.lit("^"), F.regexp_replace(F.regexp_replace("name", r"\.", r"\\."), r"\*", ".*"), F.lit("$"))
-    p = names.select("name").filter(F.col("name").contains("*")).distinct().withColumn("_like", like).withColumn("_prefix", F.substring_index("name", "*", 1))
-    lengths = p.select(F.length("_prefix").alias("_n")).distinct()
-    table = ["project_id", "dataset_id", "table_name"]
-    tables = lookup_names(metadata.select(*table).distinct()).crossJoin(F.broadcast(lengths)).withColumn("_prefix", F.expr("left(lookup, _n)"))
-    hit = p.join(tables, "_prefix").filter(F.rlike("lookup", F.col("_like")))
-    w = Window.partitionBy("name", "project_id", "dataset_id").orderBy(F.desc("table_name"))
-    return hit.select("name", *table).distinct().withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("name", *table)
-
-
-def with_columns(definitions: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Definitions with ``columns``: ordered metadata of the tables that each reads, and its size in bytes."""
-    d = definitions.withColumn("referenced", sources_column("definition_text"))
-    named = d.select(*OBJECT, F.explode("referenced").alias("lookup"))
-    fields = ["project_id", "dataset_id", "table_name", "column_name", "field_path", "ordinal_position"]
-    exact = named.join(lookup_names(metadata), "lookup").select(*OBJECT, *fields)
-    shards = shard_matches(named.select(F.col("lookup").alias("name")), metadata).withColumnRenamed("name", "lookup")
-    # A shard's columns go under the last part of the pattern, as the definition names it.
-    sharded = named.join(shards, "lookup").join(metadata.select(*fields), ["project_id", "dataset_id", "table_name"]).withColumn("table_name", F.substring_index("lookup", ".", -1)).select(*OBJECT, *fields)
-    hits = exact.unionByName(sharded).select(*OBJECT, F.struct("ordinal_position", *[c for c in fields if c != "ordinal_position"]).alias("c")).distinct()
-    cols = hits.groupBy(*OBJECT).agg(F.array_sort(F.collect_list("c")).alias("c"))
-    cols = cols.withColumn("columns", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in fields]))).drop("c")
-    return d.join(cols, OBJECT, "left").withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))
-
-
-def source_flags(definitions: DataFrame, tables: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Of each definition (with ``referenced``): whether a source is absent from ``tables``, and whether one is there without columns in ``metadata``."""
-    named = definitions.select(*OBJECT, F.explode("referenced").alias("name")).distinct()
-    names = named.select("name").distinct()
-
-    def met(known: DataFrame, flag: str) -> DataFrame:
-        known = known.select("project_id", "dataset_id", "table_name").distinct()
-        exact = names.join(lookup_names(known).select(F.col("lookup").alias("name")), "name").select("name")
-        return exact.union(shard_matches(names, known).select("name")).distinct().withColumn(flag, F.lit(True))
-
-    x = named.join(met(tables, "_there"), "name", "left").join(met(metadata, "_collected"), "name", "left")
-    there, collected = F.coalesce("_there", F.lit(False)), F.coalesce("_collected", F.lit(False))
-    return x.groupBy(*OBJECT).agg(F.bool_or(~there).alias("has_absent_source"), F.bool_or(there & ~collected).alias("has_uncollected_source"))
+    spark = definitions.sparkSession
+    refs, _ = scratch.written(definitions.select(*OBJECT, sources_column("definition_text").alias("referenced")), "sources")
+    named = refs.select(*OBJECT, F.explode("referenced").alias("name")).distinct()
+    known = _known(tables if tables is not None else metadata, metadata)
+    hits, _ = scratch.written(match_names(named, known), "matches")
+    state = hits.groupBy("name").agg(F.bool_or("collected").alias("collected"))
+    flags = named.join(state, "name", "left").groupBy(*OBJECT).agg(F.bool_or(F.col("collected").isNull()).alias("has_absent_source"), F.bool_or(~F.col("collected")).alias("has_uncollected_source"))
+    flags = flags.withColumn("has_uncollected_source", F.coalesce("has_uncollected_source", F.lit(False)))
+    # Only tables that statements name are read from the metadata; a shard's columns go under the last part of its pattern.
+    own = hits.filter("collected").withColumn("_as", F.when(F.col("name").contains("*"), F.substring_index("name", ".", -1)))
+    cols = metadata.select(*FIELDS).join(own, ["project_id", "dataset_id", "table_name"]).withColumn("table_name", F.coalesce("_as", "table_name"))
+    cols = named.join(cols, "name").select(*OBJECT, F.struct("ordinal_position", *[c for c in FIELDS if c != "ordinal_position"]).alias("c"))
+    cols = cols.groupBy(*OBJECT).agg(F.array_sort(F.collect_set("c")).alias("c")).withColumn("columns", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in FIELDS]))).drop("c")
+    out = definitions.join(refs, OBJECT, "left").join(flags, OBJECT, "left").join(cols, OBJECT, "left")
+    return out.withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))
 
 
 def run(definitions: DataFrame, metadata: DataFrame, variables: str | None = None, tables: DataFrame | None = None, max_metadata: int = MAX_METADATA) -> DataFrame:
     """Analyzed definitions with ``failure_stage`` and the flags of their sources.
 
     A statement whose sources cannot be told is marked SOURCE_DISCOVERY; one with more metadata
-    than a statement may have METADATA_TOO_LARGE, and is not analysed.  ``tables`` are those that
-    exist (if not given, those that have metadata).
+    than a statement may have METADATA_TOO_LARGE, and is not analysed.
     """
-    d = with_columns(definitions, metadata)
+    d = with_sources(definitions, metadata, tables)
     stage = F.when(F.col("definition_text").isNotNull() & F.col("referenced").isNull(), "SOURCE_DISCOVERY").when(F.col("metadata_bytes") >= max_metadata, "METADATA_TOO_LARGE")
     large = F.coalesce(F.col("failure_stage") == "METADATA_TOO_LARGE", F.lit(False))
-    d = d.withColumn("failure_stage", stage)
-    d = d.withColumn("_sql", F.when(~large, F.col("definition_text"))).withColumn("columns", F.when(~large, F.col("columns")))
-    d = d.join(source_flags(d, tables if tables is not None else metadata, metadata), OBJECT, "left")
+    d = d.withColumn("failure_stage", stage).withColumn("_sql", F.when(~large, F.col("definition_text"))).withColumn("columns", F.when(~large, F.col("columns")))
     return analyze_definitions(d, sql="_sql", variables=variables).drop("_sql")
 
 
@@ -127,10 +132,16 @@ def usages(analyzed: DataFrame) -> DataFrame:
 
 
 def diagnostics(analyzed: DataFrame) -> DataFrame:
-    """Diagnostics of definitions that are not published, and one that says so."""
+    """Diagnostics of definitions that are not published, and one that says why: where the analysis stopped, or its status."""
     bad = analyzed.filter(~publishable(analyzed))
     own = explode_result(bad, "diagnostics").select(*OBJECT, "severity", "code", "line", "column", "message")
-    said = bad.select(*OBJECT, F.lit("ERROR").alias("severity"), F.lit("UDF_RESULT_NOT_PUBLISHABLE").alias("code"), F.lit(None).cast("int").alias("line"), F.lit(None).cast("int").alias("column"), F.format_string("status %s", F.col("result.status")).alias("message"))
+    none = F.lit(None).cast("int")
+    object_ = F.concat_ws(".", *OBJECT[:3])
+    text = F.format_string("status %s", F.col("result.status"))
+    if "failure_stage" in analyzed.columns:
+        size = F.format_string("%s reads tables with %d bytes of column metadata, more than a statement may have", object_, F.col("metadata_bytes")) if "metadata_bytes" in analyzed.columns else object_
+        text = F.when(F.col("failure_stage") == "SOURCE_DISCOVERY", F.format_string("the sources of %s cannot be told", object_)).when(F.col("failure_stage") == "METADATA_TOO_LARGE", size).otherwise(text)
+    said = bad.select(*OBJECT, F.lit("ERROR").alias("severity"), F.lit("UDF_RESULT_NOT_PUBLISHABLE").alias("code"), none.alias("line"), none.alias("column"), text.alias("message"))
     return own.unionByName(said)
 
 
@@ -140,7 +151,8 @@ def publish(old: DataFrame, new: DataFrame, analyzed: DataFrame) -> DataFrame:
     return old.join(done, ["target_project", "target_dataset", "target_object"], "left_anti").unionByName(new)
 
 
-def orphans(edges_: DataFrame, registry: DataFrame) -> DataFrame:
-    """Edges whose target is no longer an active object."""
-    live = registry.filter("is_active").select(F.col("object_project").alias("target_project"), F.col("object_dataset").alias("target_dataset"), F.col("object_name").alias("target_object"))
-    return edges_.join(live.distinct(), ["target_project", "target_dataset", "target_object"], "left_anti")
+def without_orphans(edges_: DataFrame, usages_: DataFrame, registry: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges and usages of objects that are in the registry and active."""
+    live = registry.filter("is_active").select(*OBJECT).distinct()
+    targets = live.select(*[F.col(c).alias(c.replace("object", "target", 1)) for c in OBJECT[:2]], F.col("object_name").alias("target_object")).distinct()
+    return edges_.join(targets, targets.columns, "left_semi"), usages_.join(live, OBJECT, "left_semi")

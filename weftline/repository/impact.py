@@ -55,7 +55,7 @@ def _expand(level: DataFrame, e: DataFrame, max_rank: int, place: str, first: in
             break
         number += 1
         level = extend(level.filter(~F.col("is_cycle") & (F.col("impact_rank") < max_rank)), steps_from(level.select(F.col("impacted").alias("object"), F.col("impacted_column").alias("column")).distinct(), e))
-    return spark.read.schema(PATHS).option("basePath", place).parquet(f"{place}/*")
+    return spark.read.schema(PATHS).option("basePath", place).parquet(f"{place}/*").drop("level")
 
 
 def closure(edges: DataFrame, max_rank: int = 100) -> DataFrame:

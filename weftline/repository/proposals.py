@@ -7,10 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 MIN_BODY, PASS_SCORE = 40, 3.5
 
 
-def by_id(rows: DataFrame, key: str, value) -> DataFrame:
-    return rows.filter(F.col(key) == value)
-
-
 def next_id(rows: DataFrame, key: str = "id") -> DataFrame:
     return rows.agg((F.coalesce(F.max(F.col(key).cast("int")), F.lit(0)) + 1).alias("next_id"))
 
@@ -20,10 +16,6 @@ def put(rows: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     return rows.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def remove(rows: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    return rows.join(ids.select(key), key, "left_anti")
-
-
 def gate(title: Column, body: Column, ids: Column, catalog: Column, expected: Column) -> Column:
     """Whether a proposal passes: title, body of some length, known products, one of the expected among them."""
     return (F.length(F.trim(title)) > 0) & (F.length(body) >= MIN_BODY) & (F.size(ids) > 0) & (F.size(F.array_except(ids, catalog)) == 0) & F.arrays_overlap(ids, expected)
@@ -38,8 +30,9 @@ def judge(*scores: Column) -> Column:
 
 
 def compare(old: Column, new: Column) -> tuple[Column, Column, Column]:
-    """Added, removed and common ids of two versions."""
-    return F.array_except(new, old), F.array_except(old, new), F.array_intersect(old, new)
+    """Added, removed and common ids of two versions, in their order and as often as they are listed."""
+    without = lambda a, b: F.filter(a, lambda x: ~F.array_contains(b, x))
+    return without(new, old), without(old, new), F.filter(old, lambda x: F.array_contains(new, x))
 
 
 def parse_proposal(text: Column) -> Column:

@@ -32,18 +32,20 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """The registry after a scan: full outer join on the keys.
 
     A changed hash moves to previous_definition_hash, clears analysis_status and sets is_changed,
-    which stays set until an analysis clears it; what the scan lacks stays as it is.
+    which stays set until an analysis clears it; an object that comes back is changed too, since its edges
+    went with it; what the scan lacks stays as it is.
     """
     o = old.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in old.columns if c not in keys])
     n = new.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in new.columns if c not in keys])
     x = o.join(n, keys, "full")
     seen, known = F.col("_n_definition_hash").isNotNull(), F.col("_o_definition_hash").isNotNull()
     moved = seen & known & (F.col("_n_definition_hash") != F.col("_o_definition_hash"))
+    back = seen & known & ~F.coalesce("_o_is_active", F.lit(True))
     special = {
         "previous_definition_hash": F.when(moved, F.col("_o_definition_hash")).otherwise(F.col("_o_previous_definition_hash")),
-        "is_changed": F.coalesce("_o_is_changed", F.lit(False)) | moved | (seen & ~known),
+        "is_changed": F.coalesce("_o_is_changed", F.lit(False)) | moved | back | (seen & ~known),
         "is_active": F.when(seen, True).otherwise(F.coalesce("_o_is_active", F.lit(True))),
-        "analysis_status": F.when(moved | (seen & ~known), None).otherwise(F.col("_o_analysis_status")),
+        "analysis_status": F.when(moved | back | (seen & ~known), None).otherwise(F.col("_o_analysis_status")),
     }
 
     def pick(c: str) -> Column:
@@ -54,10 +56,12 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str] = KEY) -> DataFrame:
     return x.select(*keys, *[pick(c).alias(c) for c in old.columns if c not in keys])
 
 
-def deactivate_missing(registry: DataFrame, scan: DataFrame, keys: list[str] = KEY, status: str = "INACTIVE_OBJECT_NOT_FOUND") -> DataFrame:
+def deactivate_missing(registry: DataFrame, scan: DataFrame, scope: Column, keys: list[str] = KEY, status: str = "INACTIVE_OBJECT_NOT_FOUND") -> DataFrame:
+    """Active objects of ``scope`` (what the scan looked at) that the scan lacks go out of service; all others stay as they are."""
     gone = registry.join(scan.select(*keys).distinct().withColumn("_found", F.lit(True)), keys, "left")
-    missing = F.col("_found").isNull()
-    return gone.withColumn("is_active", F.col("is_active") & ~missing).withColumn("analysis_status", F.when(missing, status).otherwise(F.col("analysis_status"))).drop("_found")
+    gone = gone.withColumn("_gone", F.coalesce(F.col("is_active") & F.col("_found").isNull() & scope, F.lit(False)))
+    new = {"is_active": F.col("is_active") & ~F.col("_gone"), "is_changed": F.col("is_changed") & ~F.col("_gone"), "analysis_status": F.when(F.col("_gone"), status).otherwise(F.col("analysis_status"))}
+    return gone.withColumns(new).select(*registry.columns)
 
 
 def usable_jobs(jobs: DataFrame) -> DataFrame:
@@ -73,14 +77,14 @@ def classify(labels: Column, email: Column, label_key: str, accounts: list[str],
     return kind, F.when(scheduled, "LABEL_AND_ACCOUNT").when(email.isin(dag_accounts), "USER_EMAIL")
 
 
-def strip_create(text: Column) -> Column:
-    """The query of a CREATE TABLE AS statement."""
-    return F.regexp_replace(text, r"(?is)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?(?:TEMP(?:ORARY)?\s+)?TABLE\s+.*?\bAS\b\s*(?=\(|WITH\b|SELECT\b)", "")
+#: What a head may have between its words: quoted text and comments are whole, so that no AS in them ends it.
+_PIECE = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+"|`[^`]*+`|--[^\n]*+|/\*.*?\*/|[^'"`aA/-]++|[aA/-])"""
 
 
-def identity(persistent: Column, destination: Column, project: Column, label: Column, fingerprint_hash: Column) -> Column:
-    """A table that stays is its own object; short-lived ones are one object per fingerprint."""
-    return F.when(persistent, destination).otherwise(F.concat(project, F.lit("."), label, F.lit(".fp_"), fingerprint_hash))
+def strip_create(text: Column) -> Column:
+    """The query of a CREATE TABLE ... AS statement; other statements, and heads of over 500 pieces, as they are."""
+    head = r"(?is)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?(?:TEMP(?:ORARY)?\s+)?TABLE\s+" + _PIECE + r"{1,500}?\bAS\b\s*(?=\(|WITH\b|SELECT\b)"
+    return F.regexp_replace(text, head, "")
 
 
 def latest(df: DataFrame, by: list, order: list) -> DataFrame:

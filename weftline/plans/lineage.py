@@ -7,10 +7,12 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from weftline.functions import tables
 from weftline.functions.analysis import analyze_definitions, explode_result, fingerprint_column, sources_column, tokens_column
-from weftline.repository import batch, impact, jobs as job_side, registry, reports, store
-from weftline.sources import scratch
-from weftline.sources.readers import metadata, table
+from weftline.repository import batch, impact, jobs as job_side, registry, reports, script, store
+from weftline.sources import catalog as catalogs, scratch
+from weftline.sources.readers import metadata, register_views, sharded, table
+from weftline.streaming import collector
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -430,3 +432,71 @@ def age_out_ephemeral(spark, sf_dir):
     tables = known.filter("n < 25").select(F.lit("P").alias("project_id"), F.lit("D").alias("dataset_id"), name.alias("table_name"), F.lit(None).cast("timestamp").alias("expiration_timestamp"))
     jobs = o.select(print_.alias("sql_fingerprint"), "creation_time")
     return job_side.retire(reg, tables, jobs, F.lit("2001-07-28").cast("timestamp"), 3).select("object_name", "is_active", "analysis_status")
+
+
+@query("SELECT table_name, column_name, ordinal_position::INTEGER AS ordinal_position FROM information_schema.columns WHERE table_schema = 'main' AND table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')")
+def catalog_columns(spark, sf_dir):
+    """Columns of all tables of the dataset that the given folder is, from their footers; other datasets beside it are not opened."""
+    root, project, dataset = sf_dir.rstrip("/").rsplit("/", 2)
+    c = catalogs.read(spark, root or "/", "columns")
+    return c.filter((c.project_id == project.lower()) & (c.dataset_id == dataset.lower())).select("table_name", "column_name", "ordinal_position")
+
+
+@query("SELECT o_orderkey, 'e' || strftime(o_orderdate, '%Y%m') AS shard FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '199503' AND '199602' OR strftime(o_orderdate, '%Y%m') = '199701'")
+def shard_suffix(spark, sf_dir):
+    """Orders in a table for each month; the predicate on the suffix picks tables before any is opened."""
+    o, at = table(spark, sf_dir, "orders"), scratch.folder(spark, "shards")
+    o.select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("m")).repartition("m").write.partitionBy("m").parquet(at)
+    x = sharded(spark, f"{at}/m=*", "_TABLE_SUFFIX BETWEEN '199503' AND '199602' OR _TABLE_SUFFIX = '199701'")
+    return x.select("o_orderkey", F.concat(F.lit("e"), "_TABLE_SUFFIX").alias("shard"))
+
+
+@query("SELECT 'a' AS run, o_orderkey, o_orderstatus AS state, 'published' AS outcome FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT 'b', o_orderkey, 'old', 'rolled back' FROM orders WHERE o_orderstatus <> 'P'")
+def script_restores(spark, sf_dir):
+    """Two tries to make a new version current in a SQL script: one whose rows keep the rules, one whose rows break one."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("state"))
+    old, rules = o.filter("state <> 'P'").withColumn("state", F.lit("old")), {"key": "o_orderkey IS NOT NULL", "state": "state IN ('F', 'O')"}
+    good = script.switch(spark, {1: old, 2: o.filter("state <> 'P'")}, 1, 2, rules, "good_versions")
+    bad = script.switch(spark, {1: old, 2: o}, 1, 2, rules, "bad_versions")
+    return good.select(F.lit("a").alias("run"), "o_orderkey", "state", "outcome").unionByName(bad.select(F.lit("b").alias("run"), "o_orderkey", "state", "outcome"))
+
+
+@query("SELECT count(*) FILTER (WHERE n > 0)::INTEGER AS done, count(*) FILTER (WHERE n = 0)::INTEGER AS skipped FROM (SELECT n_nationkey, count(s_suppkey) AS n FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY 1)")
+def script_loop(spark, sf_dir):
+    """A statement for each nation that fails where no supplier is rich enough."""
+    register_views(spark, sf_dir, ["nation", "supplier"])
+    return script.each(spark, "nation", "n_nationkey", "SELECT assert_true(count(*) > 0) FROM supplier WHERE s_nationkey = :k AND s_acctbal > 5000")
+
+
+@query("""WITH x AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 8 HOUR THEN 0 ELSE 1 END AS g FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+y AS (SELECT *, sum(g) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM x)
+SELECT user_id::VARCHAR AS key, session::INTEGER AS session, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first_at, count(*)::INTEGER AS n FROM y GROUP BY user_id, session""")
+def table_function(spark, sf_dir):
+    """A table function over events, partitioned by user and ordered by time."""
+    tables.register(spark)
+    table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key"), "ts").createOrReplaceTempView("session_events")
+    x = spark.sql("SELECT * FROM sessions(TABLE(session_events) PARTITION BY (key) ORDER BY (ts), 28800)")
+    return x.select("key", "session", F.date_format("first_at", "yyyy-MM-dd HH:mm:ss").alias("first_at"), "n")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 5 = 0 THEN NULL ELSE round(o_totalprice / (o_custkey % 5), 4) END AS ratio, floor(o_totalprice / 1000)::BIGINT AS bucket, floor(o_totalprice / 50)::BIGINT AS fine, unnest(['o' || o_custkey, o_orderstatus]) AS part, unnest([0, 1]) AS place FROM orders")
+def sql_functions(spark, sf_dir):
+    """Functions written in SQL: a scalar one, one with a default, one that gives a table."""
+    tables.register(spark)
+    register_views(spark, sf_dir, ["orders"])
+    return spark.sql("SELECT o_orderkey, round(safe_ratio(o_totalprice, o_custkey % 5), 4) AS ratio, bucket_of(o_totalprice) AS bucket, bucket_of(o_totalprice, 50) AS fine, p.part, p.place FROM orders, LATERAL parts_of('o' || o_custkey || '.' || o_orderstatus) p")
+
+
+@query("""WITH j AS (SELECT strftime(o_orderdate, '%Y%m') AS m, max(o_orderdate) AS seen, arg_max(o_orderkey::VARCHAR, (o_orderdate, o_orderkey::VARCHAR)) AS job_id FROM orders GROUP BY 1)
+SELECT sha256('SELECT A FROM T' || m || ' WHERE K = ?') AS fingerprint, job_id, seen + INTERVAL 732 HOUR < (SELECT max(o_orderdate) FROM orders) - INTERVAL 3 DAY AS retired FROM j""")
+def stream_latest_jobs(spark, sf_dir):
+    """Orders as a stream of jobs, a fingerprint for each month: its latest job, and whether it has retired when all have arrived."""
+    o, at = table(spark, sf_dir, "orders"), scratch.folder(spark, "jobs")
+    jobs = o.select(F.col("o_orderkey").cast("string").alias("job_id"), F.col("o_orderdate").cast("timestamp").alias("creation_time"), F.lit("u").alias("user_email"), F.concat(F.lit("select a from t"), F.date_format("o_orderdate", "yyyyMM"), F.lit(" where k = "), "o_orderkey").alias("query_text"))
+    for rows in (jobs, jobs.orderBy(F.desc("creation_time"), F.desc("job_id")).limit(1)):  # the second arrival moves time on
+        rows.write.mode("append").parquet(f"{at}/in")
+        stream = spark.readStream.schema(collector.JOB_LOG).parquet(f"{at}/in")
+        collector.collect(collector.latest_jobs(stream, dt.timedelta(hours=732)), f"{at}/state", lambda batch, number: batch.write.mode("overwrite").parquet(f"{at}/events/batch={number}"), "update")
+    events = spark.read.schema(collector.EVENTS + ", batch long").option("basePath", f"{at}/events").parquet(f"{at}/events/*")
+    last = F.struct("batch", "creation_time", "job_id")
+    return events.groupBy("fingerprint").agg(F.max_by("job_id", last).alias("job_id"), F.bool_or(F.col("event") == "RETIRED").alias("retired"))

@@ -32,8 +32,8 @@ PARTS = {
 }
 #: Places of project, dataset and name among a part's columns.
 ADDRESS = ["project_id", "dataset_id", "table_name"], ["object_project", "object_dataset", "object_name"]
-#: The dialect of Arrow types in data_type.
-SIMPLE = {"int32": "int", "int64": "bigint", "large_string": "string", "date32[day]": "date", "bool": "boolean"}
+#: Spark's names of Arrow types.
+SIMPLE = {"int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "large_string": "string", "date32[day]": "date", "bool": "boolean", "halffloat": "float"}
 
 
 class Dataset(InputPartition):
@@ -41,13 +41,30 @@ class Dataset(InputPartition):
         self.project, self.dataset = project, dataset
 
 
+def _type(t) -> str:
+    """An Arrow type as Spark names it."""
+    import pyarrow.types as k
+
+    if k.is_struct(t):
+        return f"struct<{','.join(f'{f.name}:{_type(f.type)}' for f in t)}>"
+    if k.is_list(t) or k.is_large_list(t):
+        return f"array<{_type(t.value_type)}>"
+    if k.is_map(t):
+        return f"map<{_type(t.key_type)},{_type(t.item_type)}>"
+    if k.is_timestamp(t):
+        return "timestamp" if t.tz or t.unit == "ns" else "timestamp_ntz"  # Spark's INT96 have no zone either
+    if k.is_decimal(t):
+        return f"decimal({t.precision},{t.scale})"
+    return SIMPLE.get(str(t), str(t))
+
+
 def _fields(schema, prefix: str = "") -> Iterator[tuple[str, str, str]]:
     """(column, field path, type) of an Arrow schema, fields of structures and of lists of structures included."""
     import pyarrow.types as t
 
     for f in schema:
         path = f"{prefix}{f.name}"
-        yield path.split(".")[0], path, SIMPLE.get(str(f.type), str(f.type))
+        yield path.split(".")[0], path, _type(f.type)
         inner = f.type.value_type if t.is_list(f.type) or t.is_large_list(f.type) else f.type
         if t.is_struct(inner):
             yield from _fields(inner, f"{path}.")

@@ -6,6 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from weftline.sources.scratch import file_system
+
 TABLES = "region nation customer supplier part orders lineitem events embeddings labels conversations benchmark pages documents".split()
 
 
@@ -19,24 +21,33 @@ def register_views(spark: SparkSession, sf_dir: str, names: Iterable[str] = TABL
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
-def sharded(spark: SparkSession, pattern: str) -> DataFrame:
-    """All tables that match a path pattern as one, with ``_TABLE_SUFFIX``: what the pattern's star stood for."""
-    prefix = pattern.split("/")[-1].split("*")[0]
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*?)(\.parquet)?(/[^/]*)?$", 1)
-    return spark.read.parquet(pattern).withColumn("_TABLE_SUFFIX", F.substring(name, len(prefix) + 1, 1 << 20))
-
-
-def json_collection(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    reader = spark.read.option("multiLine", True)
-    return (reader.schema(schema) if schema else reader).json(path)
+def sharded(spark: SparkSession, pattern: str, where: str = "true") -> DataFrame:
+    """Tables that match a path pattern as one, with ``_TABLE_SUFFIX``: what the pattern's star stood for.
+
+    ``where`` is a predicate on _TABLE_SUFFIX.  It is applied to the names of the shards (one listing of their folder), so
+    those that it leaves out are not listed further, opened or planned.  Columns are those of the latest shard that is left;
+    older shards have nulls for what they lack.
+    """
+    prefix, _, end = pattern.split("/")[-1].partition("*")
+    fs, p = file_system(spark, pattern)
+    found = [str(s.getPath()) for s in fs.globStatus(p) or []]
+    suffix = {x: x.split("/")[-1][len(prefix) : -len(end) or None] for x in found}
+    names = spark.createDataFrame(list(suffix.items()), "path string, _TABLE_SUFFIX string").filter(where)
+    paths = sorted((r.path for r in names.collect()), key=suffix.get)  # one row a shard
+    if not paths:
+        return spark.createDataFrame([], "_TABLE_SUFFIX string")
+    schema = spark.read.parquet(paths[-1]).schema
+    out = None
+    # Shards are Parquet tables apart, so a suffix is a constant of its scan.
+    for path in paths:
+        one = spark.read.schema(schema).parquet(path).withColumn("_TABLE_SUFFIX", F.lit(suffix[path]))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace a table's contents; partitions, if named, are replaced one by one."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    w.parquet(path)
+def json_collection(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A collection of JSON objects, one a line or in arrays over several lines; what a row lacks is null."""
+    return spark.read.option("multiLine", True).schema(schema).json(path)
 
 
 def columns_of(schema: T.StructType, prefix: str = "") -> list[tuple[str, str, str]]:

@@ -21,7 +21,9 @@ across components: all members outside of the bucket's largest component against
 So no link is lost and no group of copies is expanded into all pairs.  A member counts once for its bucket, however many
 groups of signatures it meets it in.
 
-Equal sets count as linked by their 128-bit hashes.  Signatures and hashes only propose.
+Texts with the same words in the same order, whatever white space and case, are found first, by 128-bit hashes of all texts: the least id of each
+group stands for it in all that follows and gives it its component.  Equal sets of other texts count as linked by
+their 128-bit hashes.  Signatures and hashes only propose.
 
 Defined results: a null or empty text has no shingles and is linked with nothing; rows with
 one id are one document for links; a row without id has no component; an empty table gives
@@ -35,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftline.llm.bytewise import in_pieces, in_slices, mix, word_hashes
 from weftline.llm.components import components
-from weftline.llm.shared import documents, forget, join_small, materialize, stored
+from weftline.llm.shared import BROADCAST_BYTES, documents, forget, join_small, materialize, stored
 
 #: Cells of a part, and how many of them a subset leaves out.
 CELLS, DIFFER = 3, 1
@@ -164,8 +166,21 @@ def _rare(items: np.ndarray, common: np.ndarray) -> np.ndarray:
     return (common[(b >> np.uint64(3)).astype(np.int64)] >> (b & np.uint64(7)).astype(np.uint8)) & 1 == 0
 
 
-def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
-    """A bit for each of 2 ** COUNT_BITS hash values of shingles: whether many documents have one with it; and the number of shingles.
+def _sequence_hashes(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each text's words in their order; texts without words have 0."""
+    n = np.diff(edge)
+    place = np.arange(len(h), dtype=np.uint64) - np.repeat(edge[:-1], n).astype(np.uint64)
+    some, out = np.flatnonzero(n), np.zeros((2, len(n)), np.uint64)
+    if len(some):
+        x = mix(h + place * (_C[44] | np.uint64(1)))
+        for k in (0, 1):
+            out[k, some] = np.add.reduceat(x, edge[:-1][some])
+            x = mix(x + _C[45])
+    return out[0].view(np.int64), out[1].view(np.int64)
+
+
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int, DataFrame]:
+    """A bit for each of 2 ** COUNT_BITS hash values of shingles: whether many documents have one with it; the number of shingles; (id, q, r): hashes of the texts with words.
 
     It has a fixed size, covers all documents and only orders signatures: no result depends on it.
     """
@@ -173,20 +188,31 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
     def run(batches):
         import pyarrow as pa
 
+        def counts(b, c):
+            m = len(b)
+            return pa.RecordBatch.from_arrays([pa.array(b.astype(np.int32)), pa.array(c.astype(np.int64)), *(pa.nulls(m, pa.int64()) for _ in range(3))], names)
+
         count, seen = np.zeros(1 << COUNT_BITS, np.uint32), 0
         for b in (x for whole in batches for x in in_slices(whole, "_t")):
-            texts = [t.encode() if t else b"" for t in b.column(0).to_pylist()]
+            ids, texts = b.column(0).cast(pa.int64()), [t.encode() if t else b"" for t in b.column(1).to_pylist()]
             for part in in_pieces(texts, PIECE):
-                s = _shingles(texts[part], width)[0] >> np.uint64(64 - COUNT_BITS)
+                s, edge, h = _shingles(texts[part], width)
+                s >>= np.uint64(64 - COUNT_BITS)
                 np.add.at(count, s.astype(np.int64), np.uint32(1))
                 seen += len(s)
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([seen], pa.int64())], ["b", "c"])
+                q, r = _sequence_hashes(h, edge)
+                m, own = len(q), ids[part]
+                yield pa.RecordBatch.from_arrays([pa.nulls(m, pa.int32()), pa.array(np.diff(edge)), own, pa.array(q), pa.array(r)], names)
+        yield counts(np.array([-1]), np.array([seen]))
         at = np.flatnonzero(count >= max(COUNT_LOCAL, 4 * seen // len(count) + COUNT_LOCAL))
         for k in range(0, len(at), 100_000):
             x = at[k : k + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int32)), pa.array(count[x].astype(np.int64))], ["b", "c"])
+            yield counts(x, count[x])
 
-    total = materialize(docs.toDF("_t").mapInArrow(run, "b int, c long").groupBy("b").agg(F.sum("c").alias("c")), "counts")
+    names = ["b", "c", "id", "q", "r"]
+    # Counts of shingles have a value b, texts have none and their number of words as c.
+    read = materialize(docs.toDF("_id", "_t").mapInArrow(run, "b int, c long, id long, q long, r long"), "read")
+    total = materialize(read.filter("b IS NOT NULL").groupBy("b").agg(F.sum("c").alias("c")), "counts")
     told = total.agg(F.sum(F.when(F.col("b") >= 0, F.col("c"))).alias("often"), F.sum(F.when(F.col("b") < 0, F.col("c"))).alias("all")).first()
     mean = (told["often"] or 0) / (1 << COUNT_BITS)
     place = (F.col("b") + 1).cast("long")
@@ -195,7 +221,9 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int]:
     for r in rows.collect():  # at most 2 ** COUNT_BITS bits in all
         out[4096 * (r.k - 1) : 4096 * r.k] = np.frombuffer(r.bits, np.uint8)
     forget(total)
-    return out, told["all"] or 0
+    hashed = read.filter("b IS NULL AND c > 0 AND id IS NOT NULL").select("id", "q", "r")
+    hashed._stored_at = read._stored_at
+    return out, told["all"] or 0, hashed
 
 
 def parities(s: np.ndarray) -> bytes:
@@ -517,6 +545,15 @@ def _joined_by(labels: DataFrame, more: DataFrame) -> DataFrame:
     return out
 
 
+def _same_texts(hashed: DataFrame) -> tuple[DataFrame, int]:
+    """(id, lead) of texts that equal that of a lesser id, and their table's bytes; ids that several rows have stay out."""
+    once = materialize(hashed.groupBy("id").agg(F.count(F.lit(1)).alias("_n"), F.first("q").alias("q"), F.first("r").alias("r")).filter("_n = 1").drop("_n"), "texts")
+    groups, size = stored(once.groupBy("q", "r").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n"), "equal")
+    out = stored(join_small(once, groups, size, ["q", "r"], "inner").filter("id <> lead").select("id", "lead"), "same-texts")
+    forget(once, groups)
+    return out
+
+
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of buckets with more than one label, with their labels."""
     named = members.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("component", "id"))
@@ -529,9 +566,14 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links of similarity num / den)."""
-    docs = docs.select(F.col(key), F.col(text))
+    every = docs.select(F.col(key), F.col(text))
     spark = docs.sparkSession
-    bits, shingles = common_shingles(docs.select(text), width)
+    bits, shingles, hashed = common_shingles(every, width)
+    same, size = _same_texts(hashed)
+    forget(hashed)
+    docs = join_small(every.toDF("_i", "_t"), same.select(F.col("id").alias("_i")), size, ["_i"], "left_anti").toDF(key, text)
+    if size * 4 > BROADCAST_BYTES:  # node numbers follow the order of rows, which a task that is run again must find
+        docs = docs.sortWithinPartitions(key, text)
     common = spark.sparkContext.broadcast(bits)
     # A group is one task's table, so their number follows the shingles that were counted.  More would only find the same pairs again.
     groups = 1 + shingles // GROUP_SHINGLES
@@ -567,8 +609,14 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
             members._stored_at = m._stored_at
             known = known.union(tried)
             labels = _joined_by(labels, more)
-    out = d.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").cast(dict(docs.dtypes)[key]).alias("component_id"))
+    out = d.join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+    if same.limit(1).count():
+        # One row for each group of equal texts, then for each of its texts.
+        out = materialize(out, "classes")
+        leads, size = stored(same.select(F.col("lead").alias("id")).distinct(), "leads")
+        leads, size = stored(join_small(out, leads, size, ["id"], "left_semi").withColumnRenamed("id", "lead"), "lead-classes")
+        out = out.unionByName(join_small(same, leads, size, ["lead"], "inner").select("id", "n", "component"))
+    return out.select(F.col("id").cast(dict(docs.dtypes)[key]).alias(key), F.col("n").alias("n_shingles"), F.col("component").cast(dict(docs.dtypes)[key]).alias("component_id"))
 
 
 def op3_partenum(spark, sf_dir: str) -> DataFrame:

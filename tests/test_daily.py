@@ -42,7 +42,7 @@ def test_three_runs(spark):
 
 def test_gate(spark):
     meta = spark.createDataFrame([], META)
-    s = daily.run(views(spark, V="SELECT 1 AS one"), meta, exclude=["^d$"])
+    s = daily.run(views(spark, V="SELECT 1 AS one"), meta, gate=daily.Gate(exclude=["^d$"]))
     assert s.registry.count() == 0 and s.impact.count() == 0
 
 
@@ -110,15 +110,19 @@ def test_narrowed_scan_keeps_what_it_did_not_look_at(spark):
     meta = spark.createDataFrame([("p", "d", "t", "a", "a", 1)], META)
     rows = [("p", d, n, "VIEW", "SELECT a FROM d.t WHERE a > 1") for d, n in (("d1", "v1"), ("d1", "v2"), ("d2", "w1"))]
     one = daily.run(spark.createDataFrame(rows, VIEW), meta)
-    two = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, one, include=["^d1$"])
+    two = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, one, gate=daily.Gate(include=["^d1$"]))
     state = {r.object_name: (r.is_active, r.is_changed, r.analysis_status) for r in two.registry.collect()}
     assert state == {"v1": (True, False, "COMPLETED"), "v2": (False, False, "INACTIVE_OBJECT_NOT_FOUND"), "w1": (True, False, "COMPLETED")}
     assert {e[0] for e in edges(two)} == {"v1", "w1"} and {r.object_name for r in two.usages.collect()} == {"v1", "w1"}
     assert paths(two.impact) == paths(impact.closure(daily._graph(two.edges)))
     two.registry = two.registry.withColumn("analysis_status", F.when(F.col("object_name") == "v2", "OLD").otherwise(F.col("analysis_status")))
-    three = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, two, include=["^d1$"])
+    three = daily.run(spark.createDataFrame(rows[:1], VIEW), meta, two, gate=daily.Gate(include=["^d1$"]))
     assert {r.object_name: r.analysis_status for r in three.registry.collect()}["v2"] == "OLD"
     assert three.summary["definitions"] == 0 and three.moved.count() == 0
+    # A name that the gate stops is as good as gone.
+    four = daily.run(spark.createDataFrame(rows, VIEW), meta, three, daily.Gate(include=["^d1$"], exclude_objects=["V1"]))
+    assert {r.object_name: (r.is_active, r.analysis_status) for r in four.registry.collect()} == {"v1": (False, "INACTIVE_OBJECT_NOT_FOUND"), "v2": (True, "COMPLETED"), "w1": (True, "COMPLETED")}
+    assert {e[0] for e in edges(four)} == {"v2", "w1"}
 
 
 def test_published_runs(spark, tmp_path):

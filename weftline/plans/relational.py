@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
+from weftline.functions import dates
 from weftline.functions.analysis import variables_column
 from weftline.operators import relational as R, windows
 from weftline.repository import proposals as P, registry as G
@@ -246,6 +247,28 @@ def query_parameters(spark, t):
     return spark.sql("SELECT o_orderkey FROM orders WHERE o_totalprice > :least AND o_orderstatus = :status", args={"least": 250000, "status": "F"})
 
 
+@query("SELECT o_orderkey, strftime(o_orderdate, '%U')::INTEGER AS sunday_week, strftime(o_orderdate, '%W')::INTEGER AS monday_week, strftime(date_trunc('week', o_orderdate), '%Y-%m-%d') AS monday, extract(hour FROM o_orderdate + INTERVAL 9 HOUR)::INTEGER AS tokyo_hour, extract(day FROM o_orderdate - INTERVAL 3 HOUR)::INTEGER AS santos_day FROM orders")
+def date_parts(spark, t):
+    """WEEK, WEEK(MONDAY), DATE_TRUNC to WEEK(MONDAY) and parts AT TIME ZONE."""
+    o, d = t("orders"), F.col("o_orderdate")
+    return o.select("o_orderkey", dates.week(d).alias("sunday_week"), dates.week(d, "MONDAY").alias("monday_week"), F.date_format(dates.trunc_week(d, "MONDAY"), "yyyy-MM-dd").alias("monday"), F.hour(dates.at_zone(d, "Asia/Tokyo")).alias("tokyo_hour"), F.dayofmonth(dates.at_zone(d, "-03:00")).alias("santos_day"))
+
+
+@query("SELECT o_custkey, max(o_orderkey) AS k, arg_max(o_orderstatus, o_orderkey) AS st, arg_max(left(o_orderpriority, 1), o_orderkey) AS p FROM orders GROUP BY o_custkey")
+def select_as_value(spark, t):
+    """SELECT AS STRUCT in a subquery, its fields and nested fields (f(x).y and a.b.c), and SELECT AS VALUE that unpacks it."""
+    t("orders").createOrReplaceTempView("orders")
+    x = spark.sql("SELECT o_custkey, max_by(struct(o_orderkey AS k, struct(o_orderstatus AS st, struct(left(o_orderpriority, 1) AS p) AS deep) AS s), o_orderkey) AS v FROM orders GROUP BY o_custkey")
+    return x.select("o_custkey", "v.*").select("o_custkey", "k", "s.st", "s.deep.p")
+
+
+@query("SELECT n_nationkey + 10 AS id, CASE WHEN n_nationkey + 10 < 25 THEN '{\"id\":' || n_nationkey + 10 || ',\"name\":\"' || (SELECT m.n_name FROM nation m WHERE m.n_nationkey = nation.n_nationkey + 10) || '\"}' ELSE '{\"error\":\"id=' || n_nationkey + 10 || ' is not known\"}' END AS answer FROM nation")
+def tool_answers(spark, t):
+    """A row or an error for each asked id."""
+    n = t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    return P.answers(n.select((F.col("id") + 10).alias("id")), n)
+
+
 # -- registries and samples ------------------------------------------------------
 @query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY o_custkey")
 def latest_per_group(spark, t):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from weftline.functions.analysis import analyze_definitions, explode_result, sources_column
@@ -50,9 +52,12 @@ def match_names(names: DataFrame, known: DataFrame) -> DataFrame:
 FIELDS = ["project_id", "dataset_id", "table_name", "column_name", "field_path", "ordinal_position"]
 
 
-def with_sources(definitions: DataFrame, metadata: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+def with_sources(definitions: DataFrame, metadata: DataFrame | Callable[[DataFrame], DataFrame], tables: DataFrame | None = None) -> DataFrame:
     """Definitions with what their statements read, each statement read once.
 
+    ``metadata`` is a table, or a function that reads it for the datasets (project_id, dataset_id) that statements name; it then
+    needs ``tables``.
+
     ``referenced`` has the names of its sources (null: it cannot be told), ``columns`` their ordered metadata, ``metadata_bytes``
     its size; ``has_absent_source`` says that a source is not among ``tables`` (if not given, those with metadata), and
     ``has_uncollected_source`` that one is there without metadata.
@@ -60,6 +65,9 @@ def with_sources(definitions: DataFrame, metadata: DataFrame, tables: DataFrame
     spark = definitions.sparkSession
     refs, _ = scratch.written(definitions.select(*OBJECT, sources_column("definition_text").alias("referenced")), "sources")
     named = refs.select(*OBJECT, F.explode("referenced").alias("name")).distinct()
+    if callable(metadata):
+        named_in, _ = scratch.written(match_names(named, _known(tables, tables)).select("project_id", "dataset_id").distinct(), "datasets")
+        metadata, _ = scratch.written(metadata(named_in), "metadata")
     known = _known(tables if tables is not None else metadata, metadata)
     hits, _ = scratch.written(match_names(named, known), "matches")
     state = hits.groupBy("name").agg(F.bool_or("collected").alias("collected"))
@@ -74,7 +82,7 @@ def with_sources(definitions: DataFrame, metadata: DataFrame, tables: DataFrame
     return out.withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))
 
 
-def run(definitions: DataFrame, metadata: DataFrame, variables: str | None = None, tables: DataFrame | None = None, max_metadata: int = MAX_METADATA) -> DataFrame:
+def run(definitions: DataFrame, metadata: DataFrame | Callable[[DataFrame], DataFrame], variables: str | None = None, tables: DataFrame | None = None, max_metadata: int = MAX_METADATA) -> DataFrame:
     """Analyzed definitions with ``failure_stage`` and the flags of their sources.
 
     A statement whose sources cannot be told is marked SOURCE_DISCOVERY; one with more metadata

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from weftline.functions.analysis import explode_result
 from weftline.repository import batch, impact, jobs as job_side, registry, reports, store
+from weftline.sources import catalog, scratch
 
 REGISTRY = "object_project string, object_dataset string, object_name string, object_type string, definition_text string, definition_hash string, previous_definition_hash string, is_changed boolean, is_active boolean, analysis_status string, last_analyzed_hash string, last_seen_at timestamp, is_ephemeral boolean, sql_fingerprint string, generation_type string, script_variables array<string>, source_job_id string"
 KEY = registry.KEY
@@ -31,19 +32,35 @@ class Snapshot:
     moved: DataFrame | None = None
 
 
-def collect(views: DataFrame, before: Snapshot | None = None, include: list[str] | None = None, exclude: list[str] | None = None, log: DataFrame | None = None, tables: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> tuple[DataFrame, DataFrame | None]:
+@dataclass
+class Gate:
+    """Patterns of dataset and object names, each a list to include (empty: all) and one to exclude."""
+
+    include: list[str] = field(default_factory=list)
+    exclude: list[str] = field(default_factory=list)
+    include_objects: list[str] = field(default_factory=list)
+    exclude_objects: list[str] = field(default_factory=list)
+
+    def datasets(self, c: str = "object_dataset") -> Column:
+        return registry.matches(F.col(c), self.include, self.exclude)
+
+    def objects(self, c: str = "object_name") -> Column:
+        return registry.matches(F.col(c), self.include_objects, self.exclude_objects)
+
+
+def collect(views: DataFrame, before: Snapshot | None = None, gate: Gate | None = None, log: DataFrame | None = None, tables: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The registries of definitions and jobs after a scan.
 
-    Views of datasets that the gate lets through and the scan lacks go out of service; those of other
-    datasets were not looked at and stay.
+    Views of datasets that the gate lets through and the scan lacks, or whose own name the gate stops, go out of
+    service; those of other datasets were not looked at and stay.
     """
     spark = views.sparkSession
-    gate = registry.matches(F.col("object_dataset"), include or [], exclude or [])
-    scan = registry.scan_definitions(views.filter(gate)).withColumn("last_seen_at", F.current_timestamp())
+    gate = gate or Gate()
+    scan = registry.scan_definitions(views.filter(gate.datasets() & gate.objects())).withColumn("last_seen_at", F.current_timestamp())
     old = before.registry if before else spark.createDataFrame([], REGISTRY)
     by_jobs = F.col("generation_type").isNotNull()
     seen = registry.upsert(old, scan)
-    reg, known_jobs = registry.deactivate_missing(seen.filter(~by_jobs), scan, gate & (F.col("object_type") == "VIEW")), before.jobs if before else None
+    reg, known_jobs = registry.deactivate_missing(seen.filter(~by_jobs), scan, gate.datasets() & (F.col("object_type") == "VIEW")), before.jobs if before else None
     if log is None:
         return reg.unionByName(seen.filter(by_jobs)).checkpoint(), known_jobs
     now, days = F.current_timestamp(), registry.lookback_days(known_jobs) if known_jobs is not None else registry.lookback_days(spark.createDataFrame([], job_side.JOBS))
@@ -92,17 +109,23 @@ def analyze(reg: DataFrame, metadata: DataFrame, before: Snapshot | None = None,
     return Snapshot(reg, edges, usages, batch.diagnostics(analyzed), closure, reports.unanalyzed(reg), known_jobs, summary, replaced, moved)
 
 
-def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, include: list[str] | None = None, exclude: list[str] | None = None, max_rank: int = 100, log: DataFrame | None = None, tables: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> Snapshot:
+def run(views: DataFrame, metadata: DataFrame, before: Snapshot | None = None, gate: Gate | None = None, max_rank: int = 100, log: DataFrame | None = None, tables: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> Snapshot:
     """One run over the scanned views (identity, definition_text) and, with a job ``log``, over the tables that jobs make.
 
     ``tables`` are those that exist (project_id, dataset_id, table_name, expiration_timestamp); a log needs them.
     Only definitions whose text changed are analysed.  ``max_rank`` is that of the run before.
     """
     impact.ready(views.sparkSession)
-    reg, known_jobs = collect(views, before, include, exclude, log, tables, accounts)
+    reg, known_jobs = collect(views, before, gate, log, tables, accounts)
     return analyze(reg, metadata, before, max_rank, tables, known_jobs)
 
 
+def run_catalog(spark: SparkSession, root: str, before: Snapshot | None = None, gate: Gate | None = None, sources: Gate | None = None, max_rank: int = 100, log: DataFrame | None = None, accounts: job_side.Accounts | None = None) -> Snapshot:
+    """A run over a catalog: views of the datasets of ``gate``, tables of those of ``sources``, and columns only of datasets that changed statements name."""
+    tables = catalog.read(spark, root, "tables").filter((sources or Gate()).datasets("dataset_id"))
+    return run(catalog.read(spark, root, "views"), lambda datasets: catalog.referenced_columns(spark, root, datasets), before, gate, max_rank, log, scratch.written(tables, "tables")[0], accounts)
+
+
 def analyze_changed(before: Snapshot, metadata: DataFrame, max_rank: int = 100, tables: DataFrame | None = None, only: Column | None = None) -> Snapshot:
     """A run without a scan: what the registry has as changed, or of that the objects that ``only`` names (a single view)."""
     impact.ready(metadata.sparkSession)

@@ -11,6 +11,21 @@ def next_id(rows: DataFrame, key: str = "id") -> DataFrame:
     return rows.agg((F.coalesce(F.max(F.col(key).cast("int")), F.lit(0)) + 1).alias("next_id"))
 
 
+def answers(ids: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
+    """A tool's answer for each asked id: the row as JSON, or an error that names the id; of repeated ids of the collection any one."""
+    own = rows.dropDuplicates([key]).select(F.col(key).alias("_k"), F.to_json(F.struct(*rows.columns)).alias("_json"))
+    missing = F.to_json(F.struct(F.format_string(f"{key}=%s is not known", F.col("asked").cast("string")).alias("error")))
+    return ids.select(F.col(key).alias("asked")).join(own, F.col("asked") == F.col("_k"), "left").select(F.col("asked").alias(key), F.coalesce("_json", missing).alias("answer"))
+
+
+def listing(rows: DataFrame, **wanted) -> DataFrame:
+    """A collection's rows; arguments that are not None must match (the filters of a tool's call)."""
+    for column, value in wanted.items():
+        if value is not None:
+            rows = rows.filter(F.col(column) == value)
+    return rows
+
+
 def put(rows: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Rows with those of ``new`` added, or in place of the ones with their ids."""
     return rows.join(new.select(key), key, "left_anti").unionByName(new)

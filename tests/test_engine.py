@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from weftline.functions import analysis
+from weftline.functions import analysis, dates
 from weftline.operators import relational as R
 from weftline.repository import batch, impact, proposals, registry, reports
 from weftline.sources import readers
@@ -95,3 +95,44 @@ def test_stream_folds_to_latest(spark, tmp_path):
     out = []
     collector.collect(collector.job_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/cp", lambda b, n: out.extend(collector.fold(None, b).collect()))
     assert sorted((r.job_id, r.fingerprint) for r in out) == [("j2", "SELECT ?"), ("j3", "SELECT A FROM T")]
+
+
+def test_dates(spark):
+    days = spark.range(1200).select(F.date_add(F.lit("2022-12-20").cast("date"), F.col("id").cast("int")).alias("d"))
+    for begins, code in (("SUNDAY", "%U"), ("MONDAY", "%W")):
+        got = days.select("d", dates.week(F.col("d"), begins).alias("w"), dates.trunc_week(F.col("d"), begins).alias("t")).collect()
+        assert all(r.w == int(r.d.strftime(code)) and (r.d - r.t).days < 7 and r.t.strftime("%A").upper() == begins for r in got)
+    assert spark.sql("SELECT timestamp'2024-06-30 20:00:00' AS t").select(F.dayofyear(dates.at_zone(F.col("t"), "Asia/Tokyo"))).first()[0] == 183
+
+
+def test_answers_and_listing(spark):
+    rows = spark.createDataFrame([(1, "a", "x"), (2, None, "y")], "id int, name string, kind string")
+    got = {r.id: r.answer for r in proposals.answers(spark.createDataFrame([(1,), (2,), (7,)], "id int"), rows).collect()}
+    assert got == {1: '{"id":1,"name":"a","kind":"x"}', 2: '{"id":2,"kind":"y"}', 7: '{"error":"id=7 is not known"}'}
+    assert [r.id for r in proposals.listing(rows, kind="y", name=None).collect()] == [2] and proposals.listing(rows).count() == 2
+
+
+def test_compare_keeps_repeats(spark):
+    c = proposals.compare(F.array(F.lit(1), F.lit(1), F.lit(2)), F.array(F.lit(2), F.lit(3), F.lit(3)))
+    assert tuple(spark.range(1).select(*c).first()) == ([3, 3], [1, 1], [2])
+
+
+def test_strip_create(spark):
+    heads = ["CREATE TABLE t AS ", "create or replace table if not exists `a as (b`.t\noptions(description=\"x as select\", a='it\\'s as (') as ", "CREATE TEMP TABLE t -- as select\n/* as ( */ AS"]
+    bodies = ["SELECT a AS b FROM t", "(SELECT 1 AS (x))", "WITH q AS (SELECT 1) SELECT * FROM q"]
+    rows = [(h + b, b) for h in heads for b in bodies if not (h.endswith("AS") and not b.startswith("("))] + [("SELECT 1 AS (a)", "SELECT 1 AS (a)"), ("CREATE TABLE t (a INT64)", "CREATE TABLE t (a INT64)"), (None, None), ("CREATE TABLE t AS " + "a " * 50_000, "CREATE TABLE t AS " + "a " * 50_000)]
+    got = spark.createDataFrame(rows, "q string, want string").select(registry.strip_create(F.col("q")).alias("got"), "want").collect()
+    assert all(r.got == r.want for r in got), [(r.got, r.want) for r in got if r.got != r.want]
+
+
+def test_sample_is_repeatable(spark):
+    d = spark.range(20_000).withColumn("k", F.col("id") % 3)
+    one, two = ({r.id for r in R.sample(x, ["id"], 10, 4).collect()} for x in (d, d.repartition(7)))
+    assert one == two and 1800 < len(one) < 2200 and one != {r.id for r in R.sample(d, ["id"], 10, 5).collect()}
+
+
+def test_views_that_nobody_opened(spark):
+    log = spark.createDataFrame([(dt.datetime(2024, 1, d), "u", f"projects/p/datasets/d/tables/v{v}") for d, v in ((1, 1), (20, 1), (1, 2))], "ts timestamp, user string, v string")
+    access = reports.view_access(log, F.array("v"), now=F.lit(dt.datetime(2024, 1, 25)), days=10)
+    reg = spark.createDataFrame([("p", "d", f"v{v}", "VIEW", v < 3) for v in (1, 2, 3)], "object_project string, object_dataset string, object_name string, object_type string, is_active boolean")
+    assert [(r.view_name, r.query_count, r.days_since) for r in reports.last_access(reg, access, F.lit("2024-01-25").cast("date")).collect()] == [("v1", 1, 5), ("v2", None, None)]

@@ -76,8 +76,22 @@ def linked(docs: dict) -> dict:
     return {k: (len(sets[k]), find(k)) for k in docs}
 
 
-def substrings(docs: dict) -> dict:
-    """doc_id to (bytes, removed, spans, hash of the rest)."""
+def whole_characters(docs: dict) -> dict:
+    """doc_id to the text without all characters that lose a byte."""
+    out = {}
+    for k, (t, gone) in covered(docs).items():
+        at, kept = 0, []
+        for c in t.decode():
+            n = len(c.encode())
+            if not any(gone[at : at + n]):
+                kept.append(c)
+            at += n
+        out[k] = "".join(kept)
+    return out
+
+
+def covered(docs: dict) -> dict:
+    """doc_id to its bytes and a mask of those that go."""
     first, out = {}, {}
     for k in sorted(docs):
         t = (docs[k] or "").encode()
@@ -85,6 +99,14 @@ def substrings(docs: dict) -> dict:
         for i in range(len(t) - 49):
             if first.setdefault(t[i : i + 50], k) < k:
                 gone[i : i + 50] = b"\1" * 50
+        out[k] = (t, gone)
+    return out
+
+
+def substrings(docs: dict) -> dict:
+    """doc_id to (bytes, removed, spans, hash of the rest)."""
+    out = {}
+    for k, (t, gone) in covered(docs).items():
         out[k] = (len(t), sum(gone), sum(1 for i in range(len(t)) if gone[i] and not (i and gone[i - 1])), sha(bytes(b for b, g in zip(t, gone, strict=True) if not g)))
     return out
 

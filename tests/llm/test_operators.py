@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from weftline.llm import encoding, lines, lm, ngram_join, packing, quality, sharding, spotsigs, substrings, urls
 
@@ -205,6 +206,8 @@ def test_sharding(spark, messy, empty):
         if r.doc_id is not None:
             raw = (DOCS[r.doc_id] or "").encode()
             assert (r.size, r.text_crc32) == (len(raw) + 8, zlib.crc32(raw))
+            h = xxhash.xxh64_intdigest(str(r.doc_id).encode(), seed=42)
+            assert (r.shard, r.grown_shard) == (jump(h, 24), jump(h, 25))
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert sharding.assign_shards(empty).count() == 0
 

@@ -66,6 +66,15 @@ def in_pieces(texts: list, limit: int = 2_000_000):
             first, size = k + 1, 0
 
 
+def give_back() -> None:
+    """Hand free memory of this Python worker back to the system, which a worker that lives on would keep."""
+    import ctypes
+
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_slices(batch, column: str, limit: int = 4_000_000):
     """Slices of an Arrow batch with about ``limit`` bytes in one of its columns each, so that few of its values become Python objects at once."""
     import pyarrow.compute as pc

@@ -35,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.bytewise import in_pieces, in_slices, mix, word_hashes
+from weftline.llm.bytewise import give_back, in_pieces, in_slices, mix, word_hashes
 from weftline.llm.components import components
 from weftline.llm.shared import BROADCAST_BYTES, documents, forget, join_small, materialize, stored
 
@@ -208,6 +208,8 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int, DataF
         for k in range(0, len(at), 100_000):
             x = at[k : k + 100_000]
             yield counts(x, count[x])
+        del count
+        give_back()
 
     names = ["b", "c", "id", "q", "r"]
     # Counts of shingles have a value b, texts have none and their number of words as c.
@@ -319,6 +321,7 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                         ends = np.concatenate([cut[1:], [len(to)]])
                         yield rows(len(cut), kind=pa.array(np.full(len(cut), SIGNATURES, np.int32)), p=pa.array(to[cut].astype(np.int32)), node=pa.array(np.full(len(cut), prefix)), **{c: pa.array([x[i:j].tobytes() for i, j in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("sigs", raw), ("locals", local))})
                     prefix += 1 << 16
+        give_back()
 
     return docs.toDF("_id", "_t").mapInArrow(run, _MAP)
 
@@ -377,6 +380,8 @@ def _pairs_of_group(table):
         if ma:
             member = np.unique(np.stack([np.concatenate(ma), np.concatenate(mb)], 1), axis=0)
             out.append(made(MEMBER, member[:, 0], member[:, 1]))
+        del sig, node, order, new, size, a, b, ma, mb, sets_seen
+        give_back()
     return pa.concat_tables(out)
 
 

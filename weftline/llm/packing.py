@@ -32,6 +32,7 @@ from unicodedata import is_normalized
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
+from weftline.llm.bytewise import give_back
 from weftline.llm.encoding import PIECE_CHARS, word_vocabulary
 from weftline.llm.shared import documents
 
@@ -173,8 +174,11 @@ def in_powers(length: int, window: int) -> list[int]:
     return bits if window - length > (len(bits) - 1) * INSIDE_PENALTY else [length]
 
 
-def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 4096, vocabulary_path: str | None = None, digest: bool = False, memo: int = MEMO_CHUNKS) -> DataFrame:
-    """One row per piece of a document: key, start, length, doc_tokens, sequence_id, offset, and ids (with ``digest`` ids_crc32)."""
+def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 4096, vocabulary_path: str | None = None, digest: bool = False, memo: int = MEMO_CHUNKS, keep_memo: bool = True) -> DataFrame:
+    """One row per piece of a document: key, start, length, doc_tokens, sequence_id, offset, and ids (with ``digest`` ids_crc32).
+
+    Without ``keep_memo`` a task forgets what it remembers when it ends, so that its worker's next work has the memory.
+    """
     kind = dict(docs.dtypes)[key]
     last = "ids_crc32 long" if digest else "ids array<int>"
 
@@ -230,6 +234,10 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                     yield out
         if len(ids) and (out := settle(True)) is not None:
             yield out
+        if not keep_memo:
+            del words
+            word_ids.cache_clear()
+            give_back()
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, {last}")
 

@@ -62,7 +62,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], aggregates: dict[s
 
 def shifted(df: DataFrame, keys: list[str], order: list[str], values: dict[str, tuple[Column, int]], ranges: int | None = None) -> DataFrame:
     """LAG (positive steps) and LEAD (negative): rows meet by their number, whatever range they lie in."""
-    numbered, _ = scratch.written(running(df, keys, order, {"_n": ("count", F.lit(1))}, ranges), "numbered")
+    with scratch.passing(df.sparkSession) as stays:
+        numbered = stays(scratch.written(running(df, keys, order, {"_n": ("count", F.lit(1))}, ranges), "numbered")[0])
     out = numbered
     for name, (value, steps) in values.items():
         other = numbered.select(*keys, (F.col("_n") + steps).alias("_n"), value.alias(name))

@@ -83,7 +83,9 @@ def analyze(reg: DataFrame, metadata: DataFrame, before: Snapshot | None = None,
     """
     todo = batch.changed(reg) if only is None else batch.changed(reg).filter(only)
     keep = [*KEY, "definition_text", "definition_hash", "result", "failure_stage", "metadata_bytes", "has_absent_source", "has_uncollected_source"]
-    analyzed, summary = reports.counted(batch.run(todo, metadata, "script_variables", tables).select(*keep))
+    with scratch.passing(reg.sparkSession) as stays:
+        analyzed, summary = reports.counted(batch.run(todo, metadata, "script_variables", tables).select(*keep))
+        stays(analyzed)
     ok = batch.publishable(analyzed)
     done = analyzed.select(*KEY, F.col("definition_hash").alias("_hash"), ok.alias("_ok"))
     reg = reg.join(done, KEY, "left")
@@ -134,7 +136,8 @@ def analyze_changed(before: Snapshot, metadata: DataFrame, max_rank: int = 100,
 
 def inspect(definition: DataFrame, metadata: DataFrame, tables: DataFrame | None = None) -> dict[str, DataFrame]:
     """Definitions analysed for a look, nothing published: status, diagnostics, outputs and paths."""
-    a, _ = reports.counted(batch.run(definition, metadata, None, tables), "look")
+    with scratch.passing(definition.sparkSession) as stays:
+        a = stays(reports.counted(batch.run(definition, metadata, None, tables), "look")[0])
     status = a.select(*KEY, F.col("result.status").alias("status"), "failure_stage", batch.publishable(a).alias("is_publishable"), *[F.size(f"result.{p}").alias(f"n_{p}") for p in ("outputs", "paths", "usages", "diagnostics")])
     return {"status": status} | {p: explode_result(a.select(*KEY, "result"), p) for p in ("diagnostics", "outputs", "paths")}
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +50,9 @@ def written(df: DataFrame, name: str = "t") -> tuple[DataFrame, str]:
     """``df`` written once and read back, and where it lies."""
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out, path
 
 
 def forget(spark: SparkSession, *paths: str) -> None:
@@ -58,6 +62,19 @@ def forget(spark: SparkSession, *paths: str) -> None:
         _made[:] = [x for x in _made if x[1] != path]
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside go at the end, but for those (``written``) that are handed to what this gives."""
+    before, kept = {path for _, path in _made}, set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._stored_at)
+        return df
+
+    yield keep
+    forget(spark, *[path for _, path in _made if path not in before and path not in kept])
+
+
 def _release() -> None:
     for spark, path in list(_made):
         try:

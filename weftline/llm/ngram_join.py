@@ -449,6 +449,8 @@ def _links(docs: DataFrame, possible: DataFrame, width: int, num: int, den: int,
         for i, j in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
             out.append(any(_similar(p, q, num, den) for p in sets[i] for q in sets[j]))
         keep = pa.array(out, pa.bool_())
+        del sets, own, texts
+        give_back()
         return pa.table({c: pairs.column(c).filter(keep) for c in "ab"})
 
     found = x.groupBy("block").cogroup(texts.select("block", "_i", "_t").groupBy("block")).applyInArrow(run, "a long, b long")

@@ -571,7 +571,7 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return out
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100) -> DataFrame:
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, num: int = 75, den: int = 100, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
     """key, n_shingles, component_id (least key reachable by links of similarity num / den)."""
     every = docs.select(F.col(key), F.col(text))
     spark = docs.sparkSession
@@ -583,7 +583,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
         docs = docs.sortWithinPartitions(key, text)
     common = spark.sparkContext.broadcast(bits)
     # A group is one task's table, so their number follows the shingles that were counted.  More would only find the same pairs again.
-    groups = 1 + shingles // GROUP_SHINGLES
+    groups = 1 + shingles // group_shingles
     rows = materialize(_signature_rows(docs, groups, width, num, den, common).groupBy("p").applyInArrow(_pairs_of_group, _OUT), "pairs")
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")

@@ -10,10 +10,10 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftline.dialect.lineage import Catalog, analyze, discover_sources
-from weftline.dialect.tokens import LexError, declared, fingerprint, tokenize
+from weftline.dialect.tokens import MARKS, LexError, Masked, declared, fingerprint, mask, tokenize
 
 IDENTITY = ["object_project", "object_dataset", "object_name", "object_type"]
 COLUMNS_TYPE = "array<struct<project_id:string,dataset_id:string,table_name:string,column_name:string,field_path:string,ordinal_position:int>>"
@@ -50,19 +50,22 @@ def _rows(value, kind: T.DataType):
     return value
 
 
-def analyze_definitions(definitions: DataFrame, sql: str = "definition_text", columns: str | None = "columns", variables: str | None = None, target: dict | None = None) -> DataFrame:
-    """``definitions`` with ``result``: everything the analyzer tells about each statement (null text: PARTIAL_FAILURE)."""
+def analyze_definitions(definitions: DataFrame, sql: str = "definition_text", columns: str | None = "columns", variables: str | None = None, target: dict | None = None, masked: str | None = None) -> DataFrame:
+    """``definitions`` with ``result``: everything the analyzer tells about each statement (null text: PARTIAL_FAILURE).
+
+    ``masked`` is a column that says which texts are shapes (``shape_column``); their results have marks where the numbers stood (``unmasked``).
+    """
     @F.pandas_udf(RESULT)
-    def run(text: pd.Series, cols: pd.Series, names: pd.Series) -> pd.DataFrame:
+    def run(text: pd.Series, cols: pd.Series, names: pd.Series, shape: pd.Series) -> pd.DataFrame:
         out = []
-        for t, c, n in zip(text, cols, names, strict=True):
+        for t, c, n, m in zip(text, cols, names, shape, strict=True):
             rows = [dict(r) for r in c] if c is not None else []
-            out.append(_rows(analyze(t, Catalog(rows), n if n is not None else (), target), RESULT))
+            out.append(_rows(analyze(Masked(t) if m and t is not None else t, Catalog(rows), n if n is not None else (), target), RESULT))
         return pd.DataFrame(out, columns=RESULT.names)
 
     c = F.col(columns) if columns else F.array().cast(COLUMNS_TYPE)
     v = F.col(variables) if variables else F.array().cast("array<string>")
-    return definitions.withColumn("result", run(F.col(sql), c, v))
+    return definitions.withColumn("result", run(F.col(sql), c, v, F.col(masked) if masked else F.lit(False)))
 
 
 def fingerprint_column(sql: str):
@@ -89,15 +92,40 @@ def tokens_column(sql: str):
     return run(F.col(sql))
 
 
-def sources_column(sql: str):
-    """Lower-case names of the physical tables that each statement reads; null for a statement that cannot be read."""
+def sources_column(sql: str, masked: str | None = None):
+    """Lower-case names of the physical tables that each statement (or shape, where ``masked`` says so) reads; null for a statement that cannot be read."""
     @F.pandas_udf("array<string>")
-    def run(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: discover_sources(t) if t is not None else None)
+    def run(text: pd.Series, shape: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else discover_sources(Masked(t) if m else t) for t, m in zip(text, shape, strict=True)], dtype=object)
+
+    return run(F.col(sql), F.col(masked) if masked else F.lit(False))
+
+
+def shape_column(sql: str):
+    """The shape of each statement, and the numbers that stand for its marks with a space between (empty: the shape is the statement)."""
+    @F.pandas_udf("shape string, numbers string")
+    def run(text: pd.Series) -> pd.DataFrame:
+        both = [mask(t) for t in text]
+        return pd.DataFrame({"shape": [s for s, _ in both], "numbers": [" ".join(n) for _, n in both]}, dtype=object)
 
     return run(F.col(sql))
 
 
+def unmasked(result: Column, numbers: Column) -> Column:
+    """The result of a shape as that of the statement with these ``numbers`` (``shape_column``): they stand in the texts cut out of it."""
+    pairs = F.transform(F.split(numbers, " "), lambda n, k: F.struct(F.repeat(F.substring(F.lit(MARKS), k + 1, F.lit(1)), F.length(n)).alias("mark"), n.alias("number")))
+
+    def part(name: str, kind: T.DataType) -> Column:
+        text = {"outputs": "expression", "usages": "line_text", "diagnostics": "message"}.get(name)
+        if text is None:
+            return result[name].alias(name)
+        whole = lambda x: F.aggregate(pairs, x[text], lambda t, p: F.replace(t, p["mark"], p["number"]))
+        filled = F.transform(result[name], lambda x: F.struct(*[(whole(x) if f == text else x[f]).alias(f) for f in kind.elementType.names]))
+        return F.when(numbers == "", result[name]).otherwise(filled).alias(name)
+
+    return F.struct(*[part(f.name, f.dataType) for f in RESULT.fields])
+
+
 def variables_column(sql: str):
     """Lower-case names of the variables that each script declares."""
     @F.pandas_udf("array<string>")

@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.functions.analysis import analyze_definitions, explode_result, sources_column
+from weftline.functions.analysis import analyze_definitions, explode_result, shape_column, sources_column, unmasked
 from weftline.sources import scratch
 
 OBJECT = ["object_project", "object_dataset", "object_name", "object_type"]
 MAX_METADATA = 900_000
+#: Results of shapes are sent to all tasks if they were written in at most so many bytes.
+BROADCAST_BYTES = 2 << 20
 
 
 def changed(registry: DataFrame) -> DataFrame:
@@ -52,8 +54,8 @@ def match_names(names: DataFrame, known: DataFrame) -> DataFrame:
 FIELDS = ["project_id", "dataset_id", "table_name", "column_name", "field_path", "ordinal_position"]
 
 
-def with_sources(definitions: DataFrame, metadata: DataFrame | Callable[[DataFrame], DataFrame], tables: DataFrame | None = None) -> DataFrame:
-    """Definitions with what their statements read, each statement read once.
+def with_sources(definitions: DataFrame, metadata: DataFrame | Callable[[DataFrame], DataFrame], tables: DataFrame | None = None, key: list[str] = OBJECT, masked: str | None = None) -> DataFrame:
+    """Definitions (identified by ``key``) with what their statements read, each statement read once.
 
     ``metadata`` is a table, or a function that reads it for the datasets (project_id, dataset_id) that statements name; it then
     needs ``tables``.
@@ -63,36 +65,47 @@ def with_sources(definitions: DataFrame, metadata: DataFrame | Callable[[DataFra
     ``has_uncollected_source`` that one is there without metadata.
     """
     spark = definitions.sparkSession
-    refs, _ = scratch.written(definitions.select(*OBJECT, sources_column("definition_text").alias("referenced")), "sources")
-    named = refs.select(*OBJECT, F.explode("referenced").alias("name")).distinct()
+    refs, _ = scratch.written(definitions.select(*key, sources_column("definition_text", masked).alias("referenced")), "sources")
+    named = refs.select(*key, F.explode("referenced").alias("name")).distinct()
     if callable(metadata):
         named_in, _ = scratch.written(match_names(named, _known(tables, tables)).select("project_id", "dataset_id").distinct(), "datasets")
         metadata, _ = scratch.written(metadata(named_in), "metadata")
     known = _known(tables if tables is not None else metadata, metadata)
     hits, _ = scratch.written(match_names(named, known), "matches")
     state = hits.groupBy("name").agg(F.bool_or("collected").alias("collected"))
-    flags = named.join(state, "name", "left").groupBy(*OBJECT).agg(F.bool_or(F.col("collected").isNull()).alias("has_absent_source"), F.bool_or(~F.col("collected")).alias("has_uncollected_source"))
+    flags = named.join(state, "name", "left").groupBy(*key).agg(F.bool_or(F.col("collected").isNull()).alias("has_absent_source"), F.bool_or(~F.col("collected")).alias("has_uncollected_source"))
     flags = flags.withColumn("has_uncollected_source", F.coalesce("has_uncollected_source", F.lit(False)))
     # Only tables that statements name are read from the metadata; a shard's columns go under the last part of its pattern.
     own = hits.filter("collected").withColumn("_as", F.when(F.col("name").contains("*"), F.substring_index("name", ".", -1)))
     cols = metadata.select(*FIELDS).join(own, ["project_id", "dataset_id", "table_name"]).withColumn("table_name", F.coalesce("_as", "table_name"))
-    cols = named.join(cols, "name").select(*OBJECT, F.struct("ordinal_position", *[c for c in FIELDS if c != "ordinal_position"]).alias("c"))
-    cols = cols.groupBy(*OBJECT).agg(F.array_sort(F.collect_set("c")).alias("c")).withColumn("columns", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in FIELDS]))).drop("c")
-    out = definitions.join(refs, OBJECT, "left").join(flags, OBJECT, "left").join(cols, OBJECT, "left")
+    cols = named.join(cols, "name").select(*key, F.struct("ordinal_position", *[c for c in FIELDS if c != "ordinal_position"]).alias("c"))
+    cols = cols.groupBy(*key).agg(F.array_sort(F.collect_set("c")).alias("c")).withColumn("columns", F.transform("c", lambda x: F.struct(*[x[f].alias(f) for f in FIELDS]))).drop("c")
+    out = definitions.join(refs, key, "left").join(flags, key, "left").join(cols, key, "left")
     return out.withColumn("metadata_bytes", F.coalesce(F.octet_length(F.to_json("columns")), F.lit(0)))
 
 
 def run(definitions: DataFrame, metadata: DataFrame | Callable[[DataFrame], DataFrame], variables: str | None = None, tables: DataFrame | None = None, max_metadata: int = MAX_METADATA) -> DataFrame:
     """Analyzed definitions with ``failure_stage`` and the flags of their sources.
 
+    Statements that differ in literal numbers only have one shape, which is analysed once for all of them; each definition
+    then gets its shape's results, with its own numbers in them.
+
     A statement whose sources cannot be told is marked SOURCE_DISCOVERY; one with more metadata
     than a statement may have METADATA_TOO_LARGE, and is not analysed.
     """
-    d = with_sources(definitions, metadata, tables)
+    shaped = definitions.withColumn("_shape", shape_column("definition_text")).withColumns({"_text": F.col("_shape.shape"), "_numbers": F.col("_shape.numbers"), "_masked": F.col("_shape.numbers") != "", "_variables": F.col(variables) if variables else F.array().cast("array<string>")}).drop("_shape")
+    shapes = ["_text", "_masked", "_variables"]
+    d, _ = scratch.written(shaped.select(*shapes).distinct().withColumn("_id", F.monotonically_increasing_id()).withColumnRenamed("_text", "definition_text"), "shapes")
+    d = with_sources(d, metadata, tables, ["_id"], "_masked")
     stage = F.when(F.col("definition_text").isNotNull() & F.col("referenced").isNull(), "SOURCE_DISCOVERY").when(F.col("metadata_bytes") >= max_metadata, "METADATA_TOO_LARGE")
     large = F.coalesce(F.col("failure_stage") == "METADATA_TOO_LARGE", F.lit(False))
     d = d.withColumn("failure_stage", stage).withColumn("_sql", F.when(~large, F.col("definition_text"))).withColumn("columns", F.when(~large, F.col("columns")))
-    return analyze_definitions(d, sql="_sql", variables=variables).drop("_sql")
+    d = analyze_definitions(d, sql="_sql", variables="_variables", masked="_masked").drop("_sql", "_id")
+    d, at = scratch.written(d.withColumnsRenamed({"definition_text": "_s_text", "_masked": "_s_masked", "_variables": "_s_variables"}), "results")
+    d = F.broadcast(d) if scratch.size_of(d.sparkSession, at) <= BROADCAST_BYTES else d.hint("merge")
+    same = [F.col(c).eqNullSafe(F.col(c.replace("_", "_s_", 1))) for c in shapes]
+    out = shaped.join(d, same[0] & same[1] & same[2], "left")
+    return out.withColumn("result", unmasked(F.col("result"), F.col("_numbers"))).drop(*shapes, *[c.replace("_", "_s_", 1) for c in shapes], "_numbers")
 
 
 def publishable(analyzed: DataFrame) -> Column:
@@ -142,15 +155,15 @@ def usages(analyzed: DataFrame) -> DataFrame:
 def diagnostics(analyzed: DataFrame) -> DataFrame:
     """Diagnostics of definitions that are not published, and one that says why: where the analysis stopped, or its status."""
     bad = analyzed.filter(~publishable(analyzed))
-    own = explode_result(bad, "diagnostics").select(*OBJECT, "severity", "code", "line", "column", "message")
     none = F.lit(None).cast("int")
     object_ = F.concat_ws(".", *OBJECT[:3])
     text = F.format_string("status %s", F.col("result.status"))
     if "failure_stage" in analyzed.columns:
         size = F.format_string("%s reads tables with %d bytes of column metadata, more than a statement may have", object_, F.col("metadata_bytes")) if "metadata_bytes" in analyzed.columns else object_
         text = F.when(F.col("failure_stage") == "SOURCE_DISCOVERY", F.format_string("the sources of %s cannot be told", object_)).when(F.col("failure_stage") == "METADATA_TOO_LARGE", size).otherwise(text)
-    said = bad.select(*OBJECT, F.lit("ERROR").alias("severity"), F.lit("UDF_RESULT_NOT_PUBLISHABLE").alias("code"), none.alias("line"), none.alias("column"), text.alias("message"))
-    return own.unionByName(said)
+    said = F.struct(F.lit("ERROR").alias("severity"), F.lit("UDF_RESULT_NOT_PUBLISHABLE").alias("code"), none.alias("line"), none.alias("column"), text.alias("message"))
+    # One row each, so that the definitions are gone through once.
+    return bad.select(*OBJECT, F.explode(F.concat("result.diagnostics", F.array(said))).alias("_x")).select(*OBJECT, "_x.*")
 
 
 def publish(old: DataFrame, new: DataFrame, analyzed: DataFrame) -> DataFrame:

@@ -80,6 +80,9 @@ def test_scripts(spark):
     rows = lambda checks: sorted(tuple(r) for r in script.switch(spark, {1: old, 2: new}, 1, 2, checks).collect())
     assert rows({"v": "v = 2"}) == [(k, 2, "published") for k in range(3)]
     assert rows({"v": "v = 2", "it's": "id < 2"}) == [(k, 1, "rolled back") for k in range(2)]
+    # The rows stay with the executors: what comes back is a plan over them, not rows that the driver holds.
+    plan = script.switch(spark, {1: old, 2: new}, 1, 2, {"v": "v = 2"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "Range" in plan
     spark.range(4).createOrReplaceTempView("four")
     assert tuple(script.each(spark, "four", "id", "SELECT assert_true(:k <> 2, 'it is two')").first()) == (3, 1)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SWITCH = """
 BEGIN
@@ -17,14 +17,17 @@ BEGIN
     SET current = {new};
     {checks}
   END;
-  SELECT *, outcome AS outcome FROM {view} WHERE _version = current;
+  SELECT current AS version, outcome AS outcome;
 END
 """
 CHECK = "IF (SELECT count(*) FROM {view} WHERE _version = current AND NOT ({rule})) > 0 THEN SELECT raise_error('{name}'); END IF;"
 
 
 def switch(spark: SparkSession, versions: dict[int, DataFrame], old: int, new: int, checks: dict[str, str], view: str = "versions") -> DataFrame:
-    """The rows that are current after a try to go from one version to another: a rule that a row of the new one breaks brings the old one back."""
+    """The rows that are current after a try to go from one version to another: a rule that a row of the new one breaks brings the old one back.
+
+    The script itself gives one row, as the driver holds what a script gives; the rows are read by their version after it.
+    """
     both = None
     for number, df in versions.items():
         df.createOrReplaceTempView(f"{view}_{number}")
@@ -32,7 +35,8 @@ def switch(spark: SparkSession, versions: dict[int, DataFrame], old: int, new: i
         both = own if both is None else both.unionByName(own)
     both.createOrReplaceTempView(view)
     lines = "\n    ".join(CHECK.format(view=view, rule=rule, name=name.replace("'", "''")) for name, rule in checks.items())
-    return spark.sql(SWITCH.format(old=int(old), new=int(new), view=view, checks=lines)).drop("_version")
+    end = spark.sql(SWITCH.format(old=int(old), new=int(new), view=view, checks=lines)).first()
+    return versions[end.version].withColumn("outcome", F.lit(end.outcome))
 
 
 EACH = """

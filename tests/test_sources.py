@@ -48,6 +48,26 @@ def test_only_wanted_datasets_are_opened(spark, root):
     os.remove(f"{root}/z/broken/bad.parquet")
 
 
+def test_one_dataset_is_read_without_listing_what_lies_above(spark, root, monkeypatch):
+    """Its folder is named as it is; folders above it may be closed to listing, and the name's case is kept."""
+    own = os.scandir
+    reader = catalog.CatalogReader(root, "columns", "P", "D1")
+    monkeypatch.setattr(os, "scandir", lambda at: own(at) if "/P/D1" in str(at) else (_ for _ in ()).throw(PermissionError(at)))
+    assert [r[:3] for p in reader.partitions() for r in reader.read(p)][0] == ("p", "d1", "t")
+    monkeypatch.undo()
+    assert catalog.read(spark, root, "columns", "P", "D1").count() == 7
+    with pytest.raises(Exception, match="nosuch"):
+        catalog.read(spark, root, "columns", "P", "nosuch").collect()
+
+
+def test_a_dataset_in_a_store_that_only_spark_reads(spark, root):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.store.link./in", f"file://{root}")
+    rows = lambda at, **more: {tuple(r) for r in catalog.dataset_columns(spark, at).collect()}
+    assert rows("viewfs://store/in/P/D1") == rows(f"{root}/P/D1") == rows(f"file://{root}/P/D1/")
+    assert {r[:3] for r in rows("viewfs://store/in/P/D1")} == {("p", "d1", "t")}
+
+
 def test_daily_run_over_a_catalog(spark, root):
     """Columns are read of named datasets alone: the dataset with a broken table is not opened."""
     os.makedirs(f"{root}/q/broken", exist_ok=True)

@@ -437,9 +437,7 @@ def age_out_ephemeral(spark, sf_dir):
 @query("SELECT table_name, column_name, ordinal_position::INTEGER AS ordinal_position FROM information_schema.columns WHERE table_schema = 'main' AND table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')")
 def catalog_columns(spark, sf_dir):
     """Columns of all tables of the dataset that the given folder is, from their footers; other datasets beside it are not opened."""
-    root, project, dataset = sf_dir.rstrip("/").rsplit("/", 2)
-    c = catalogs.read(spark, root or "/", "columns")
-    return c.filter((c.project_id == project.lower()) & (c.dataset_id == dataset.lower())).select("table_name", "column_name", "ordinal_position")
+    return catalogs.dataset_columns(spark, sf_dir).select("table_name", "column_name", "ordinal_position")
 
 
 @query("SELECT o_orderkey, 'e' || strftime(o_orderdate, '%Y%m') AS shard FROM orders WHERE strftime(o_orderdate, '%Y%m') BETWEEN '199503' AND '199602' OR strftime(o_orderdate, '%Y%m') = '199701'")

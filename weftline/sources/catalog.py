@@ -10,8 +10,10 @@ The layout is ``root/project/dataset/<table>.parquet`` (a file or a folder), ``<
 
 Each dataset is a partition of its own, read by one task: listing, footers and texts are no work of the driver.
 Equality and IN filters on the project and the dataset are taken over, so that other datasets are not
-opened; those on the table's name keep its files closed.  The executors must reach ``root`` as a path of
-their file system (a mount); tables in a store that only Spark reads are described by ``readers.metadata``.
+opened; those on the table's name keep its files closed.  Options ``project`` and ``dataset`` name the folder of one dataset as it is,
+and nothing above that folder is listed.  The executors must reach ``root`` as a path of
+their file system (a mount); tables in a store that only Spark reads are described by ``readers.metadata``, which
+``dataset_columns`` does for such a path.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
 
+from weftline.sources.readers import metadata
+from weftline.sources.scratch import file_system
+
 PARTS = {
     "datasets": "project_id string, dataset_id string",
     "tables": "project_id string, dataset_id string, table_name string, table_type string, expiration_timestamp timestamp",
@@ -71,8 +76,8 @@ def _fields(schema, prefix: str = "") -> Iterator[tuple[str, str, str]]:
 
 
 class CatalogReader(DataSourceReader):
-    def __init__(self, root: str, part: str):
-        self.root, self.part = root, part
+    def __init__(self, root: str, part: str, project: str | None = None, dataset: str | None = None):
+        self.root, self.part, self.folders = root, part, (project, dataset)
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters):  # noqa: N802
@@ -89,8 +94,8 @@ class CatalogReader(DataSourceReader):
         return sorted(n for n in names if place not in self.wanted or n.lower() in self.wanted[place])
 
     def partitions(self):
-        folders = lambda at: [e.name for e in os.scandir(at) if e.is_dir() and not e.name.startswith((".", "_"))]
-        return [Dataset(p, d) for p in self._named(0, folders(self.root)) for d in self._named(1, folders(f"{self.root}/{p}"))]
+        folders = lambda at, own: [own] if own else [e.name for e in os.scandir(at) if e.is_dir() and not e.name.startswith((".", "_"))]
+        return [Dataset(p, d) for p in self._named(0, folders(self.root, self.folders[0])) for d in self._named(1, folders(f"{self.root}/{p}", self.folders[1]))]
 
     def read(self, partition: Dataset):
         at, address = f"{self.root}/{partition.project}/{partition.dataset}", (partition.project.lower(), partition.dataset.lower())
@@ -138,14 +143,25 @@ class Catalog(DataSource):
         return PARTS[self.options["part"]]
 
     def reader(self, schema):
-        return CatalogReader(self.options["root"].removeprefix("file://"), self.options["part"])
+        return CatalogReader(self.options["root"].removeprefix("file://"), self.options["part"], self.options.get("project"), self.options.get("dataset"))
 
 
-def read(spark: SparkSession, root: str, part: str) -> DataFrame:
-    """One part of a catalog.  Filters are handed to the source."""
+def read(spark: SparkSession, root: str, part: str, project: str | None = None, dataset: str | None = None) -> DataFrame:
+    """One part of a catalog, of one dataset if its folders are named.  Filters are handed to the source."""
     spark.dataSource.register(Catalog)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("weftline_catalog").option("root", root).option("part", part).load()
+    named = {k: v for k, v in (("project", project), ("dataset", dataset)) if v}
+    return spark.read.format("weftline_catalog").option("root", root).option("part", part).options(**named).load()
+
+
+def dataset_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns of the tables in a dataset's folder: by the source where it is a path of a file system, else as Spark's own reader tells them."""
+    root, project, dataset = folder.rstrip("/").rsplit("/", 2)
+    if "://" not in folder or folder.startswith("file://"):
+        return read(spark, root or "/", "columns", project, dataset)
+    fs, p = file_system(spark, f"{folder.rstrip('/')}/*.parquet")
+    tables = {str(s.getPath().getName()).removesuffix(".parquet"): str(s.getPath()) for s in fs.globStatus(p) or []}
+    return metadata(spark, {n.lower(): spark.read.parquet(at) for n, at in sorted(tables.items())}, project.lower(), dataset.lower())
 
 
 def referenced_columns(spark: SparkSession, root: str, names: DataFrame) -> DataFrame:

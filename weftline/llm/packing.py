@@ -43,6 +43,8 @@ SEGMENT_TOKENS = 262_144
 #: Blank-free chunks that a Python worker remembers (some 200 bytes each); it starts anew beyond.
 MEMO_CHUNKS = 800_000
 SENTENCE_END = frozenset(".!?…。！？")
+#: A word that is one token, put between words so that many are encoded as one text, and how many those are.
+BETWEEN, TOGETHER = "|", 512
 
 
 def chunks(text: str) -> list[str]:
@@ -58,6 +60,8 @@ def simple(chunk: str) -> tuple[str, ...]:
     """A chunk as its lower-case word of letters and the stop or comma after it, or as it is."""
     word, mark = (chunk[:-1], chunk[-1:]) if chunk[-1] in ".," else (chunk, "")
     low = word.lower()
+    if word.isascii() and word.isalpha():
+        return (low, mark) if mark else (low,)
     # Letters that come apart when normalised or lowered would join the mark.
     if not word.isalpha() or not low.isalpha() or "\u03a3" in word or not is_normalized("NFC", word):
         return (chunk,)
@@ -83,22 +87,51 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        between = self.library.encode(BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
         self.clear()
 
     def clear(self) -> None:
         self.at = Numbers({"": 0})
         self.flat, self.begin, self.size, self.stop = np.array([END_ID], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, bool)
 
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has; many words are one text, parted by a word that is one token."""
+        groups = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)] if self.between is not None else []
+        texts = self.library.encode_batch_fast([f" {BETWEEN} ".join(g) for g in groups], add_special_tokens=False)
+        ids, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for g, text in zip(groups, texts, strict=True):
+            every = np.array(text.ids, np.uint32)
+            cut = np.flatnonzero(every == self.between)
+            if len(cut) == len(g) - 1:
+                ids.append(np.delete(every, cut))
+                sizes.append(np.diff(np.concatenate([[-1], cut, [len(every)]])) - 1)
+            else:  # a word has that token too
+                self.apart(g, ids, sizes)
+        if not groups:
+            self.apart(words, ids, sizes)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def apart(self, words: list[str], ids: list[np.ndarray], sizes: list[np.ndarray]) -> None:
+        own = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        ids.append(np.fromiter(chain.from_iterable(own), np.uint32))
+        sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+
     def learn(self, new: list[str]) -> None:
         """Ids of chunks that were numbered since the last call."""
         # A word of letters and one mark after it are tokens apart: such chunks have the word's ids.
         plain = [simple(c) for c in new]
-        one = list(dict.fromkeys(chain.from_iterable(plain)))
-        ids = dict(zip(one, (e.ids for e in self.library.encode_batch_fast(one, add_special_tokens=False)), strict=True))
-        got = [ids[x[0]] if len(x) == 1 else ids[x[0]] + ids[x[1]] for x in plain]
-        size = np.fromiter(map(len, got), np.int64, len(got))
+        number = Numbers()
+        parts = np.fromiter(map(number.__getitem__, chain.from_iterable(plain)), np.int64)
+        ids, sizes = self.ids_of(list(number))
+        own = sizes[parts]
+        after = np.cumsum(own)
+        start = (np.cumsum(sizes) - sizes)[parts]
+        got = ids[np.arange(after[-1]) + np.repeat(start - after + own, own)]
+        count = np.fromiter(map(len, plain), np.int64, len(plain))
+        size = np.add.reduceat(own, np.cumsum(count) - count)
         begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])
+        self.flat = np.concatenate([self.flat, got])
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.stop = np.concatenate([self.stop, np.fromiter((w[-1] in SENTENCE_END for w in new), bool, len(new))])
 

@@ -58,6 +58,47 @@ def test_run_and_empty(spark):
         assert stage(spark, docs, DIR).count() == 0
 
 
+def test_workers_get_small_batches(spark):
+    """However long documents are, few megabytes of them are in a worker at once."""
+    import corpus_pipeline as C
+    from pyspark.sql import functions as F
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    for _, stage in C.STAGES[2:]:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs, DIR)
+        long = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("x"), 2000).alias("text"))
+        assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) < C.BATCH_BYTES + 100_000
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_memory_goes_back_when_variables_are_gone(monkeypatch):
+    """A task's last batch and what was made of it are not held while free memory is handed back."""
+    import weakref
+
+    from weftline.llm import bytewise
+
+    class Batch:
+        pass
+
+    made, held = [], []
+
+    def run(batches):
+        for b in batches:
+            last = Batch()
+            yield b
+        made.append(weakref.ref(last))
+
+    monkeypatch.setattr(bytewise, "give_back", lambda: held.append(made[0]() is not None))
+    assert list(bytewise.giving_back(run)([1, 2])) == [1, 2] and held == [False]
+
+
 @pytest.mark.parametrize("name", ["op1_host_rules", "op7_host_reputation", "op10_line_dedup", "op11_drake_bounds", "op12_partial_distance"])
 def test_queries_with_sql(spark, name):
     from weftline.llm import queries as q

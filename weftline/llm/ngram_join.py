@@ -35,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.bytewise import give_back, in_pieces, in_slices, mix, word_hashes
+from weftline.llm.bytewise import give_back, giving_back, in_pieces, in_slices, mix, word_hashes
 from weftline.llm.components import components
 from weftline.llm.shared import BROADCAST_BYTES, documents, forget, join_small, materialize, stored
 
@@ -208,12 +208,10 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, int, DataF
         for k in range(0, len(at), 100_000):
             x = at[k : k + 100_000]
             yield counts(x, count[x])
-        del count
-        give_back()
 
     names = ["b", "c", "id", "q", "r"]
     # Counts of shingles have a value b, texts have none and their number of words as c.
-    read = materialize(docs.toDF("_id", "_t").mapInArrow(run, "b int, c long, id long, q long, r long"), "read")
+    read = materialize(docs.toDF("_id", "_t").mapInArrow(giving_back(run), "b int, c long, id long, q long, r long"), "read")
     total = materialize(read.filter("b IS NOT NULL").groupBy("b").agg(F.sum("c").alias("c")), "counts")
     told = total.agg(F.sum(F.when(F.col("b") >= 0, F.col("c"))).alias("often"), F.sum(F.when(F.col("b") < 0, F.col("c"))).alias("all")).first()
     mean = (told["often"] or 0) / (1 << COUNT_BITS)
@@ -321,9 +319,8 @@ def _signature_rows(docs: DataFrame, groups: int, width: int, num: int, den: int
                         ends = np.concatenate([cut[1:], [len(to)]])
                         yield rows(len(cut), kind=pa.array(np.full(len(cut), SIGNATURES, np.int32)), p=pa.array(to[cut].astype(np.int32)), node=pa.array(np.full(len(cut), prefix)), **{c: pa.array([x[i:j].tobytes() for i, j in zip(cut, ends, strict=True)], pa.binary()) for c, x in (("sigs", raw), ("locals", local))})
                     prefix += 1 << 16
-        give_back()
 
-    return docs.toDF("_id", "_t").mapInArrow(run, _MAP)
+    return docs.toDF("_id", "_t").mapInArrow(giving_back(run), _MAP)
 
 
 def _pairs_of_group(table):
@@ -380,8 +377,6 @@ def _pairs_of_group(table):
         if ma:
             member = np.unique(np.stack([np.concatenate(ma), np.concatenate(mb)], 1), axis=0)
             out.append(made(MEMBER, member[:, 0], member[:, 1]))
-        del sig, node, order, new, size, a, b, ma, mb, sets_seen
-        give_back()
     return pa.concat_tables(out)
 
 
@@ -584,7 +579,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     common = spark.sparkContext.broadcast(bits)
     # A group is one task's table, so their number follows the shingles that were counted.  More would only find the same pairs again.
     groups = 1 + shingles // group_shingles
-    rows = materialize(_signature_rows(docs, groups, width, num, den, common).groupBy("p").applyInArrow(_pairs_of_group, _OUT), "pairs")
+    rows = materialize(_signature_rows(docs, groups, width, num, den, common).groupBy("p").applyInArrow(lambda t: give_back(_pairs_of_group(t)), _OUT), "pairs")
     d = rows.filter(F.col("kind") == DOCUMENT).select(F.col("a").alias("node"), F.col("b").alias("id"), "n", "h1", "h2", "bins")
     copies = rows.filter(F.col("kind") == COPY).select("a", "b").join(d.select(F.col("node").alias("a"), F.col("id").alias("ia")), "a").join(d.select(F.col("node").alias("b"), F.col("id").alias("ib")), "b").select(F.col("ia").alias("a"), F.col("ib").alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     pairs = rows.filter(F.col("kind") == PAIR).select("a", "b").distinct()

@@ -32,7 +32,7 @@ from unicodedata import is_normalized
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.bytewise import give_back
+from weftline.llm.bytewise import giving_back
 from weftline.llm.encoding import PIECE_CHARS, word_vocabulary
 from weftline.llm.shared import documents
 
@@ -268,11 +268,9 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
         if len(ids) and (out := settle(True)) is not None:
             yield out
         if not keep_memo:
-            del words
-            word_ids.cache_clear()
-            give_back()
+            words.clear()  # the library itself stays: a worker that loads it anew in each task grows by some megabytes a task
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, {last}")
+    return docs.select(F.col(key), F.col(text)).mapInArrow(run if keep_memo else giving_back(run), f"`{key}` {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, {last}")
 
 
 def op9_dp_packing(spark, sf_dir: str) -> DataFrame:

@@ -24,18 +24,19 @@ import os
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, islice, pairwise
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from weftline.llm.encoding import PIECE_CHARS
-from weftline.llm.packing import Numbers
+from weftline.llm.encoding import PIECE_CHARS, byte_symbols
 from weftline.llm.shared import documents, forget, stored
 
 END_ID = 0
 #: Chunks of text that a Python worker remembers, and their characters; it starts anew beyond.
-MEMO_CHUNKS, MEMO_CHARS = 500_000, 16_000_000
+MEMO_CHUNKS, MEMO_CHARS = 800_000, 16_000_000
+#: New chunks that are encoded as one text.
+TOGETHER = 256
 #: A segment of a scan task ends at so many pieces or tokens.
 SEGMENT_PIECES, SEGMENT_TOKENS = 262_144, 16_777_216
 #: Loose sequences that a group of an exchange has on average.
@@ -44,9 +45,11 @@ GROUP_SEQUENCES = 2048
 WIDE = 1000
 #: Scaled functions u_k that bound a count, k = 1 to STEPS.
 STEPS = 64
-#: Letters that every version of Unicode in use knows.
+#: Letters that every version of Unicode in use knows come before this one.
 SETTLED = "ɐ"
 RUNS = re.compile(r"(\s\s+)")
+#: White space of Latin-1 as a plain space.
+BLANK = bytes(32 if chr(b).isspace() else b for b in range(256))
 
 
 def byte_vocabulary() -> str:
@@ -66,9 +69,12 @@ def chunks(text: str) -> list[str]:
     A run of white space before other text is one token but for its last character, which a space gives
     to what follows; at the end of a text the run is whole.
     """
+    try:
+        if b"  " not in text.encode("latin-1").translate(BLANK):
+            return _single(text)
+    except UnicodeEncodeError:
+        pass
     pieces = RUNS.split(text)
-    if len(pieces) == 1:
-        return _single(text)
     out, lead = [], ""
     for k in range(0, len(pieces), 2):
         out += _single(lead + pieces[k])
@@ -84,15 +90,16 @@ def chunks(text: str) -> list[str]:
     return out
 
 
-def split_word(chunk: str) -> tuple[str, ...]:
-    """A word of letters and the stop or comma after it apart, else the chunk as it is."""
-    word = chunk[:-1]
-    bare = word[1:] if word[:1] in " \n" else word
-    return (word, chunk[-1]) if chunk[-1:] in (".", ",") and bare.isalpha() and max(bare) < SETTLED else (chunk,)
+class Places(dict):
+    """Ids of chunks; one that is asked for first gets an empty place, to be filled later."""
+
+    def __missing__(self, chunk: str) -> bytearray:
+        self[chunk] = place = bytearray()
+        return place
 
 
 class ByteIds:
-    """Ids of chunks as flat arrays; the library encodes each new chunk once."""
+    """Ids of chunks, four bytes each; the library encodes each new chunk once, many as one text."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -102,21 +109,49 @@ class ByteIds:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
+        vocabulary, symbols = self.library.get_vocab(), byte_symbols()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token[:1] in (symbols[ord(" ")], symbols[ord("\n")])]] = True
+        self.marks = {m: self.bytes_of([m])[m] for m in ".," if not any(m in s for s in self.special)}
         self.clear()
 
     def clear(self) -> None:
-        self.at, self.chars = Numbers({None: 0}), 0
-        self.flat, self.begin, self.size = np.array([END_ID], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.ids, self.chars = Places(), 0
+
+    def bytes_of(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of chunks by the library.
+
+        A chunk whose only white space is the space or line end that it begins with can follow another one:
+        no token crosses that place, and of its tokens the first alone begins with it.
+        """
+        out: dict[str, bytes] = {}
+        together, apart = [], []
+        for c in new:
+            rest = c[1:]
+            (together if c[:1] in (" ", "\n") and rest and rest.isprintable() and " " not in rest else apart).append(c)
+        groups = [together[k : k + TOGETHER] for k in range(0, len(together), TOGETHER)]
+        texts = list(map("".join, groups))
+        for group, text, e in zip(groups, texts, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            begin = np.flatnonzero(self.opens[ids])
+            if len(begin) != len(group) or self.odd(text):
+                apart += group
+                continue
+            raw, at = ids.tobytes(), [*(4 * begin).tolist(), 4 * len(ids)]
+            out.update(zip(group, (raw[a:b] for a, b in pairwise(at)), strict=True))
+        for c, e in zip(apart, self.library.encode_batch_fast(apart, add_special_tokens=False), strict=True):
+            out[c] = np.array(e.ids, np.uint32).tobytes()
+        return out
 
     def learn(self, new: list[str]) -> None:
-        plain = [split_word(c) for c in new]
-        one = list(dict.fromkeys(chain.from_iterable(plain)))
-        ids = dict(zip(one, (e.ids for e in self.library.encode_batch_fast(one, add_special_tokens=False)), strict=True))
-        got = [ids[x[0]] if len(x) == 1 else ids[x[0]] + ids[x[1]] for x in plain]
-        size = np.fromiter(map(len, got), np.int64, len(got))
-        begin = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(got), np.uint32, int(size.sum()))])
-        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        """Fills the places of new chunks; a stop or comma after a letter is a token apart, so that the word's ids serve."""
+        word = {c: c[:-1] for c in new if c[-1:] in self.marks and c[-2:-1] < SETTLED and c[-2:-1].isalpha()}
+        got = self.bytes_of(list(dict.fromkeys(chain((c for c in new if c not in word), (w for w in word.values() if not self.ids.get(w))))))
+        for c in new:
+            raw = got[c] if (w := word.get(c)) is None else (got.get(w) or self.ids[w]) + self.marks[c[-1]]
+            place = self.ids[c]
+            place += raw
+            self.ids[c] = raw
         self.chars += sum(map(len, new))
 
     def odd(self, text: str) -> bool:
@@ -125,21 +160,18 @@ class ByteIds:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all texts, each followed by its end, and where each text ends."""
-        if len(self.at) > MEMO_CHUNKS or self.chars > MEMO_CHARS:
+        if len(self.ids) > MEMO_CHUNKS or self.chars > MEMO_CHARS:
             self.clear()
-        split = [[] if not t else [t] if self.odd(t) else chunks(t) for t in texts]
-        count = np.fromiter(map(len, split), np.int64, len(split)) + 1
-        last = np.cumsum(count) - 1
-        index = np.zeros(int(count.sum()), np.int64)
-        mask = np.ones(len(index), bool)
-        mask[last] = False
-        index[mask] = np.fromiter(map(self.at.__getitem__, chain.from_iterable(split)), np.int64, len(index) - len(split))
-        if len(self.at) > len(self.size):
-            self.learn(list(islice(self.at, len(self.size), None)))
-        size = self.size[index]
-        after = np.cumsum(size)
-        ids = self.flat[np.arange(after[-1]) + np.repeat(self.begin[index] - after + size, size)]
-        return ids, after[last]
+        known, place, end = len(self.ids), self.ids.__getitem__, np.array([END_ID], np.uint32).tobytes()
+        try:
+            own = [[*map(place, [] if not t else [t] if self.odd(t) else chunks(t)), end] for t in texts]
+            if len(self.ids) > known:
+                self.learn(list(islice(self.ids, known, None)))
+        except BaseException:
+            self.clear()  # no place may stay empty
+            raise
+        whole = [b"".join(x) for x in own]
+        return np.frombuffer(b"".join(whole), np.uint32), np.cumsum([len(x) // 4 for x in whole])
 
 
 @lru_cache(1)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from weftline.llm.shared import SPACES, documents, fold_ascii, join_small, materialize, shuffle_parts, stored, text_or_empty
+from weftline.llm.shared import SPACES, documents, fold_ascii, join_small, materialize, passing, shuffle_parts, stored, text_or_empty
 
 
 def line_hashes(docs: DataFrame, key: str, text: str, min_chars: int) -> DataFrame:
@@ -52,7 +52,9 @@ def keep_bitmaps(docs: DataFrame, key: str = "doc_id", text: str = "text", min_c
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with ``kept_text`` (null if nothing went), ``n_lines`` and ``n_dropped``."""
-    drops, size = stored(keep_bitmaps(docs, key, text, min_chars, min_docs), "bitmaps")
+    with passing() as keep:
+        drops, size = stored(keep_bitmaps(docs, key, text, min_chars, min_docs), "bitmaps")
+        keep(drops)
     null = "_none"
     d = docs.select(F.struct("*").alias("_row"), F.col(key).isNull().alias(null), F.coalesce(F.col(key), F.lit(0)).alias("_id"), text_or_empty(text).alias("_text"))
     d = d.withColumn("_t", F.xxhash64("_text"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftline.llm.shared import SPACES, documents, join_small, let, materialize, one_space, stored, text_or_empty
+from weftline.llm.shared import SPACES, documents, join_small, let, materialize, one_space, passing, stored, text_or_empty
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -102,8 +102,10 @@ def quality_rules(docs: DataFrame, key: str = "doc_id", text: str = "text", host
 
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source", **rules) -> DataFrame:
     """The documents that the rules keep, all columns as they are."""
-    bad = quality_rules(docs, key, text, host, **rules).filter(~F.col("kept")).select(F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("_id"), F.col("tag").alias("_tag")).distinct()
-    bad, size = stored(bad, "rejected")
+    with passing() as keep:
+        bad = quality_rules(docs, key, text, host, **rules).filter(~F.col("kept")).select(F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("_id"), F.col("tag").alias("_tag")).distinct()
+        bad, size = stored(bad, "rejected")
+        keep(bad)
     d = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("_id"), F.xxhash64(text_or_empty(text)).alias("_tag"))
     return join_small(d, bad, size, ["_id", "_tag"], "left_anti").select("_row.*")
 
